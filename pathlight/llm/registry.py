@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, simhash
+from . import exact_dedup, mixing, packing, simhash
 
 QUERIES = {
     "op1_simhash": simhash.query,
+    "op2_packing": packing.query,
+    "op3_mixing": mixing.query,
     "op6_exact_dedup": exact_dedup.query,
 }
 
