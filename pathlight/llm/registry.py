@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, packing, simhash
+from . import exact_dedup, mixing, packing, simhash, toxicity, warc
 
 QUERIES = {
     "op1_simhash": simhash.query,
     "op2_packing": packing.query,
     "op3_mixing": mixing.query,
+    "op4_warc": warc.query,
+    "op5_toxicity": toxicity.query,
     "op6_exact_dedup": exact_dedup.query,
 }
 
 SQL = {
+    "op4_warc": warc.SQL,
     "op6_exact_dedup": exact_dedup.SQL,
 }
