@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, packing, simhash, toxicity, warc
+from . import exact_dedup, mixing, packing, secrets_scan, simhash, toxicity, warc
 
 QUERIES = {
     "op1_simhash": simhash.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_warc": warc.query,
     "op5_toxicity": toxicity.query,
     "op6_exact_dedup": exact_dedup.query,
+    "op9_secrets": secrets_scan.query,
 }
 
 SQL = {
