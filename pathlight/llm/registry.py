@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing, packing, secrets_scan, simhash, toxicity, warc
+from . import exact_dedup, langid, mixing, packing, secrets_scan, simhash, toxicity, warc
 
 QUERIES = {
     "op1_simhash": simhash.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_toxicity": toxicity.query,
     "op6_exact_dedup": exact_dedup.query,
     "op9_secrets": secrets_scan.query,
+    "op10_langid": langid.query,
 }
 
 SQL = {
