@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, langid, mixing, packing, secrets_scan, simhash, toxicity, warc
+from . import exact_dedup, langid, licences, mixing, packing, secrets_scan, simhash, topk, toxicity, warc
 
 QUERIES = {
     "op1_simhash": simhash.query,
@@ -11,6 +11,8 @@ QUERIES = {
     "op4_warc": warc.query,
     "op5_toxicity": toxicity.query,
     "op6_exact_dedup": exact_dedup.query,
+    "op7_licences": licences.query,
+    "op8_topk": topk.query,
     "op9_secrets": secrets_scan.query,
     "op10_langid": langid.query,
 }
@@ -18,4 +20,6 @@ QUERIES = {
 SQL = {
     "op4_warc": warc.SQL,
     "op6_exact_dedup": exact_dedup.SQL,
+    "op7_licences": licences.SQL,
+    "op8_topk": topk.SQL,
 }
