@@ -7,11 +7,13 @@
    By the triangle inequality two fingerprints that agree on a set of bytes have equal distances there, so such a
    partial row is an equi-join key: ``Plan.keys`` lists the sets of bytes. For 64 bits and a radius of 2 the keys are
    the six pairs of the four 16-bit blocks; two fingerprints that differ in at most 2 bits agree on one of them, so no
-   link is lost. For a wide radius the keys are bands, and a link of similarity s is met with the probability that
-   ``Plan.recall`` gives.
+   link is lost. For a similarity threshold the keys are bands, the radius is wider than the threshold's expected
+   distance by about two standard deviations, and each link is then verified by the Jaccard similarity of the
+   documents' shingle sets; a pair at the threshold is met with about the probability that ``Plan.recall`` gives.
 4. Rows are dealt out and sorted by key and streamed. Within a key, pairs whose distances to any one reference
    fingerprint differ by more than the radius are discarded; survivors are verified by the Hamming distance itself.
-   Only a spanning forest of the links leaves a bucket (at most one link per member), never its pairs.
+   All links leave a bucket of up to ``SMALL`` members. Of a larger one, a spanning forest leaves (at most one link a
+   member), for a plan that verifies one at each of three radii, so that members hang on to those nearest to them.
 5. A bucket of more than ``BUCKET`` different fingerprints is cut into chunks, and each pair of chunks is compared in a
    task of its own: memory stays bounded and no link is lost.
 6. Connected components of the links give the groups.
@@ -54,6 +56,12 @@ class Plan:
     lanes: int
     radius: int
     keys: tuple[tuple[int, ...], ...]
+    #: Least Jaccard similarity of shingle sets; 0: the radius decides.
+    similarity: float = 0.0
+
+    @property
+    def radii(self) -> tuple[int, ...]:
+        return (self.radius // 2, 3 * self.radius // 4, self.radius) if self.similarity else (self.radius,)
 
     def recall(self, similarity: float) -> float:
         """Probability that two texts of this Jaccard similarity of shingles share a key (for separate bands)."""
@@ -72,9 +80,9 @@ EXACT = Plan(3, 1, 2, tuple(a + b for a, b in combinations([(0, 1), (2, 3), (4,
 
 def near_plan(words: int = 5, similarity: float = 0.8, lanes: int = 4) -> Plan:
     """Links at a similarity of ``similarity`` or more. Bands are pairs of bytes: byte i with i + 1 and, again, with i + half."""
-    n = 8 * lanes
+    n, p = 8 * lanes, differing(similarity)
     bands = [(i, i + 1) for i in range(0, n, 2)] + [(i, i + n // 2) for i in range(n // 2)]
-    return Plan(words, lanes, int(64 * lanes * differing(similarity)), tuple(bands))
+    return Plan(words, lanes, int(64 * lanes * p + 2 * math.sqrt(64 * lanes * p * (1 - p))), tuple(bands), similarity)
 
 
 def shingle_hashes(text: bytes, words: int) -> np.ndarray:
@@ -155,8 +163,8 @@ def linked(fps: np.ndarray, coords: np.ndarray, i: np.ndarray, j: np.ndarray, ra
     return near[np.bitwise_count(fps[i[near]] ^ fps[j[near]]).sum(axis=1) <= radius]
 
 
-def forest(fps: np.ndarray, coords: np.ndarray, radius: int, left: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """A spanning forest of the links of one bucket. ``left``: two chunks, of which links within one are known already."""
+def forest(fps: np.ndarray, coords: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links of one bucket: a search from each member, over those not yet reached."""
     order = np.argsort(coords[:, 0], kind="stable")
     out: list[tuple[int, int]] = []
     first = coords[:, 0]
@@ -176,7 +184,7 @@ def forest(fps: np.ndarray, coords: np.ndarray, radius: int, left: np.ndarray |
     return out
 
 
-def bucket_links(key: np.ndarray, node: np.ndarray, fps: np.ndarray, coords: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def bucket_links(key: np.ndarray, node: np.ndarray, fps: np.ndarray, coords: np.ndarray, radii: tuple[int, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Links (a, b) of whole buckets, sorted by key."""
     starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     sizes = np.diff(np.r_[starts, len(key)])
@@ -188,11 +196,12 @@ def bucket_links(key: np.ndarray, node: np.ndarray, fps: np.ndarray, coords: np.
         if not same.any():
             break
         i, j = i[same], j[same]
-        hit = linked(fps, coords, i, j, radius)
+        hit = linked(fps, coords, i, j, radii[-1])
         yield node[i[hit]], node[j[hit]]
     for s, n in zip(starts[sizes > SMALL], sizes[sizes > SMALL]):
-        found = np.array(forest(fps[s : s + n], coords[s : s + n], radius), np.int64).reshape(-1, 2) + s
-        yield node[found[:, 0]], node[found[:, 1]]
+        for radius in radii:
+            found = np.array(forest(fps[s : s + n], coords[s : s + n], radius), np.int64).reshape(-1, 2) + s
+            yield node[found[:, 0]], node[found[:, 1]]
 
 
 LINKS = "a bigint, b bigint, key bigint, chunk int, fp binary"
@@ -213,7 +222,7 @@ def links_of(plan: Plan, bucket: int = BUCKET):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def solve(part, chunk):
             key, node, fps, coords = part
-            for a, b in bucket_links(key, node, fps, coords, plan.radius):
+            for a, b in bucket_links(key, node, fps, coords, plan.radii):
                 if len(a):
                     yield pack(a, b)
             if chunk is not None:
@@ -256,7 +265,7 @@ def cross_links(plan: Plan):
         fps = matrix(table.column("fp").combine_chunks(), 8 * plan.lanes)
         coords = np.stack([np.bitwise_count(fps ^ r).sum(axis=1, dtype=np.int16) for r in refs], axis=1).clip(0, 255)
         node = table.column("node").to_numpy()
-        found = np.array(forest(fps, coords, plan.radius), np.int64).reshape(-1, 2)
+        found = np.array([x for r in plan.radii for x in forest(fps, coords, r)], np.int64).reshape(-1, 2)
         return pa.table({"a": node[found[:, 0]], "b": node[found[:, 1]]})
 
     return run
@@ -278,13 +287,39 @@ def links_between(nodes: DataFrame, plan: Plan, bucket: int = BUCKET) -> DataFra
     return links
 
 
-def grouped(rows: DataFrame, plan: Plan, bucket: int = BUCKET) -> DataFrame:
-    """``rows``: rid, doc_id, fp, written. Returns one row per fingerprint: fp, component_id, stays (the rid that stays)."""
+def shingle_sets(words: int):
+    """(rid, text) to the sorted distinct hashes of its shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [np.unique(shingle_hashes((t.as_py() or "").encode("utf-8", "surrogatepass"), words)).view(np.int64) for t in b.column("text")]
+            yield pa.RecordBatch.from_arrays([b.column("rid"), pa.array(sets, pa.list_(pa.int64()))], ["rid", "shingles"])
+
+    return run
+
+
+def verified(links: DataFrame, texts: DataFrame, plan: Plan) -> DataFrame:
+    """The links whose documents' shingle sets are similar enough. ``texts``: rid and text of the nodes, written."""
+    links = materialize(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
+    ends = links.select(F.col("a").alias("rid")).union(links.select(F.col("b").alias("rid"))).distinct()
+    sets = texts.select("rid", "text").join(ends, "rid", "left_semi").mapInArrow(shingle_sets(plan.words), "rid bigint, shingles array<bigint>")
+    sets = materialize(sets, "shingles")
+    pairs = links.join(sets.select(F.col("rid").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("rid").alias("b"), F.col("shingles").alias("y")), "b")
+    both = F.size(F.array_intersect("x", "y"))
+    return pairs.where(both >= plan.similarity * (F.size("x") + F.size("y") - both)).select("a", "b")
+
+
+def grouped(rows: DataFrame, plan: Plan, bucket: int = BUCKET, texts: DataFrame | None = None) -> DataFrame:
+    """``rows``: rid, doc_id, fp, written. Returns one row per fingerprint: fp, component_id, stays (the rid that stays).
+
+    ``texts``: rid and text, for a plan that verifies.
+    """
     nodes = rows.groupBy("fp").agg(
         F.min("rid").alias("node"), F.min("doc_id").alias("least"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("first")
     )
     nodes = materialize(nodes, "fingerprints")
-    roots = components(links_between(nodes, plan, bucket))
+    links = links_between(nodes, plan, bucket)
+    roots = components(verified(links, texts, plan) if plan.similarity else links)
     nodes = materialize(nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
     tops = nodes.groupBy("root").agg(F.min("least").alias("component_id"), F.min("first").alias("first"))
     return materialize(nodes.select("fp", "root").join(tops, "root").select("fp", "component_id", F.col("first.rid").alias("stays")), "groups")
@@ -303,7 +338,7 @@ def drop_near_copies(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
     rows = numbered(docs, docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     rows = materialize(rows, "documents-numbered")
     fps = materialize(rows.select("rid", "doc_id", "text").mapInArrow(fingerprints(plan), "rid bigint, doc_id bigint, fp binary"), "documents-fp")
-    kept = fps.join(grouped(fps, plan), "fp")
+    kept = fps.join(grouped(fps, plan, texts=rows), "fp")
     return without(rows.select("rid", "row"), kept.where("stays <> rid"))
 
 

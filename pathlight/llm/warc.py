@@ -42,6 +42,8 @@ LINES = 3000
 LEAST = 0
 #: Pages of a batch in Python: bounds memory with large payloads.
 BATCH = 200
+#: Captures that a task looks up.
+LOOKUPS = 8192
 END = b"\r\n"
 
 
@@ -290,7 +292,8 @@ def find(archives: Archives, payloads: bool):
 
 def look_up(wanted: DataFrame, archives: Archives, payloads: bool = False) -> DataFrame:
     """``wanted``: key (see ``surt``) and rid of captures. Their records, read through the index; captures it lacks give no row."""
-    rows = wanted.select("key", "rid").repartitionByRange("key", "rid").sortWithinPartitions("key", "rid")
+    rows = materialize(wanted.select("key", "rid"), "wanted")
+    rows = rows.repartitionByRange(-(-rows.count() // LOOKUPS) or 1, "key", "rid").sortWithinPartitions("key", "rid")
     return rows.mapInArrow(find(archives, payloads), FOUND)
 
 
