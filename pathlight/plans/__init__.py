@@ -1 +1 @@
-
+"""Jobs made of operators, and the queries over the driver's tables."""

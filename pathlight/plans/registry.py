@@ -2,6 +2,457 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..config import SparseConfig, SubjectRule
+from ..functions import domains as dom
+from ..functions.paths import collapse as collapse_path
+from ..functions.paths import edges, pair_key
+from ..functions.values import horizon_bucket, join_list
+from ..operators import attribution, diff, evals, features, rib, routes, signals, store
+from . import projection as p
+from .projection import AFTER, BEFORE, DAYS, duck
 
+QUERIES: dict = {}
 SQL: dict[str, str] = {}
+
+
+def query(sql: str):
+    def register(f):
+        QUERIES[f.__name__] = f
+        SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def text_days(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in columns})
+
+
+def pairs_of(spark: SparkSession) -> DataFrame:
+    return evals.day_pairs(spark.createDataFrame([(d,) for d in DAYS], "d string").select(F.col("d").cast("date").alias("day")))
+
+
+def context(spark: SparkSession, sf_dir: str) -> diff.Context:
+    snaps, pairs = p.snapshots(spark, sf_dir), pairs_of(spark)
+    before = snaps.drop("as_of").join(F.broadcast(pairs.select(F.col("prev_day").alias("q"), F.col("day").alias("to"))), F.col("day") == F.col("q")).drop("day", "q").withColumnRenamed("to", "day")
+    return diff.Context(before, snaps.join(F.broadcast(pairs.select("day")), "day"), p.orgs(spark, sf_dir), p.glue(spark, sf_dir))
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return diff.diff_days(p.snapshots(spark, sf_dir), p.orgs(spark, sf_dir), p.glue(spark, sf_dir), pairs_of(spark))
+
+
+def event_text(df: DataFrame) -> DataFrame:
+    """Events with the day and lists as text."""
+    return df.select("kind", F.date_format("timestamp", "yyyy-MM-dd").alias("day"), "asn_a", "asn_b", "org_a", "org_b", join_list(F.col("domains_a")).alias("domains_a"), join_list(F.col("domains_b")).alias("domains_b"), "prefix", "detail")
+
+
+EVENT_SQL = "SELECT kind, strftime(day, '%Y-%m-%d') AS day, asn_a, asn_b, org_a, org_b, domains_a, domains_b, prefix, detail FROM ev"
+FEATURE_SQL = "asn_lo, asn_hi, org_lo, org_hi, prefix_move_days, prefixes_moved, new_adj_days, upstream_converge_days, strftime(first_seen, '%Y-%m-%d') AS first_seen, strftime(last_seen, '%Y-%m-%d') AS last_seen, CAST(persistence_days AS BIGINT) AS persistence_days, CAST(score AS BIGINT) AS score"
+FEATURE = ("asn_lo", "asn_hi", "org_lo", "org_hi", "prefix_move_days", "prefixes_moved", "new_adj_days", "upstream_converge_days", "first_seen", "last_seen", "persistence_days", "score")
+
+
+# Routing tables
+
+
+@query("""
+SELECT prefix, peer_asn, origin_asn, array_to_string(as_path, ',') AS as_path FROM (
+  SELECT *, row_number() OVER (PARTITION BY prefix, peer_asn ORDER BY l_shipdate DESC, l_orderkey DESC, l_suppkey DESC) AS k FROM (""" + p.DUCK["ann"] + """)) WHERE k = 1 AND NOT withdraw
+""")
+def rib_materialize(spark, sf_dir):
+    return rib.materialize(p.announcements(spark, sf_dir), list(p.ORDER)).select("prefix", "peer_asn", "origin_asn", join_list(F.col("as_path")).alias("as_path"))
+
+
+@query(duck(f"SELECT count(DISTINCT prefix) AS prefix_count, count(*) AS route_count FROM rib WHERE day = DATE '{AFTER}'"))
+def rib_counts(spark, sf_dir):
+    return rib.counts(p.routes(spark, sf_dir, AFTER))
+
+
+@query(duck("SELECT strftime(day, '%Y-%m-%d') AS day, prefix, origin_asn, upstream_asn, array_to_string(as_path, ',') AS as_path FROM snap"))
+def snapshot_collapse(spark, sf_dir):
+    return text_days(p.snapshots(spark, sf_dir).withColumn("as_path", join_list(F.col("as_path"))).drop("as_of"), "day").select("day", "prefix", "origin_asn", "upstream_asn", "as_path")
+
+
+@query(duck(f"SELECT origin_asn AS asn, count(*) AS n FROM snap WHERE day = DATE '{AFTER}' GROUP BY 1"))
+def prefix_count_by_origin(spark, sf_dir):
+    return rib.prefix_counts(rib.collapse(p.routes(spark, sf_dir, AFTER)))
+
+
+@query("""
+WITH a AS (""" + p.DUCK["ann"] + """), f AS (SELECT array_to_string(as_path, ',') AS as_path, min(l_orderkey) AS first FROM a WHERE l_suppkey % 5 = 0 GROUP BY as_path)
+SELECT as_path, first, row_number() OVER (ORDER BY first, as_path) - 1 AS id FROM f
+""")
+def path_interning(spark, sf_dir):
+    rows = p.announcements(spark, sf_dir).where("l_suppkey % 5 = 0").withColumn("as_path", join_list(F.col("as_path")))
+    return rib.intern(rows, "as_path", "l_orderkey")
+
+
+@query(duck(f"""SELECT DISTINCT 'a' AS side, CAST(d[i] AS BIGINT) AS x, CAST(d[i + 1] AS BIGINT) AS y FROM (SELECT d, unnest(range(1, len(d))) AS i FROM snap WHERE day = DATE '{AFTER}') WHERE false
+UNION ALL SELECT DISTINCT 'edge', least(d[i], d[i + 1]), greatest(d[i], d[i + 1]) FROM (SELECT d, unnest(range(1, len(d))) AS i FROM snap WHERE day = DATE '{AFTER}')"""))
+def path_edges(spark, sf_dir):
+    rows = rib.collapse(p.routes(spark, sf_dir, AFTER)).select(F.explode(edges("as_path")).alias("e"))
+    return rows.select(F.lit("edge").alias("side"), F.col("e.a").alias("x"), F.col("e.b").alias("y")).distinct()
+
+
+@query(duck(f"SELECT array_to_string(d, ',') AS path, count(*) AS n FROM snap WHERE day = DATE '{AFTER}' GROUP BY 1"))
+def path_collapse(spark, sf_dir):
+    return rib.collapse(p.routes(spark, sf_dir, AFTER)).select(join_list(collapse_path("as_path")).alias("path")).groupBy("path").agg(F.count("*").alias("n"))
+
+
+def v4_text(number):
+    return F.concat_ws(".", F.lit("10"), F.shiftright(number, 8).bitwiseAND(255).cast("string"), number.bitwiseAND(255).cast("string"), F.lit("7"))
+
+
+@query(duck(f"""SELECT user_id, concat('10.', CAST((user_id >> 8) & 255 AS STRING), '.', CAST(user_id & 255 AS STRING), '.7') AS address, max(s.prefix) AS matched
+FROM (SELECT DISTINCT user_id FROM events) e LEFT JOIN (SELECT prefix FROM snap WHERE day = DATE '{AFTER}' AND origin_asn % 2 = 0) s
+ON s.prefix = concat('10.', CAST((user_id >> 8) & 255 AS STRING), '.', CAST(user_id & 255 AS STRING), '.0/24') GROUP BY user_id"""))
+def longest_prefix_match(spark, sf_dir):
+    rows = p.table(spark, sf_dir, "events").select("user_id").distinct().withColumn("address", v4_text(F.col("user_id")))
+    return rib.longest_match(rib.collapse(p.routes(spark, sf_dir, AFTER)).where("origin_asn % 2 = 0"), rows, v6=False).select("user_id", "address", "matched")
+
+
+@query(duck(f"SELECT s.prefix, origin_asn FROM snap s JOIN (SELECT DISTINCT {p.PREFIX.format(p='p_partkey')} AS prefix FROM part WHERE p_size < 10) USING (prefix) WHERE day = DATE '{AFTER}'"))
+def exact_prefix_match(spark, sf_dir):
+    wanted = p.table(spark, sf_dir, "part").where("p_size < 10").selectExpr(f"{p.PREFIX.format(p='p_partkey')} AS prefix").distinct()
+    return rib.exact_match(rib.collapse(p.routes(spark, sf_dir, AFTER)), wanted).select("prefix", "origin_asn")
+
+
+@query("""
+SELECT event_id, user_id, event_type FROM (SELECT event_id, user_id, event_type FROM events ORDER BY ts, event_id LIMIT 500)
+""")
+def updates_cap(spark, sf_dir):
+    return p.table(spark, sf_dir, "events").orderBy("ts", "event_id").limit(500).select("event_id", "user_id", "event_type")
+
+
+# Attribution
+
+
+@query(duck(f"""SELECT o.asn FROM (SELECT DISTINCT asn FROM org) o LEFT JOIN (SELECT origin_asn AS asn, count(*) AS n FROM snap WHERE day = DATE '{AFTER}' GROUP BY 1) c USING (asn)
+WHERE o.asn NOT IN (SELECT asn FROM glue) AND (n IS NULL OR n BETWEEN 1 AND 20)"""))
+def subject_set(spark, sf_dir):
+    counts = rib.prefix_counts(rib.collapse(p.routes(spark, sf_dir, AFTER)))
+    return attribution.subjects(attribution.org_asn(p.orgs(spark, sf_dir)), p.glue(spark, sf_dir), counts, SubjectRule(max_prefixes=20))
+
+
+@query(duck(f"SELECT prefix, origin_asn FROM snap WHERE day = DATE '{AFTER}' AND origin_asn IN (SELECT asn FROM leasing UNION SELECT asn FROM glue)"))
+def focus_filter(spark, sf_dir):
+    asns = attribution.asn_union(p.leasing(spark, sf_dir), p.glue(spark, sf_dir))
+    return attribution.focus(rib.collapse(p.routes(spark, sf_dir, AFTER)), asns).select("prefix", "origin_asn")
+
+
+@query(duck("SELECT asn, min_by(org_id, reg_order) AS org_id, min_by(domain, reg_order) AS domains FROM org GROUP BY asn"))
+def org_primary(spark, sf_dir):
+    orgs = p.orgs(spark, sf_dir)
+    return attribution.primary(attribution.org_asn(orgs), orgs).select("asn", "org_id", join_list(F.col("domains")).alias("domains"))
+
+
+@query(duck("SELECT domain, org_id FROM (SELECT DISTINCT domain, org_id, reg_order FROM org) WHERE reg_order % 2 = 0"))
+def orgs_of_domain(spark, sf_dir):
+    bridge = attribution.org_domain(p.orgs(spark, sf_dir))
+    return attribution.all_orgs(bridge, "domain", bridge.where("reg_order % 2 = 0").select("domain")).select("domain", "org_id")
+
+
+@query(duck("""SELECT a.s_suppkey + 64500 AS asn_lo, a.s_suppkey + 64505 AS asn_hi, coalesce(x.family = y.family, false) AS same_family
+FROM supplier a LEFT JOIN org x ON x.asn = a.s_suppkey + 64500 LEFT JOIN org y ON y.asn = a.s_suppkey + 64505"""))
+def family_pairs(spark, sf_dir):
+    pairs = p.table(spark, sf_dir, "supplier").selectExpr("s_suppkey + 64500 AS asn_lo", "s_suppkey + 64505 AS asn_hi")
+    return attribution.same_family(pairs, p.orgs(spark, sf_dir)).select("asn_lo", "asn_hi", "same_family")
+
+
+HOST_SQL = "lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1))"
+
+
+@query(f"SELECT page_id, nullif({HOST_SQL}, '') AS host FROM pages")
+def host_extract(spark, sf_dir):
+    return p.table(spark, sf_dir, "pages").select("page_id", dom.of_website(F.col("url")).alias("host"))
+
+
+@query(f"""
+WITH h AS (SELECT page_id, list_filter(string_split(regexp_replace({HOST_SQL}, '^www[.]', ''), '.'), lambda x: x <> '') AS l FROM pages)
+SELECT page_id, CASE WHEN len(l) <= 2 THEN array_to_string(l, '.') WHEN len(l[-1]) = 2 AND l[-2] IN ('co', 'com', 'org', 'net', 'gov', 'ac', 'edu') THEN array_to_string(l[-3:], '.') ELSE array_to_string(l[-2:], '.') END AS domain FROM h
+""")
+def registrable_domain(spark, sf_dir):
+    return p.table(spark, sf_dir, "pages").select("page_id", dom.registrable(dom.of_website(F.col("url"))).alias("domain"))
+
+
+ROLL_SQL = """
+WITH nets AS (SELECT s_nationkey AS org_id, 64500 + s_suppkey AS asn, CASE WHEN s_suppkey % 4 = 0 THEN 'https://WWW.n' || s_nationkey || '.example/x' END AS website FROM supplier),
+kept AS (SELECT org_id, array_to_string(list_sort(list(DISTINCT asn)), ',') AS asns FROM nets WHERE asn % 13 <> 0 GROUP BY 1),
+sites AS (SELECT org_id, array_to_string(list_sort(list(DISTINCT d)), ',') AS domains FROM (
+  SELECT org_id, 'www.n' || org_id || '.example' AS d FROM nets WHERE website IS NOT NULL UNION SELECT n_nationkey, 'r' || n_regionkey || '.example' FROM nation WHERE n_nationkey % 3 <> 0) GROUP BY 1)
+SELECT 'pdb:' || k.org_id AS org_id, coalesce(CASE WHEN k.org_id % 3 <> 0 THEN n_name END, 'peeringdb-org-' || k.org_id) AS name, asns, coalesce(domains, '') AS domains, 'peeringdb_org:' || k.org_id AS external_id
+FROM kept k JOIN nation ON n_nationkey = k.org_id LEFT JOIN sites s ON s.org_id = k.org_id
+"""
+
+
+@query(ROLL_SQL)
+def org_rollup(spark, sf_dir):
+    nets = p.table(spark, sf_dir, "supplier").selectExpr("CAST(s_nationkey AS BIGINT) AS org_id", "64500 + s_suppkey AS asn", "CASE WHEN s_suppkey % 4 = 0 THEN concat('https://WWW.n', s_nationkey, '.example/x') END AS website")
+    orgs = p.table(spark, sf_dir, "nation").where("n_nationkey % 3 <> 0").selectExpr("CAST(n_nationkey AS BIGINT) AS id", "n_name AS name", "concat('r', n_regionkey, '.example') AS website")
+    return store.org_rows(attribution.roll_up(nets, orgs, p.glue(spark, sf_dir))[0])
+
+
+# Events
+
+
+@query(duck(EVENT_SQL + " WHERE kind = 'prefix_move'"))
+def prefix_moves(spark, sf_dir):
+    return event_text(diff.prefix_moves(context(spark, sf_dir)))
+
+
+@query(duck(EVENT_SQL + " WHERE kind = 'upstream_converge'"))
+def upstream_converge(spark, sf_dir):
+    return event_text(diff.upstream_converge(context(spark, sf_dir)))
+
+
+@query(duck(EVENT_SQL + " WHERE kind = 'new_adj'"))
+def new_adjacency(spark, sf_dir):
+    return event_text(diff.new_adjacency(context(spark, sf_dir)))
+
+
+@query(duck(EVENT_SQL + " WHERE kind = 'footprint_step'"))
+def footprint_step(spark, sf_dir):
+    return event_text(diff.footprint_steps(context(spark, sf_dir)))
+
+
+@query(duck(EVENT_SQL))
+def diff_all(spark, sf_dir):
+    return event_text(events(spark, sf_dir))
+
+
+@query(duck("SELECT kind, strftime(day, '%Y-%m-%d') AS day, asn_a, asn_b, org_a, org_b, domains_a, domains_b, prefix, detail FROM sparse"))
+def sparse_moves(spark, sf_dir):
+    return event_text(features.sparse(events(spark, sf_dir)))
+
+
+@query(duck(EVENT_SQL.replace("FROM ev", "FROM (SELECT * FROM sparse UNION ALL SELECT * FROM ev WHERE kind = 'new_adj')")))
+def sparse_with_adjacency(spark, sf_dir):
+    return event_text(features.sparse(events(spark, sf_dir), SparseConfig(keep_new_adj=True)))
+
+
+# Features, state, signals
+
+
+@query(duck(f"SELECT {FEATURE_SQL}, asn_lo || '-' || asn_hi AS pair FROM feat"))
+def pair_features(spark, sf_dir):
+    return text_days(features.pair_features(events(spark, sf_dir)), "first_seen", "last_seen").select(*FEATURE, pair_key("asn_lo", "asn_hi").alias("pair"))
+
+
+def reasons(spark, sf_dir, of=None):
+    rows = features.pair_features(of if of is not None else events(spark, sf_dir))
+    return features.clean_reason(rows, p.orgs(spark, sf_dir), p.glue(spark, sf_dir), p.leasing(spark, sf_dir))
+
+
+@query(duck("SELECT asn_lo, asn_hi, drop_reason FROM reason"))
+def clean_reason(spark, sf_dir):
+    return reasons(spark, sf_dir).select("asn_lo", "asn_hi", "drop_reason")
+
+
+@query(duck(f"SELECT {FEATURE_SQL} FROM reason WHERE drop_reason IS NULL", "sparse"))
+def clean_kept(spark, sf_dir):
+    kept, _ = features.clean(features.pair_features(features.sparse(events(spark, sf_dir))), p.orgs(spark, sf_dir), p.glue(spark, sf_dir), p.leasing(spark, sf_dir))
+    return text_days(kept, "first_seen", "last_seen").select(*FEATURE)
+
+
+def old_state(spark, sf_dir) -> DataFrame:
+    """A state of before: the moves of 1997 and 1998 for every other pair, and an old pair that is to be pruned."""
+    rows = features.pair_features(events(spark, sf_dir).where(f"timestamp < TIMESTAMP'{AFTER}'")).drop("persistence_days")
+    return rows.where("asn_lo % 2 = 0")
+
+
+def new_features(spark, sf_dir) -> DataFrame:
+    return features.pair_features(events(spark, sf_dir).where(f"timestamp = TIMESTAMP'{AFTER}'"))
+
+
+STATE_SQL = """
+, evo AS (SELECT * FROM ev WHERE day < DATE '1999-01-01'), evn AS (SELECT * FROM ev WHERE day = DATE '1999-01-01'),
+o AS (SELECT * FROM ({old}) WHERE asn_lo % 2 = 0), n AS ({new}),
+state AS (SELECT coalesce(o.asn_lo, n.asn_lo) AS asn_lo, coalesce(o.asn_hi, n.asn_hi) AS asn_hi, coalesce(o.org_lo, n.org_lo) AS org_lo, coalesce(o.org_hi, n.org_hi) AS org_hi,
+  least(o.first_seen, n.first_seen) AS first_seen, greatest(o.last_seen, n.last_seen) AS last_seen, coalesce(o.prefix_move_days, 0) + coalesce(n.prefix_move_days, 0) AS prefix_move_days,
+  coalesce(o.prefixes_moved, 0) + coalesce(n.prefixes_moved, 0) AS prefixes_moved, coalesce(o.new_adj_days, 0) + coalesce(n.new_adj_days, 0) AS new_adj_days,
+  coalesce(o.upstream_converge_days, 0) + coalesce(n.upstream_converge_days, 0) AS upstream_converge_days, greatest(o.score, n.score) AS score
+  FROM o FULL JOIN n ON o.asn_lo = n.asn_lo AND o.asn_hi = n.asn_hi)
+""".replace("{old}", p.DUCK["feat"].replace("{events}", "evo")).replace("{new}", p.DUCK["feat"].replace("{events}", "evn"))
+
+
+@query(duck(STATE_SQL + """SELECT asn_lo, asn_hi, org_lo, org_hi, strftime(first_seen, '%Y-%m-%d') AS first_seen, strftime(last_seen, '%Y-%m-%d') AS last_seen, prefix_move_days, prefixes_moved, new_adj_days,
+upstream_converge_days, CAST(score AS BIGINT) AS score FROM state WHERE last_seen >= DATE '1999-01-01' - INTERVAL 400 DAY"""))
+def pair_state_merge(spark, sf_dir):
+    out = signals.merge_state(old_state(spark, sf_dir), new_features(spark, sf_dir), F.lit(AFTER).cast("timestamp"), 400)
+    return text_days(out, "first_seen", "last_seen").select("asn_lo", "asn_hi", "org_lo", "org_hi", "first_seen", "last_seen", "prefix_move_days", "prefixes_moved", "new_adj_days", "upstream_converge_days", "score")
+
+
+def signal_rows(spark, sf_dir, kept, state):
+    orgs = p.orgs(spark, sf_dir)
+    return signals.build_signals(kept, attribution.primary(attribution.org_asn(orgs), orgs), F.lit(AFTER).cast("timestamp"), F.lit(BEFORE).cast("timestamp"), state)
+
+
+SIGNAL = ("asn_a", "asn_b", "as_of", "org_a", "org_b", "domains_a", "domains_b", "prefixes_moved", "prefix_move_days", "new_adj_days", "upstream_converge_days", "persistence_days", "score", "event_kinds")
+
+
+@query(duck(STATE_SQL + """SELECT n.asn_lo AS asn_a, n.asn_hi AS asn_b, '1999-01-01T00:00:00Z' AS as_of, n.org_lo AS org_a, n.org_hi AS org_b, coalesce(x.domain, '') AS domains_a, coalesce(y.domain, '') AS domains_b,
+greatest(n.prefixes_moved, s.prefixes_moved) AS prefixes_moved, greatest(n.prefix_move_days, s.prefix_move_days) AS prefix_move_days, greatest(n.new_adj_days, s.new_adj_days) AS new_adj_days,
+greatest(n.upstream_converge_days, s.upstream_converge_days) AS upstream_converge_days, CAST(date_diff('day', s.first_seen, s.last_seen) AS BIGINT) AS persistence_days, CAST(greatest(n.score, s.score) AS BIGINT) AS score,
+array_to_string(list_filter([CASE WHEN n.prefix_move_days > 0 THEN 'prefix_move' END, CASE WHEN n.new_adj_days > 0 THEN 'new_adj' END, CASE WHEN n.upstream_converge_days > 0 THEN 'upstream_converge' END], lambda x: x IS NOT NULL), ',') AS event_kinds
+FROM n JOIN state s ON s.asn_lo = n.asn_lo AND s.asn_hi = n.asn_hi LEFT JOIN org x ON x.asn = n.asn_lo LEFT JOIN org y ON y.asn = n.asn_hi"""))
+def signals_with_state(spark, sf_dir):
+    new = new_features(spark, sf_dir)
+    state = signals.merge_state(old_state(spark, sf_dir), new, F.lit(AFTER).cast("timestamp"), 400)
+    return store.contact_rows(signal_rows(spark, sf_dir, new, state)).select(*SIGNAL)
+
+
+FLAGSHIP = """SELECT asn_lo AS asn_a, asn_hi AS asn_b, org_lo AS org_a, org_hi AS org_b, coalesce(x.domain, '') AS domains_a, coalesce(y.domain, '') AS domains_b, prefixes_moved, prefix_move_days,
+CAST(persistence_days AS BIGINT) AS persistence_days, CAST(score AS BIGINT) AS score FROM reason LEFT JOIN org x ON x.asn = asn_lo LEFT JOIN org y ON y.asn = asn_hi WHERE drop_reason IS NULL"""
+
+
+@query(duck(FLAGSHIP, "sparse"))
+def flagship(spark, sf_dir):
+    """Moves of several prefixes between networks of different organisations, scored: diff, sparse filter, features, clean, signals."""
+    kept, _ = features.clean(features.pair_features(features.sparse(events(spark, sf_dir))), p.orgs(spark, sf_dir), p.glue(spark, sf_dir), p.leasing(spark, sf_dir))
+    out = signals.ranked(signal_rows(spark, sf_dir, kept, None))
+    return out.select("asn_a", "asn_b", "org_a", "org_b", join_list(F.col("domains_a")).alias("domains_a"), join_list(F.col("domains_b")).alias("domains_b"), "prefixes_moved", "prefix_move_days", "persistence_days", "score")
+
+
+# Store
+
+
+def org_change(spark, sf_dir) -> DataFrame:
+    """Stored organisations (every third deleted, every fourth under an old name, none over 20) against those of today (without every seventh)."""
+    today = store.org_rows(p.orgs(spark, sf_dir))
+    number = F.substring("org_id", 5, 9).cast("int")
+    old = today.where(number <= 20).withColumn("name", F.when(number % 4 == 0, F.concat(F.lit("old "), F.col("name"))).otherwise(F.col("name"))).withColumn("deleted_at", F.when(number % 3 == 0, 5).cast("long"))
+    return store.upsert(old, today.where(number % 7 != 0), store.ORG_KEY, F.lit(99))
+
+
+CHANGE_SQL = """, today AS (SELECT org_id, name, array_to_string(list_sort(list(DISTINCT asn)), ',') AS asns, min(domain) AS domains, CAST(substr(org_id, 5) AS INT) AS k FROM org GROUP BY ALL),
+chg AS (SELECT org_id, CASE WHEN k % 7 <> 0 OR k % 4 <> 0 THEN name ELSE 'old ' || name END AS name, asns, domains,
+  CASE WHEN k % 7 <> 0 THEN NULL WHEN k % 3 = 0 THEN 5 ELSE 99 END AS deleted_at,
+  CASE WHEN k > 20 THEN 'I' WHEN k % 7 <> 0 AND (k % 4 = 0 OR k % 3 = 0) THEN 'U' WHEN k % 7 = 0 AND k % 3 <> 0 THEN 'U' END AS op FROM today WHERE k <= 20 OR k % 7 <> 0)
+"""
+
+
+@query(duck(CHANGE_SQL + "SELECT org_id, name, asns, domains, CAST(deleted_at AS BIGINT) AS deleted_at, op FROM chg"))
+def change_upsert(spark, sf_dir):
+    return org_change(spark, sf_dir).select("org_id", "name", "asns", "domains", "deleted_at", "op")
+
+
+@query(duck(CHANGE_SQL + """SELECT row_number() OVER (ORDER BY 'orgs', '{"org_id":"' || org_id || '"}') + 10 AS seq, 'orgs' AS tbl, op, '{"org_id":"' || org_id || '"}' AS key, '1999-01-01T00:00:00Z' AS ts FROM chg WHERE op IS NOT NULL"""))
+def outbox(spark, sf_dir):
+    return store.outbox(org_change(spark, sf_dir), "orgs", store.ORG_KEY, F.lit("1999-01-01T00:00:00Z"), 10)
+
+
+@query(duck("""SELECT asn_a, asn_b, day, op, deleted_at FROM (
+SELECT asn_lo AS asn_a, asn_hi AS asn_b, '1999-01-01' AS day, CASE WHEN asn_lo % 2 = 0 THEN 'U' END AS op, CASE WHEN asn_lo % 2 = 0 THEN CAST(7 AS BIGINT) END AS deleted_at FROM feat
+UNION ALL SELECT asn_lo, asn_hi, '1998-01-01', NULL, NULL FROM feat)"""))
+def retract(spark, sf_dir):
+    rows = features.pair_features(events(spark, sf_dir)).select(F.col("asn_lo").alias("asn_a"), F.col("asn_hi").alias("asn_b"), "score")
+    days = rows.withColumn("as_of", F.explode(F.array(F.lit("1998-01-01"), F.lit("1999-01-01")))).withColumn("deleted_at", F.lit(None).cast("long"))
+    incoming = days.where("as_of = '1999-01-01' AND asn_a % 2 = 1").drop("deleted_at")
+    out = store.upsert(days, incoming, store.CONTACT_KEY, F.lit(7), store.in_scope(F.lit("1999-01-01")))
+    return out.select("asn_a", "asn_b", F.col("as_of").alias("day"), "op", "deleted_at")
+
+
+# Route security
+
+RELATION_SQL = """, rel AS (SELECT x.a, y.b, (7 * x.a + 3 * y.b) % 4 AS c FROM (SELECT range AS a FROM range(901, 908) UNION SELECT range FROM range(64500, 64597)) x JOIN (SELECT range AS b FROM range(64500, 65701)) y ON x.a < y.b),
+hop AS (SELECT prefix, i, CASE WHEN c IS NULL OR c = 3 THEN '' WHEN c = 2 THEN 'P' WHEN (c = 0) = (r[i] < r[i + 1]) THEN 'D' ELSE 'U' END AS code
+  FROM (SELECT prefix, list_reverse(d) AS r, unnest(range(1, len(d))) AS i FROM snap WHERE day = DATE '1999-01-01') LEFT JOIN rel ON rel.a = least(r[i], r[i + 1]) AND rel.b = greatest(r[i], r[i + 1]) AND (rel.a > 1000 OR rel.b < 64597)),
+ver AS (SELECT prefix, CASE WHEN NOT regexp_full_match(string_agg(code, '' ORDER BY i), 'U*P?D*') THEN 'leak_suspected' WHEN bool_or(code = '') THEN 'incomplete' ELSE 'valley_free' END AS path_verdict FROM hop GROUP BY prefix)
+"""
+ROV_SQL = f""", roa AS (SELECT DISTINCT {p.ROA_PREFIX} AS prefix, {p.ROA_LENGTH} AS max_length, 64500 + (p_partkey * 7) % (SELECT count(*) FROM supplier) AS o, p_partkey >> 4 AS block FROM part WHERE p_partkey % 3 = 0 AND (p_partkey >> 4) % 4 <> 0),
+rov AS (SELECT s.prefix, s.origin_asn, CASE WHEN bool_or(o = origin_asn AND max_length >= 24) THEN 'valid' WHEN count(o) > 0 THEN 'invalid' ELSE 'unknown' END AS rpki_state
+  FROM snap s LEFT JOIN roa ON roa.block = ((CAST(split_part(s.prefix, '.', 2) AS BIGINT) << 8) + CAST(split_part(s.prefix, '.', 3) AS BIGINT)) >> 4 WHERE day = DATE '1999-01-01' GROUP BY ALL)
+"""
+
+
+@query(duck(ROV_SQL + "SELECT prefix, origin_asn, rpki_state FROM rov"))
+def origin_validation(spark, sf_dir):
+    rows = rib.collapse(p.routes(spark, sf_dir, AFTER)).select("prefix", "origin_asn")
+    return routes.validate_origins(rows, p.roas(spark, sf_dir), v6=False)
+
+
+@query(duck(RELATION_SQL + "SELECT prefix, path_verdict FROM ver"))
+def valley_free(spark, sf_dir):
+    return routes.path_verdicts(rib.collapse(p.routes(spark, sf_dir, AFTER)), p.relations(spark)).select("prefix", "path_verdict")
+
+
+@query(duck(RELATION_SQL + ROV_SQL + """SELECT prefix, origin_asn, rpki_state, path_verdict, path_verdict = 'leak_suspected' AS leak_suspected,
+concat_ws(',', CASE WHEN rpki_state = 'invalid' THEN 'rpki_invalid' END, CASE WHEN path_verdict = 'leak_suspected' THEN 'valley_free_violation' END) AS reason
+FROM rov JOIN ver USING (prefix) WHERE rpki_state = 'invalid' OR path_verdict = 'leak_suspected'"""))
+def alerts(spark, sf_dir):
+    rows = routes.validate_origins(rib.collapse(p.routes(spark, sf_dir, AFTER)), p.roas(spark, sf_dir), v6=False)
+    return routes.alerts(routes.path_verdicts(rows, p.relations(spark))).select("prefix", "origin_asn", "rpki_state", "path_verdict", "leak_suspected", "reason")
+
+
+# Evaluation
+
+CASE_SQL = f""", cs AS (SELECT concat('c', CAST(s_suppkey AS STRING)) AS id, {p.CASE_KINDS} AS expect_kind, 64500 + s_suppkey AS asn_a, CASE WHEN s_suppkey % 2 = 0 THEN 64500 + s_suppkey + 7 END AS asn_b,
+  CAST(CASE WHEN s_suppkey % 5 = 0 THEN '1998-06-01' ELSE '1997-01-01' END AS TIMESTAMP) AS ws, TIMESTAMP '1999-06-30 12:00:00' AS we, s_suppkey % 6 <> 1 AS expect_hit, {p.CASE_NOTES} AS notes, s_suppkey AS k FROM supplier),
+em AS (SELECT id, expect_hit, first(detail ORDER BY day, detail, prefix NULLS FIRST) FILTER (WHERE ev.kind IS NOT NULL) AS detail, count(ev.kind) > 0 AS hit FROM cs LEFT JOIN ev ON ev.kind = expect_kind AND CAST(day AS TIMESTAMP) BETWEEN ws AND we
+  AND CASE WHEN cs.asn_b IS NULL THEN ev.asn_a = cs.asn_a ELSE (ev.asn_a = cs.asn_a AND ev.asn_b = cs.asn_b) OR (ev.asn_a = cs.asn_b AND ev.asn_b = cs.asn_a) END GROUP BY id, expect_hit),
+fm AS (SELECT id, expect_hit, first('score=' || score || ' prefixes_moved=' || prefixes_moved || ' prefix_move_days=' || prefix_move_days || ' persistence_days=' || persistence_days ORDER BY score DESC, asn_lo, asn_hi) FILTER (WHERE asn_lo IS NOT NULL) AS detail, count(asn_lo) > 0 AS hit
+  FROM cs LEFT JOIN feat ON CASE WHEN cs.asn_b IS NULL THEN asn_lo = cs.asn_a OR asn_hi = cs.asn_a ELSE asn_lo = least(cs.asn_a, cs.asn_b) AND asn_hi = greatest(cs.asn_a, cs.asn_b) END
+  AND CAST(last_seen AS TIMESTAMP) >= ws AND CAST(first_seen AS TIMESTAMP) <= we AND CASE expect_kind WHEN 'prefix_move' THEN prefix_move_days > 0 WHEN 'upstream_converge' THEN upstream_converge_days > 0 ELSE true END GROUP BY id, expect_hit),
+fc AS (SELECT id, min(at) AS first FROM (
+  SELECT id, greatest(CAST(first_seen AS TIMESTAMP), ws) AS at FROM cs JOIN feat ON asn_lo = least(cs.asn_a, cs.asn_b) AND asn_hi = greatest(cs.asn_a, cs.asn_b) WHERE cs.asn_b IS NOT NULL AND CAST(last_seen AS TIMESTAMP) >= ws AND CAST(first_seen AS TIMESTAMP) <= we AND prefix_move_days + new_adj_days + upstream_converge_days > 0
+  UNION ALL SELECT id, CAST(day AS TIMESTAMP) FROM cs JOIN ev ON ((ev.asn_a = cs.asn_a AND ev.asn_b = cs.asn_b) OR (ev.asn_a = cs.asn_b AND ev.asn_b = cs.asn_a)) AND CAST(day AS TIMESTAMP) BETWEEN ws AND we WHERE kind <> 'footprint_step') GROUP BY id),
+ll AS (SELECT cs.*, fm.hit AS feature_hit, fm.hit = cs.expect_hit AS passed_feature, fm.detail, em.hit AS event_hit, fc.first,
+  date_diff('day', CAST(fc.first AS DATE), CASE WHEN k % 4 = 0 THEN DATE '1998-06-15' WHEN k % 4 = 1 THEN DATE '1999-03-01' ELSE DATE '1999-06-30' END) AS lead,
+  EXISTS (SELECT 1 FROM ev WHERE kind = 'footprint_step' AND ev.asn_a = coalesce(cs.asn_b, cs.asn_a) AND CAST(day AS TIMESTAMP) BETWEEN ws AND we) AS fp
+  FROM cs JOIN fm USING (id) JOIN em USING (id) LEFT JOIN fc USING (id))
+"""
+BUCKET_SQL = "CASE WHEN first IS NULL THEN 'miss' WHEN lead > 365 THEN '>365' WHEN lead >= 181 THEN '181-365' WHEN lead >= 91 THEN '91-180' WHEN lead >= 31 THEN '31-90' WHEN lead >= 8 THEN '8-30' WHEN lead >= 1 THEN '1-7' WHEN lead = 0 THEN '0' ELSE 'post-announce' END"
+
+
+@query(duck(CASE_SQL + "SELECT id, hit, hit = expect_hit AS passed, detail AS matched_detail FROM em"))
+def eval_events(spark, sf_dir):
+    return evals.eval_events(p.cases(spark, sf_dir), events(spark, sf_dir))
+
+
+@query(duck(CASE_SQL + "SELECT id, hit, hit = expect_hit AS passed, detail AS matched_detail FROM fm"))
+def eval_features(spark, sf_dir):
+    return evals.eval_features(p.cases(spark, sf_dir), features.pair_features(events(spark, sf_dir)))
+
+
+@query(duck(CASE_SQL + """SELECT * FROM (SELECT count_if(hit)::BIGINT AS event_hits, count_if(NOT hit)::BIGINT AS event_misses, count_if(hit = expect_hit)::BIGINT AS event_passed, count_if(hit <> expect_hit)::BIGINT AS event_failed FROM em),
+(SELECT count_if(hit)::BIGINT AS feature_hits, count_if(NOT hit)::BIGINT AS feature_misses, count_if(hit = expect_hit)::BIGINT AS feature_passed, count_if(hit <> expect_hit)::BIGINT AS feature_failed FROM fm)"""))
+def eval_report(spark, sf_dir):
+    cases, found = p.cases(spark, sf_dir), events(spark, sf_dir)
+    return evals.report(evals.eval_events(cases, found), evals.eval_features(cases, features.pair_features(found)))
+
+
+@query(duck(CASE_SQL + f"""SELECT id, expect_hit, expect_kind, asn_a, asn_b, '1999-06-30T12:00:00+00:00' AS announce_end, feature_hit, event_hit, first IS NOT NULL AS pair_contact_hit, fp AS target_footprint_hit, passed_feature,
+CAST(lead AS BIGINT) AS lead_days, {BUCKET_SQL} AS horizon_bucket, strftime(first, '%Y-%m-%dT%H:%M:%S+00:00') AS first_seen, detail FROM ll"""))
+def lead_lag(spark, sf_dir):
+    found = events(spark, sf_dir)
+    return evals.lead_lag(p.cases(spark, sf_dir), features.pair_features(found), found)
+
+
+@query(f"SELECT {BUCKET_SQL} AS bucket, count(*) AS n FROM (SELECT date_diff('day', DATE '1997-01-01', CAST(o_orderdate AS DATE)) AS lead, CASE WHEN o_custkey % 5 > 0 THEN 1 END AS first FROM orders) GROUP BY 1")
+def horizon_histogram(spark, sf_dir):
+    lead = F.datediff(F.to_date("o_orderdate"), F.lit("1997-01-01").cast("date"))
+    return p.table(spark, sf_dir, "orders").select(horizon_bucket(lead, F.col("o_custkey") % 5 > 0).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
+
+
+@query(duck("SELECT strftime(prev_day, '%Y-%m-%d') AS prev_day, strftime(day, '%Y-%m-%d') AS day FROM pairs"))
+def day_pairs(spark, sf_dir):
+    return text_days(pairs_of(spark), "prev_day", "day")
+
+
+@query("SELECT strftime(d, '%Y-%m-%d') AS day FROM (SELECT range AS d FROM range(DATE '1998-01-01', DATE '1998-03-02', INTERVAL 7 DAY) UNION SELECT DATE '1998-03-01')")
+def day_samples(spark, sf_dir):
+    return text_days(evals.sample_days(spark, "1998-01-01", "1998-03-01", 7), "day")
+
+
+@query("""
+WITH h AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderkey % 97 = 0), w AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events),
+t AS (SELECT day, r, CAST(day + o AS DATE) AS used FROM w, (VALUES (0, 0), (1, -1), (2, 1), (3, -2), (4, 2), (5, -3), (6, 3)) v(r, o))
+SELECT strftime(w.day, '%Y-%m-%d') AS day, strftime(min_by(t.used, r), '%Y-%m-%d') AS used FROM w LEFT JOIN (SELECT t.* FROM t JOIN h ON h.d = t.used) t ON t.day = w.day GROUP BY w.day
+""")
+def nearest_days(spark, sf_dir):
+    have = p.table(spark, sf_dir, "orders").where("o_orderkey % 97 = 0").select(F.to_date("o_orderdate").alias("day")).distinct()
+    wanted = p.table(spark, sf_dir, "events").select(F.to_date("ts").alias("day")).distinct()
+    return text_days(evals.nearest_days(wanted, have), "day", "used")
