@@ -11,6 +11,7 @@ import ipaddress
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 WORDS = ("w0", "w1", "w2", "w3")
 V4 = r"^\s*(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})(?:/(\d{1,2}))?\s*$"
@@ -38,7 +39,7 @@ def mask(plen: Column) -> list[Column]:
     return [masked(F.col(w), plen - 32 * i) for i, w in enumerate(WORDS)]
 
 
-V6 = "family int, plen int, w0 bigint, w1 bigint, w2 bigint, w3 bigint"
+V6 = T.StructType([T.StructField(c, T.IntegerType() if c in ("family", "plen") else T.LongType()) for c in ("family", "plen", *WORDS)])
 
 
 @F.pandas_udf(V6)

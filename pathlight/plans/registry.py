@@ -36,13 +36,14 @@ def pairs_of(spark: SparkSession) -> DataFrame:
 
 
 def context(spark: SparkSession, sf_dir: str) -> diff.Context:
-    snaps, pairs = p.snapshots(spark, sf_dir), pairs_of(spark)
+    snaps, pairs = p.snapshots(spark, sf_dir).persist(), pairs_of(spark)
     before = snaps.drop("as_of").join(F.broadcast(pairs.select(F.col("prev_day").alias("q"), F.col("day").alias("to"))), F.col("day") == F.col("q")).drop("day", "q").withColumnRenamed("to", "day")
     return diff.Context(before, snaps.join(F.broadcast(pairs.select("day")), "day"), p.orgs(spark, sf_dir), p.glue(spark, sf_dir))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return diff.diff_days(p.snapshots(spark, sf_dir), p.orgs(spark, sf_dir), p.glue(spark, sf_dir), pairs_of(spark))
+    """All events of the sampled days. Both sides of each comparison read the snapshots, so they are kept."""
+    return diff.diff_days(p.snapshots(spark, sf_dir).persist(), p.orgs(spark, sf_dir), p.glue(spark, sf_dir), pairs_of(spark))
 
 
 def event_text(df: DataFrame) -> DataFrame:
@@ -90,11 +91,10 @@ def path_interning(spark, sf_dir):
     return rib.intern(rows, "as_path", "l_orderkey")
 
 
-@query(duck(f"""SELECT DISTINCT 'a' AS side, CAST(d[i] AS BIGINT) AS x, CAST(d[i + 1] AS BIGINT) AS y FROM (SELECT d, unnest(range(1, len(d))) AS i FROM snap WHERE day = DATE '{AFTER}') WHERE false
-UNION ALL SELECT DISTINCT 'edge', least(d[i], d[i + 1]), greatest(d[i], d[i + 1]) FROM (SELECT d, unnest(range(1, len(d))) AS i FROM snap WHERE day = DATE '{AFTER}')"""))
+@query(duck(f"SELECT DISTINCT least(d[i], d[i + 1]) AS x, greatest(d[i], d[i + 1]) AS y FROM (SELECT d, unnest(range(1, len(d))) AS i FROM snap WHERE day = DATE '{AFTER}')"))
 def path_edges(spark, sf_dir):
     rows = rib.collapse(p.routes(spark, sf_dir, AFTER)).select(F.explode(edges("as_path")).alias("e"))
-    return rows.select(F.lit("edge").alias("side"), F.col("e.a").alias("x"), F.col("e.b").alias("y")).distinct()
+    return rows.select(F.col("e.a").alias("x"), F.col("e.b").alias("y")).distinct()
 
 
 @query(duck(f"SELECT array_to_string(d, ',') AS path, count(*) AS n FROM snap WHERE day = DATE '{AFTER}' GROUP BY 1"))
@@ -396,8 +396,8 @@ em AS (SELECT id, expect_hit, first(detail ORDER BY day, detail, prefix NULLS FI
 fm AS (SELECT id, expect_hit, first('score=' || score || ' prefixes_moved=' || prefixes_moved || ' prefix_move_days=' || prefix_move_days || ' persistence_days=' || persistence_days ORDER BY score DESC, asn_lo, asn_hi) FILTER (WHERE asn_lo IS NOT NULL) AS detail, count(asn_lo) > 0 AS hit
   FROM cs LEFT JOIN feat ON CASE WHEN cs.asn_b IS NULL THEN asn_lo = cs.asn_a OR asn_hi = cs.asn_a ELSE asn_lo = least(cs.asn_a, cs.asn_b) AND asn_hi = greatest(cs.asn_a, cs.asn_b) END
   AND CAST(last_seen AS TIMESTAMP) >= ws AND CAST(first_seen AS TIMESTAMP) <= we AND CASE expect_kind WHEN 'prefix_move' THEN prefix_move_days > 0 WHEN 'upstream_converge' THEN upstream_converge_days > 0 ELSE true END GROUP BY id, expect_hit),
-fc AS (SELECT id, min(at) AS first FROM (
-  SELECT id, greatest(CAST(first_seen AS TIMESTAMP), ws) AS at FROM cs JOIN feat ON asn_lo = least(cs.asn_a, cs.asn_b) AND asn_hi = greatest(cs.asn_a, cs.asn_b) WHERE cs.asn_b IS NOT NULL AND CAST(last_seen AS TIMESTAMP) >= ws AND CAST(first_seen AS TIMESTAMP) <= we AND prefix_move_days + new_adj_days + upstream_converge_days > 0
+fc AS (SELECT id, min(t0) AS first FROM (
+  SELECT id, greatest(CAST(first_seen AS TIMESTAMP), ws) AS t0 FROM cs JOIN feat ON asn_lo = least(cs.asn_a, cs.asn_b) AND asn_hi = greatest(cs.asn_a, cs.asn_b) WHERE cs.asn_b IS NOT NULL AND CAST(last_seen AS TIMESTAMP) >= ws AND CAST(first_seen AS TIMESTAMP) <= we AND prefix_move_days + new_adj_days + upstream_converge_days > 0
   UNION ALL SELECT id, CAST(day AS TIMESTAMP) FROM cs JOIN ev ON ((ev.asn_a = cs.asn_a AND ev.asn_b = cs.asn_b) OR (ev.asn_a = cs.asn_b AND ev.asn_b = cs.asn_a)) AND CAST(day AS TIMESTAMP) BETWEEN ws AND we WHERE kind <> 'footprint_step') GROUP BY id),
 ll AS (SELECT cs.*, fm.hit AS feature_hit, fm.hit = cs.expect_hit AS passed_feature, fm.detail, em.hit AS event_hit, fc.first,
   date_diff('day', CAST(fc.first AS DATE), CASE WHEN k % 4 = 0 THEN DATE '1998-06-15' WHEN k % 4 = 1 THEN DATE '1999-03-01' ELSE DATE '1999-06-30' END) AS lead,
@@ -420,14 +420,14 @@ def eval_features(spark, sf_dir):
 @query(duck(CASE_SQL + """SELECT * FROM (SELECT count_if(hit)::BIGINT AS event_hits, count_if(NOT hit)::BIGINT AS event_misses, count_if(hit = expect_hit)::BIGINT AS event_passed, count_if(hit <> expect_hit)::BIGINT AS event_failed FROM em),
 (SELECT count_if(hit)::BIGINT AS feature_hits, count_if(NOT hit)::BIGINT AS feature_misses, count_if(hit = expect_hit)::BIGINT AS feature_passed, count_if(hit <> expect_hit)::BIGINT AS feature_failed FROM fm)"""))
 def eval_report(spark, sf_dir):
-    cases, found = p.cases(spark, sf_dir), events(spark, sf_dir)
+    cases, found = p.cases(spark, sf_dir), events(spark, sf_dir).persist()
     return evals.report(evals.eval_events(cases, found), evals.eval_features(cases, features.pair_features(found)))
 
 
 @query(duck(CASE_SQL + f"""SELECT id, expect_hit, expect_kind, asn_a, asn_b, '1999-06-30T12:00:00+00:00' AS announce_end, feature_hit, event_hit, first IS NOT NULL AS pair_contact_hit, fp AS target_footprint_hit, passed_feature,
 CAST(lead AS BIGINT) AS lead_days, {BUCKET_SQL} AS horizon_bucket, strftime(first, '%Y-%m-%dT%H:%M:%S+00:00') AS first_seen, detail FROM ll"""))
 def lead_lag(spark, sf_dir):
-    found = events(spark, sf_dir)
+    found = events(spark, sf_dir).persist()
     return evals.lead_lag(p.cases(spark, sf_dir), features.pair_features(found), found)
 
 
