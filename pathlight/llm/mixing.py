@@ -2,8 +2,7 @@
 
 1. Each source's documents are dealt by hash into at most ``BLOCKS`` blocks; the blocks of a source are permuted.
 2. The target of a source, in words, fixes how many blocks it gives: whole passes over its permuted blocks, then the
-   blocks of a last pass, in permuted order, whose words come nearest to what is missing (a block that would overshoot
-   is passed over; at the end the one block that brings the sum nearest may be added).
+   blocks of a last pass, in permuted order, whose words come near to what is missing (``fill``).
 3. A binary tree over the output shards splits the vector of block quotas exactly: at each node, the blocks that go left
    are a draw without replacement from the node's blocks, of all sources at once. A leaf thereby owns an interval of
    each source's draws, and the intervals of all leaves are disjoint and cover every draw. Tasks walk from the root to
@@ -26,9 +25,8 @@ from pyspark.sql import functions as F
 
 from .common import materialize, word_count
 
-#: Blocks of a source, and documents of a block as long as a source is short of BLOCKS blocks.
+#: Blocks of a source at most. A source of fewer documents has as many blocks as documents.
 BLOCKS = 65_536
-PER_BLOCK = 8
 SOURCES = 10_000
 SEED = 11
 CYCLE = (1.0, 2.0, 3.0)
@@ -56,28 +54,47 @@ def targets(sizes: np.ndarray, weights: np.ndarray, limit: float = LIMIT) -> np.
     return out
 
 
+def fill(words: list[int], missing: float, first: int | None = None) -> tuple[float, list[int]]:
+    """Blocks in order whose words come near ``missing``: one that would overshoot is passed over, and at the end the one that helps most may overshoot.
+
+    ``first``: a block that is taken before all others. Returns how far off the sum is, and the blocks.
+    """
+    taken, total, over = ([], 0, []) if first is None else ([first], words[first], [])
+    for i, w in enumerate(words):
+        if i != first:
+            if total + w <= missing:
+                taken.append(i)
+                total += w
+            else:
+                over.append(i)
+    best = min(over, key=lambda i: (abs(missing - total - words[i]), i), default=None)
+    if best is not None and abs(missing - total - words[best]) < abs(missing - total):
+        taken.append(best)
+        total += words[best]
+    return abs(missing - total), taken
+
+
+#: Large blocks that are tried as the first one where the plain order stays off by more than CLOSE of what is missing.
+TRIES, CLOSE = 16, 0.001
+
+
 def draw_blocks(target: float, total: int, limit: int = LIMIT):
     """A source's blocks (block, words, place) to the number of times that each is drawn."""
 
     def run(blocks: pd.DataFrame) -> pd.DataFrame:
         blocks = blocks.sort_values(["place", "block"], kind="stable")
-        words = blocks["words"].to_numpy()
+        words = blocks["words"].tolist()
         times = np.zeros(len(blocks), np.int64)
         if total:
             passes = min(int(target / total), limit)
             missing = target - passes * total
             times += passes
             if passes < limit:
-                sum_, rest = 0, []
-                for i, w in enumerate(words.tolist()):
-                    if sum_ + w <= missing:
-                        times[i] += 1
-                        sum_ += w
-                    else:
-                        rest.append(i)
-                best = min(rest, key=lambda i: (abs(missing - sum_ - words[i]), i), default=None)
-                if best is not None and abs(missing - sum_ - words[best]) < missing - sum_:
-                    times[best] += 1
+                off, taken = fill(words, missing)
+                if off > CLOSE * missing:  # a few blocks outweigh the rest
+                    large = sorted(set(range(len(words))) - set(taken), key=lambda i: (-words[i], i))[:TRIES]
+                    off, taken = min([(off, taken), *(fill(words, missing, i) for i in large)], key=lambda x: x[0])
+                times[taken] += 1
         return blocks.assign(times=times)
 
     return run
@@ -133,7 +150,7 @@ def plan_mix(docs: DataFrame, cycle: tuple[float, ...] = CYCLE, limit: int = LIM
         raise ValueError(f"more than {SOURCES} sources")
     stats = sorted(stats, key=lambda r: (r.of is None, r.of or ""))
     goal = targets(np.array([r.words for r in stats], float), np.array([cycle[i % len(cycle)] for i in range(len(stats))]), limit)
-    known = [(i, r.of, int(r.words), float(goal[i]), min(BLOCKS, -(-r.docs // PER_BLOCK))) for i, r in enumerate(stats)]
+    known = [(i, r.of, int(r.words), float(goal[i]), min(BLOCKS, r.docs)) for i, r in enumerate(stats)]
     sources = spark.createDataFrame(known, "no int, source string, source_size bigint, target double, blocks bigint")
 
     blocks = in_blocks(rows, sources).groupBy("no", "block").agg(F.sum("size").alias("words"), F.first("source_size").alias("total"), F.first("target").alias("target"))
