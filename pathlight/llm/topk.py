@@ -130,7 +130,7 @@ def at_home(k: int):
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         points = arrays(group["v"].tolist())
-        ids, rids = group["vec_id"].fillna(NO_ID).astype("int64").to_numpy(), group["rid"].to_numpy()
+        ids, rids = group["vec_id"].to_numpy(), group["rid"].to_numpy()
         tree = Tree.build(points, ids, rids)
         shard = int(group["shard"].iloc[0])
         rows = [(shard, tree.dump(), None, None, None, None, None, None)]
@@ -169,6 +169,7 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
     shards = max(1, -(-n // shard))
     asks = F.coalesce(F.col("vec_id") % every == 0, F.lit(False))
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("rid"), F.lit(shards)).cast("int")).withColumn("asks", asks)
+    dealt = dealt.withColumn("vec_id", F.coalesce("vec_id", F.lit(NO_ID)))  # pandas holds longs with nulls as floats
     home = materialize(dealt.groupBy("shard").applyInPandas(at_home(k), HOME), "kd-trees")
     queries = home.where("rid is not null")
     found = queries.select("rid", "query_id", "ids", "scores")
