@@ -236,7 +236,7 @@ class LanguageModel:
                 for at in range(0, big.num_rows, 1000):
                     b = big.slice(at, 1000)
                     texts = [WORDS.findall((x.as_py() or "").lower()) for x in b.column("text")]
-                    new = list({w for t in texts for w in t if w not in known})
+                    new = list({w for t in texts for w in t if w not in known}) if langs else []
                     if len(known) + len(new) > CACHE:
                         known, table = {}, table[:0]
                         new = list({w for t in texts for w in t})
