@@ -22,4 +22,5 @@ SQL = {
     "op6_exact_dedup": exact_dedup.SQL,
     "op7_licences": licences.SQL,
     "op8_topk": topk.SQL,
+    "op9_secrets": secrets_scan.SQL,
 }

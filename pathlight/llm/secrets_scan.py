@@ -117,3 +117,34 @@ def secret_digests(docs: DataFrame) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def _sql() -> str:
+    """The same rows by other means: windows are listed and each one's entropy is computed afresh."""
+
+    def text(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    found = [(ORDER.index(k), k, p, g, least) for k, (p, g, least) in BASE.items()] + [(3, "entropy", CANDIDATE, 0, 0)]
+    parts = " UNION ALL ".join(
+        f"SELECT k, {o} AS o, '{kind}' AS kind, {least} AS least, regexp_extract_all(t, {text(p)}) AS f, regexp_extract_all(t, {text(p)}, {g}) AS v, string_split_regex(t, {text(p)}) AS g FROM d WHERE regexp_matches(t, {text(p)})"
+        for o, kind, p, g, least in found
+    )
+    allowed = " OR ".join(f"regexp_matches(f, {text(p)})" for p in ALLOWED)
+    bits = "CASE " + " ".join(f"WHEN regexp_matches(f, {text(p)}) THEN {b}" for p, b in LIMITS[:-1]) + f" ELSE {LIMITS[-1][1]} END"
+    lengths = "coalesce(list_sum(list_transform({0}, lambda x: length(x))), 0)"
+    window = f"string_split(substr(f, CAST(w AS BIGINT), {WINDOW}), '')"
+    entropy = f"-list_sum(list_transform(list_distinct({window}), lambda c: len(list_filter({window}, lambda x: x = c)) / {WINDOW}.0 * log2(len(list_filter({window}, lambda x: x = c)) / {WINDOW}.0)))"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({parts}),
+s AS (SELECT k, o, kind, f[i] AS f, {lengths.format("g[1:i]")} + {lengths.format("f[1:i - 1]")} AS a FROM (SELECT *, unnest(range(1, len(f) + 1)) AS i FROM m) WHERE length(v[i]) >= least),
+hot AS (SELECT DISTINCT k, a FROM (SELECT k, a, f, unnest(range(1, length(f) - {WINDOW} + 2)) AS w FROM s WHERE o = 3 AND NOT ({allowed})) WHERE {entropy} >= {bits}),
+r AS (SELECT k, o, kind, CAST(a AS BIGINT) AS a, concat(kind, ':', CAST(a AS BIGINT), ':', CAST(a + length(f) AS BIGINT)) AS span FROM s WHERE o < 3 OR (k, a) IN (SELECT (k, a) FROM hot))
+SELECT doc_id, count(*) FILTER (WHERE o = 0) AS n_assign, count(*) FILTER (WHERE o = 1) AS n_access, count(*) FILTER (WHERE o = 2) AS n_hex,
+  sha256(coalesce(string_agg(span, ',' ORDER BY a, o) FILTER (WHERE o < 3), '')) AS base_sha256, coalesce(string_agg(span, ',' ORDER BY a, o), '') AS spans
+FROM d LEFT JOIN r USING (k) GROUP BY k, doc_id
+"""
+
+
+SQL = _sql()
