@@ -50,14 +50,23 @@ def held_out(doc_id: Column, mod: int, rest: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % mod == rest, F.lit(False))
 
 
-def numbered(docs: DataFrame, *extra: Column) -> DataFrame:
-    """``row`` (all columns of ``docs``, so that no name can clash), ``rid`` (unique; fixed once the result is written) and ``extra``."""
-    return docs.select(F.monotonically_increasing_id().alias("rid"), F.struct(*[docs[c] for c in docs.columns]).alias("row"), *extra)
+#: Rows of a table of ids or digests that are broadcast at most: some ten megabytes. Larger ones are joined by a shuffle.
+BROADCAST_ROWS = 200_000
 
 
-def without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The ``row`` of each of ``rows`` whose ``rid`` isn't among ``dropped``."""
-    return rows.join(dropped.select("rid"), "rid", "left_anti").select("row.*")
+def small_side(written: DataFrame) -> DataFrame:
+    """A written table of narrow rows, marked for broadcast if it is small enough."""
+    return F.broadcast(written) if written.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else written
+
+
+def text_digest(text: Column) -> Column:
+    """16 bytes that tell texts apart; null and empty texts are alike."""
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
+
+
+def in_row(docs: DataFrame, *extra: Column) -> DataFrame:
+    """``row`` (all columns of ``docs``, so that no name can clash) and ``extra``."""
+    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), *extra)
 
 
 def union(frames: list[DataFrame]) -> DataFrame:

@@ -16,7 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, fresh_path, materialize, numbered, without
+from .common import ascii_lower, fresh_path, in_row, materialize, small_side
 
 #: A digest is hot if over 1/HOT_SHARE of the batch has it, so at most HOT_SHARE digests are: that bounds the broadcast.
 HOT_SHARE = 1000
@@ -84,10 +84,25 @@ def exact_groups(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame
 
 
 def drop_exact_copies(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
-    """The documents that stay, with all their columns."""
+    """The documents that stay, with all their columns. ``docs`` is read twice.
+
+    What decides about a row is its digest and id, both of which the second reading computes anew. Rows that share both
+    with the row that stays are reduced to one by themselves.
+    """
     index = index or DigestIndex(docs.sparkSession)
-    rows = materialize(numbered(docs, docs["doc_id"].cast("long").alias("doc_id"), digest(docs["text"]).alias("digest")), "digests")
-    return without(rows, index.add(rows.select("rid", "doc_id", "digest")).where(~F.col("kept")))
+    added = materialize(index.add(keyed(docs)), "copies")
+    verdicts = added.groupBy("digest").agg(
+        F.max("keep_id").alias("keep_id"), F.bool_or("kept").alias("any_kept"), F.count_if(F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("like_kept"), F.count("*").alias("n")
+    )
+    verdicts = materialize(verdicts.where("n > 1 OR NOT any_kept"), "verdicts")  # any other text is new and has no copy
+    rows = in_row(docs, docs["doc_id"].cast("long").alias("doc_id"), digest(docs["text"]).alias("digest")).join(small_side(verdicts), "digest", "left")
+    stays = F.col("n").isNull() | F.col("any_kept") & F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    once = F.coalesce("like_kept", F.lit(1)) == 1
+    out = rows.where(stays & once).select("row.*")
+    if not verdicts.where("any_kept AND like_kept > 1").isEmpty():
+        twins = rows.where(stays & ~once).groupBy("digest").agg(F.first("row").alias("row"))
+        out = out.unionByName(twins.select("row.*"))
+    return out
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ PLAIN = re.compile("[^\t\n\r\x20-\x7eÀ-ÖØ-öø-ɏ‘’“”„–—…«»
 #: The tokeniser's own split of text into words, for plain text.
 SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 #: Words that a worker remembers before it starts anew, and words that are encoded at a time.
-CACHE = 1_000_000
+CACHE = 700_000
 BATCH = 1000
 
 

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, numbered, without
+from .common import in_row, materialize, small_side, text_digest
 from .components import components
 
 SEED = 42
@@ -137,8 +137,13 @@ def references(lanes: int) -> np.ndarray:
     return np.random.default_rng(SEED).integers(0, 256, (PIVOTS, 8 * lanes), np.uint8)
 
 
+def distances(fps: np.ndarray, refs: np.ndarray) -> np.ndarray:
+    """The table of Hamming distances: fingerprint x reference."""
+    return np.stack([np.bitwise_count(fps ^ r).sum(axis=1, dtype=np.int16) for r in refs], axis=1)
+
+
 def keys(plan: Plan):
-    """(node, fp) to a row for each key: key, node, fp, and the distances to the reference fingerprints."""
+    """(node, fp) to a row for each key: key, node, fp. The distances make the key; they are cheaper to compute again than to shuffle."""
     refs = references(plan.lanes)
     weights = np.random.default_rng(SEED + 1).integers(1, 2**63, (len(plan.keys), PIVOTS * max(map(len, plan.keys)) + 1), np.int64).astype(np.uint64)
 
@@ -148,11 +153,10 @@ def keys(plan: Plan):
                 b = big.slice(at, 2000)
                 fps = matrix(b.column("fp"), 8 * plan.lanes)
                 table = np.bitwise_count(fps[:, None, :] ^ refs[None, :, :])  # node x reference x byte
-                rows = pa.array(list(map(bytes, table.sum(axis=2, dtype=np.uint16).clip(0, 255).astype(np.uint8))), pa.binary())
                 for k, own in enumerate(plan.keys):
                     part = table[:, :, list(own)].reshape(len(fps), -1).astype(np.uint64)
                     key = (part * weights[k, : part.shape[1]]).sum(axis=1, dtype=np.uint64) + weights[k, -1]
-                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), b.column("node"), b.column("fp"), rows], ["key", "node", "fp", "coords"])
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), b.column("node"), b.column("fp")], ["key", "node", "fp"])
 
     return run
 
@@ -209,7 +213,7 @@ LINKS = "a bigint, b bigint, key bigint, chunk int, fp binary"
 
 def links_of(plan: Plan, bucket: int = BUCKET):
     """Rows sorted by key to links. Of a bucket over ``bucket`` rows, each member also leaves as (a, key, chunk, fp)."""
-    width = 8 * plan.lanes
+    width, refs = 8 * plan.lanes, references(plan.lanes)
 
     def pack(a, b, key=None, chunk=None, fp=None):
         n = len(a)
@@ -232,7 +236,8 @@ def links_of(plan: Plan, bucket: int = BUCKET):
         for b in batches:
             if not b.num_rows:
                 continue
-            part = (b.column("key").to_numpy(), b.column("node").to_numpy(), matrix(b.column("fp"), width), matrix(b.column("coords"), PIVOTS).astype(np.int16))
+            fps = matrix(b.column("fp"), width)
+            part = (b.column("key").to_numpy(), b.column("node").to_numpy(), fps, distances(fps, refs))
             if held is not None:
                 part = tuple(np.concatenate(x) for x in zip(held, part))
             last = int(np.searchsorted(part[0], part[0][-1]))  # where its last bucket begins
@@ -263,7 +268,7 @@ def cross_links(plan: Plan):
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         fps = matrix(table.column("fp").combine_chunks(), 8 * plan.lanes)
-        coords = np.stack([np.bitwise_count(fps ^ r).sum(axis=1, dtype=np.int16) for r in refs], axis=1).clip(0, 255)
+        coords = distances(fps, refs)
         node = table.column("node").to_numpy()
         found = np.array([x for r in plan.radii for x in forest(fps, coords, r)], np.int64).reshape(-1, 2)
         return pa.table({"a": node[found[:, 0]], "b": node[found[:, 1]]})
@@ -274,7 +279,7 @@ def cross_links(plan: Plan):
 def links_between(nodes: DataFrame, plan: Plan, bucket: int = BUCKET) -> DataFrame:
     """``nodes``: node bigint, fp binary, each fp once. Returns links a, b whose components are those of all links."""
     # a batch's buckets are compared as a whole, so rows come sorted by key within a task
-    rows = nodes.select("node", "fp").mapInArrow(keys(plan), "key bigint, node bigint, fp binary, coords binary")
+    rows = nodes.select("node", "fp").mapInArrow(keys(plan), "key bigint, node bigint, fp binary")
     rows = rows.repartition(F.col("key")).sortWithinPartitions("key", "node")
     found = materialize(rows.mapInArrow(links_of(plan, bucket), LINKS), "links")
     links = found.where("b is not null").select("a", "b")
@@ -288,38 +293,41 @@ def links_between(nodes: DataFrame, plan: Plan, bucket: int = BUCKET) -> DataFra
 
 
 def shingle_sets(words: int):
-    """(rid, text) to the sorted distinct hashes of its shingles."""
+    """(node, text) to the sorted distinct hashes of its shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [np.unique(shingle_hashes((t.as_py() or "").encode("utf-8", "surrogatepass"), words)).view(np.int64) for t in b.column("text")]
-            yield pa.RecordBatch.from_arrays([b.column("rid"), pa.array(sets, pa.list_(pa.int64()))], ["rid", "shingles"])
+            sets = [np.unique(shingle_hashes((t.as_py() or "").encode(), words)).view(np.int64) for t in b.column("text")]
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
     return run
 
 
-def verified(links: DataFrame, texts: DataFrame, plan: Plan) -> DataFrame:
-    """The links whose documents' shingle sets are similar enough. ``texts``: rid and text of the nodes, written."""
+def verified(links: DataFrame, rows: DataFrame, docs: DataFrame, plan: Plan) -> DataFrame:
+    """The links whose documents' shingle sets are similar enough. ``rows``: rid and digest of the nodes, written; ``docs`` has their texts."""
     links = materialize(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
     ends = links.select(F.col("a").alias("rid")).union(links.select(F.col("b").alias("rid"))).distinct()
-    sets = texts.select("rid", "text").join(ends, "rid", "left_semi").mapInArrow(shingle_sets(plan.words), "rid bigint, shingles array<bigint>")
-    sets = materialize(sets, "shingles")
-    pairs = links.join(sets.select(F.col("rid").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("rid").alias("b"), F.col("shingles").alias("y")), "b")
+    wanted = materialize(rows.select("rid", "digest").join(ends, "rid").select(F.col("rid").alias("node"), "digest"), "linked-nodes")
+    texts = docs.select(text_digest(docs["text"]).alias("digest"), docs["text"].cast("string").alias("text"))
+    # equal texts have one fingerprint and so one node, but are read as often as they occur
+    sets = texts.join(small_side(wanted), "digest").select("node", "text").mapInArrow(shingle_sets(plan.words), "node bigint, shingles array<bigint>")
+    sets = materialize(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "shingles")
+    pairs = links.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
     both = F.size(F.array_intersect("x", "y"))
     return pairs.where(both >= plan.similarity * (F.size("x") + F.size("y") - both)).select("a", "b")
 
 
-def grouped(rows: DataFrame, plan: Plan, bucket: int = BUCKET, texts: DataFrame | None = None) -> DataFrame:
+def grouped(rows: DataFrame, plan: Plan, bucket: int = BUCKET, docs: DataFrame | None = None) -> DataFrame:
     """``rows``: rid, doc_id, fp, written. Returns one row per fingerprint: fp, component_id, stays (the rid that stays).
 
-    ``texts``: rid and text, for a plan that verifies.
+    For a plan that verifies, ``rows`` also has digest, and ``docs`` the texts.
     """
     nodes = rows.groupBy("fp").agg(
         F.min("rid").alias("node"), F.min("doc_id").alias("least"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("first")
     )
     nodes = materialize(nodes, "fingerprints")
     links = links_between(nodes, plan, bucket)
-    roots = components(verified(links, texts, plan) if plan.similarity else links)
+    roots = components(verified(links, rows, docs, plan) if plan.similarity else links)
     nodes = materialize(nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
     tops = nodes.groupBy("root").agg(F.min("least").alias("component_id"), F.min("first").alias("first"))
     return materialize(nodes.select("fp", "root").join(tops, "root").select("fp", "component_id", F.col("first.rid").alias("stays")), "groups")
@@ -333,13 +341,23 @@ def simhash_groups(docs: DataFrame, plan: Plan = EXACT) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
-    """One document of each group (the least ``doc_id``), with all its columns."""
+    """One document of each group (the least ``doc_id``), with all its columns. ``docs`` is read again for the texts and the result.
+
+    What decides about a row is its id and its text's digest. Of rows that share both with the row that stays, one stays.
+    """
     plan = plan or near_plan()
-    rows = numbered(docs, docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    rows = materialize(rows, "documents-numbered")
-    fps = materialize(rows.select("rid", "doc_id", "text").mapInArrow(fingerprints(plan), "rid bigint, doc_id bigint, fp binary"), "documents-fp")
-    kept = fps.join(grouped(fps, plan, texts=rows), "fp")
-    return without(rows.select("rid", "row"), kept.where("stays <> rid"))
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), docs["doc_id"].cast("long").alias("doc_id"), text_digest(docs["text"]).alias("digest"), docs["text"].cast("string").alias("text"))
+    rows = materialize(rows.mapInArrow(fingerprints(plan), "rid bigint, doc_id bigint, digest binary, fp binary"), "documents-fp")
+    judged = rows.join(grouped(rows, plan, docs=docs), "fp").groupBy("doc_id", "digest").agg(F.bool_or(F.col("stays") == F.col("rid")).alias("kept"), F.count("*").alias("n"))
+    changed = materialize(judged.where("NOT kept OR n > 1"), "near-copies")
+    marked = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("digest") == F.col("_digest"))
+    verdicts = small_side(changed.select(F.col("doc_id").alias("_doc_id"), F.col("digest").alias("_digest"), "kept"))
+    every = in_row(docs, docs["doc_id"].cast("long").alias("doc_id"), text_digest(docs["text"]).alias("digest")).join(verdicts, marked, "left")
+    out = every.where("kept IS NULL").select("row.*")
+    if not changed.where("kept").isEmpty():
+        twins = every.where("kept").groupBy("doc_id", "digest").agg(F.first("row").alias("row"))
+        out = out.unionByName(twins.select("row.*"))
+    return out
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -26,10 +27,12 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, materialize, numbered, without
+from .common import held_out, in_row, materialize
 
 #: Labelled rows that are learned from, at most.
 SAMPLE = 16_000
+#: Labelled rows below which nothing is set aside: no words are learned, and trees and calibration see all rows.
+FEW = 1500
 #: Lexicon entries that are learned, at most; documents that must have one; length of a word's beginning.
 ENTRIES, SUPPORT, BEGINNING = 2000, 4, 5
 REJECT = 0.3
@@ -92,13 +95,12 @@ def features(text: str, words: dict[str, float], beginnings: dict[str, float]) -
 
 
 def extract(words: dict[str, float], beginnings: dict[str, float]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = [features(t or "", words, beginnings) for t in (x.as_py() for x in b.column("text"))]
-            keep = [i for i, name in enumerate(b.schema.names) if name != "text"]
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in keep), pa.array(rows, pa.list_(pa.float64()))], [*(b.schema.names[i] for i in keep), "x"])
+    """A vectorised function from texts to features. Only the text goes to Python and only the features come back."""
 
-    return run
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([features(t or "", words, beginnings) for t in texts])
+
+    return F.pandas_udf(run, "array<double>")
 
 
 def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,14 +138,16 @@ class ToxicityModel:
         texts = docs.select(docs["doc_id"].cast("long").alias("id"), docs["text"].cast("string").alias("text"))
         rows = texts.join(F.broadcast(rows), "id")  # at most ``sample`` ids
         rows = materialize(rows.withColumn("part", F.pmod(F.xxhash64("id", F.lit(SEED + 1)), F.lit(100))), "labelled")
-        means = rows.agg(F.avg("toxic").alias("all"), F.avg(F.when(F.col("part").between(40, 79), F.col("toxic"))).alias("grown"), F.count(F.when(F.col("part") >= 80, 1)).alias("third")).first()
+        few = rows.count() < FEW
+        learn, grow, fit = ("false", "true", "true") if few else ("part < 40", "part BETWEEN 40 AND 79", "part >= 80")
+        means = rows.agg(F.avg("toxic").alias("all"), F.avg(F.expr(f"CASE WHEN {grow} THEN toxic END")).alias("grown"), F.count_if(F.expr(fit)).alias("third")).first()
         if not means.grown or means.grown == 1 or not means.third:
             return cls({}, {}, None, None, float(means["all"] or 0.0))
-        words, beginnings = learn_lexicon(rows.where("part < 40"))
-        known = rows.where("part >= 40").select("text", "part", "toxic").mapInArrow(extract(words, beginnings), "part bigint, toxic int, x array<double>")
+        words, beginnings = ({}, {}) if few else learn_lexicon(rows.where(learn))
+        known = rows.where(f"{grow} OR {fit}").select("part", "toxic", extract(words, beginnings)("text").alias("x"))
         known = materialize(known.coalesce(8), "features").select("part", F.col("toxic").cast("double").alias("label"), array_to_vector("x").alias("features"))
-        trees = GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.25, maxBins=64, minInstancesPerNode=5, subsamplingRate=0.9, seed=SEED).fit(known.where("part < 80").coalesce(2))
-        third = trees.transform(known.where("part >= 80").coalesce(1)).select("label", vector_to_array("probability")[1].alias("p"))
+        trees = GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.25, maxBins=64, minInstancesPerNode=5, subsamplingRate=0.9, seed=SEED).fit(known.where(grow).coalesce(2))
+        third = trees.transform(known.where(fit).coalesce(1)).select("label", vector_to_array("probability")[1].alias("p"))
         return cls(words, beginnings, trees, IsotonicRegression(featuresCol="p", labelCol="label", predictionCol="prediction_calibrated").fit(third), None)
 
     def score(self, rows: DataFrame) -> DataFrame:
@@ -152,8 +156,7 @@ class ToxicityModel:
         if self.constant is not None:
             out = rows.select(*kept, F.lit(self.constant).alias("score"))
         else:
-            schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept) + ", x array<double>"
-            out = rows.mapInArrow(extract(self.words, self.beginnings), schema).withColumn("features", array_to_vector("x"))
+            out = rows.select(*kept, extract(self.words, self.beginnings)("text").alias("x")).withColumn("features", array_to_vector("x"))
             out = self.trees.transform(out).withColumn("p", vector_to_array("probability")[1])
             out = self.calibration.transform(out).select(*kept, F.least(F.greatest(F.col("prediction_calibrated"), F.lit(0.0)), F.lit(1.0)).alias("score"))
         return out.withColumn("predicted", (F.col("score") >= REJECT).cast("int"))
@@ -169,9 +172,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
 def drop_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The documents that aren't predicted to be toxic, with all their columns."""
     model = ToxicityModel.fit(docs, labels, sample)
-    rows = materialize(numbered(docs, docs["text"].cast("string").alias("text")), "documents-numbered")
-    scored = materialize(model.score(rows.select("rid", "text")), "toxicity")
-    return without(rows.select("rid", "row"), scored.where("predicted = 1"))
+    return model.score(in_row(docs, docs["text"].cast("string").alias("text"))).where("predicted = 0").select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
