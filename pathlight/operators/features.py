@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import SparseConfig
@@ -14,13 +14,12 @@ from .attribution import families_of_asn
 def sparse(events: DataFrame, config: SparseConfig | None = None) -> DataFrame:
     """Prefix moves of pairs that have at least so many of them on one UTC day (events, not prefixes); other kinds as configured.
 
-    A move without two different ASNs has no pair and is dropped.
+    A move without two ASNs has no pair and is dropped. One pass over the moves: they are counted where they stand.
     """
     config = config or SparseConfig()
-    lo, hi = F.least("asn_a", "asn_b"), F.greatest("asn_a", "asn_b")
+    pair_day = Window.partitionBy(F.least("asn_a", "asn_b"), F.greatest("asn_a", "asn_b"), day(F.col("timestamp")))
     moves = events.where("kind = 'prefix_move' AND asn_a IS NOT NULL AND asn_b IS NOT NULL")
-    busy = moves.groupBy(lo.alias("_lo"), hi.alias("_hi"), day(F.col("timestamp")).alias("_day")).agg(F.count("*").alias("_n")).where(F.col("_n") >= config.min_moves_per_pair_day)
-    kept = moves.withColumns({"_lo": lo, "_hi": hi, "_day": day(F.col("timestamp"))}).join(busy.drop("_n"), ["_lo", "_hi", "_day"], "left_semi").select(*events.columns)
+    kept = moves.withColumn("_n", F.count("*").over(pair_day)).where(F.col("_n") >= config.min_moves_per_pair_day).drop("_n")
     others = [k for k, on in (("new_adj", config.keep_new_adj), ("upstream_converge", config.keep_upstream_converge), ("footprint_step", config.keep_footprint_step)) if on]
     return kept.unionByName(events.where(F.col("kind").isin(others))) if others else kept
 
