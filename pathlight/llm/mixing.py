@@ -23,10 +23,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, word_count
+from .common import materialize, small_side, word_count
 
-#: Blocks of a source at most. A source of fewer documents has as many blocks as documents.
-BLOCKS = 65_536
+#: Blocks of a source at most. A source of fewer documents has as many blocks as documents. A run has at most LIMIT draws
+#: a block, so the table of draws is bounded by the number of sources, not by the documents.
+BLOCKS = 4096
 SOURCES = 10_000
 SEED = 11
 CYCLE = (1.0, 2.0, 3.0)
@@ -141,7 +142,7 @@ def in_blocks(rows: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def plan_mix(docs: DataFrame, cycle: tuple[float, ...] = CYCLE, limit: int = LIMIT, shard_words: int = SHARD_WORDS, seed: int = SEED):
-    """Sizes of all documents, the bounded table of sources, and the draws: no, block, copy, shard (all written)."""
+    """Sizes of all documents, the bounded table of sources, and the blocks that are drawn: no, block, draws (copy, shard of each), all written."""
     spark = docs.sparkSession
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["source"].cast("string").alias("of"), word_count(docs["text"]).alias("size"), document_hash(docs, seed).alias("h"))
     rows = materialize(rows, "sizes")
@@ -172,16 +173,16 @@ def plan_mix(docs: DataFrame, cycle: tuple[float, ...] = CYCLE, limit: int = LIM
     tree = split_tree([quotas.get(i, 0) for i in range(len(known))], shards, seed)
     owners = spark.range(shards).mapInPandas(tree, "shard bigint, no int, lo bigint, hi bigint")
     owners = owners.select("shard", "no", F.explode(F.sequence("lo", F.col("hi") - 1)).alias("draw"))
-    placed = materialize(draws.join(owners, ["no", "draw"]).select("no", "block", "copy", "shard"), "placed")
-    return rows, sources, placed
+    placed = draws.join(owners, ["no", "draw"]).groupBy("no", "block").agg(F.collect_list(F.struct("copy", "shard")).alias("draws"))
+    return rows, sources, materialize(placed, "placed")
 
 
 def mix_sizes(docs: DataFrame, **options) -> DataFrame:
     """doc_id, size, source_size, target and taken (words that the shards' draws take of it) of every document."""
     rows, sources, placed = plan_mix(docs, **options)
-    times = placed.groupBy("no", "block").agg(F.count("*").alias("times"))
-    out = in_blocks(rows, sources).join(times, ["no", "block"], "left")
-    return out.select("doc_id", "size", "source_size", "target", (F.coalesce("times", F.lit(0)) * F.col("size")).alias("taken"))
+    out = in_blocks(rows, sources).join(small_side(placed), ["no", "block"], "left")
+    times = F.coalesce(F.size("draws"), F.lit(0)).cast("long")
+    return out.select("doc_id", "size", "source_size", "target", (F.greatest(times, F.lit(0)) * F.col("size")).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
@@ -191,8 +192,9 @@ def mixed_documents(docs: DataFrame, seed: int = SEED, **options) -> DataFrame:
     """
     _, sources, placed = plan_mix(docs, seed=seed, **options)
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["source"].cast("string").alias("of"), document_hash(docs, seed).alias("h"))
-    out = in_blocks(rows, sources).select("row", "h", "no", "block").join(placed, ["no", "block"])
-    out = out.select("row", "shard", F.xxhash64("h", "copy", "shard").alias("place"))
+    # the texts move once, to their shards, while the table of draws is small
+    out = in_blocks(rows, sources).select("row", "h", "no", "block").join(small_side(placed), ["no", "block"])
+    out = out.select("row", "h", F.inline("draws")).select("row", "shard", F.xxhash64("h", "copy", "shard").alias("place"))
     return out.repartition(F.col("shard"), F.pmod("place", F.lit(PARTS))).sortWithinPartitions("shard", "place").select("row.*")
 
 
