@@ -99,10 +99,12 @@ class Tree:
                     continue
                 s, e = self.span[n]
                 scores = points[s:e] @ q
-                good = np.arange(e - s) if bound is None else np.flatnonzero(scores >= bound)
+                good = np.flatnonzero(self.rids[s:e] != row)  # before the trim, so that the own row takes no place
+                if bound is not None:
+                    good = good[scores[good] >= bound]
                 if len(good) > k:  # only the best k of a leaf can count: all above the k-th score, and its ties
                     good = good[scores[good] >= np.sort(scores[good])[-k]]
-                new = [(int(scores[i]), -int(self.ids[s + i]), int(self.rids[s + i])) for i in good.tolist() if self.rids[s + i] != row]
+                new = [(int(scores[i]), -int(self.ids[s + i]), int(self.rids[s + i])) for i in good.tolist()]
                 if new:
                     found = heapq.nlargest(k, found + new)
                     if len(found) == k and (bound is None or found[-1][0] > bound):

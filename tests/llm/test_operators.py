@@ -374,6 +374,22 @@ def test_topk(spark, shard, leaf_rows):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("size", [6, 20, 60])
+def test_topk_clusters(spark, size):
+    """Tight groups of distinct vectors: all neighbours of a query lie in its own leaf, and its own row is among the best."""
+    rng = np.random.default_rng(size)
+    centres = rng.normal(0, 4, (20, 8))
+    vectors = [(50 * c if j == 0 else 1000 + 100 * c + j, (centres[c] + rng.normal(0, 0.05, 8)).tolist()) for c in range(20) for j in range(size)]
+    points = np.floor(256 * np.array([v for _, v in vectors])).astype(np.int64)
+    want = []
+    for q, (i, _) in enumerate(vectors):
+        if i % 50 == 0:
+            scores = sorted((-int(points[q] @ points[j]), k) for j, (k, _) in enumerate(vectors) if j != q)[:5]
+            want += [(i, rank + 1, k, -s) for rank, (s, k) in enumerate(scores)]
+    got = topk.top_k(spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>"))
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_topk_small(spark):
     kind = "vec_id bigint, embedding array<float>"
     assert topk.top_k(spark.createDataFrame([], kind)).collect() == []
