@@ -7,16 +7,19 @@
    By the triangle inequality two fingerprints that agree on a set of bytes have equal distances there, so such a
    partial row is an equi-join key: ``Plan.keys`` lists the sets of bytes. For 64 bits and a radius of 2 the keys are
    the six pairs of the four 16-bit blocks; two fingerprints that differ in at most 2 bits agree on one of them, so no
-   link is lost. For a similarity threshold the keys are bands, the radius is wider than the threshold's expected
-   distance by about two standard deviations, and each link is then verified by the Jaccard similarity of the
-   documents' shingle sets; a pair at the threshold is met with about the probability that ``Plan.recall`` gives.
+   link is lost. For a similarity threshold the keys are bands, and the radius is wider than the threshold's expected
+   distance by about two standard deviations; a pair at the threshold is met with about the probability that
+   ``Plan.recall`` gives. Components of these links only bring together what is then verified (7).
 4. Rows are dealt out and sorted by key and streamed. Within a key, pairs whose distances to any one reference
    fingerprint differ by more than the radius are discarded; survivors are verified by the Hamming distance itself.
    All links leave a bucket of up to ``SMALL`` members. Of a larger one, a spanning forest leaves (at most one link a
-   member), for a plan that verifies one at each of three radii, so that members hang on to those nearest to them.
+   member): the components are the same.
 5. A bucket of more than ``BUCKET`` different fingerprints is cut into chunks, and each pair of chunks is compared in a
    task of its own: memory stays bounded and no link is lost.
 6. Connected components of the links give the groups.
+7. For a similarity threshold a group is searched for a spanning forest of its pairs whose shingle sets are similar
+   enough, whatever links brought it together, and the components of these forests are the groups. A large one is cut
+   into parts (``parts_of``), and each pair of parts is searched in a task of its own.
 
 Null and empty texts have the fingerprint zero and link with each other. A null ``doc_id`` counts in no minimum; rows
 that share a ``doc_id`` are told apart by position. Columns other than ``doc_id`` and ``text`` are ignored.
@@ -59,10 +62,6 @@ class Plan:
     #: Least Jaccard similarity of shingle sets; 0: the radius decides.
     similarity: float = 0.0
 
-    @property
-    def radii(self) -> tuple[int, ...]:
-        return (self.radius // 2, 3 * self.radius // 4, self.radius) if self.similarity else (self.radius,)
-
     def recall(self, similarity: float) -> float:
         """Probability that two texts of this Jaccard similarity of shingles share a key (for separate bands)."""
         p = 1 - differing(similarity)
@@ -188,7 +187,7 @@ def forest(fps: np.ndarray, coords: np.ndarray, radius: int) -> list[tuple[int,
     return out
 
 
-def bucket_links(key: np.ndarray, node: np.ndarray, fps: np.ndarray, coords: np.ndarray, radii: tuple[int, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def bucket_links(key: np.ndarray, node: np.ndarray, fps: np.ndarray, coords: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Links (a, b) of whole buckets, sorted by key."""
     starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     sizes = np.diff(np.r_[starts, len(key)])
@@ -200,12 +199,11 @@ def bucket_links(key: np.ndarray, node: np.ndarray, fps: np.ndarray, coords: np.
         if not same.any():
             break
         i, j = i[same], j[same]
-        hit = linked(fps, coords, i, j, radii[-1])
+        hit = linked(fps, coords, i, j, radius)
         yield node[i[hit]], node[j[hit]]
     for s, n in zip(starts[sizes > SMALL], sizes[sizes > SMALL]):
-        for radius in radii:
-            found = np.array(forest(fps[s : s + n], coords[s : s + n], radius), np.int64).reshape(-1, 2) + s
-            yield node[found[:, 0]], node[found[:, 1]]
+        found = np.array(forest(fps[s : s + n], coords[s : s + n], radius), np.int64).reshape(-1, 2) + s
+        yield node[found[:, 0]], node[found[:, 1]]
 
 
 LINKS = "a bigint, b bigint, key bigint, chunk int, fp binary"
@@ -226,7 +224,7 @@ def links_of(plan: Plan, bucket: int = BUCKET):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def solve(part, chunk):
             key, node, fps, coords = part
-            for a, b in bucket_links(key, node, fps, coords, plan.radii):
+            for a, b in bucket_links(key, node, fps, coords, plan.radius):
                 if len(a):
                     yield pack(a, b)
             if chunk is not None:
@@ -270,14 +268,14 @@ def cross_links(plan: Plan):
         fps = matrix(table.column("fp").combine_chunks(), 8 * plan.lanes)
         coords = distances(fps, refs)
         node = table.column("node").to_numpy()
-        found = np.array([x for r in plan.radii for x in forest(fps, coords, r)], np.int64).reshape(-1, 2)
+        found = np.array(forest(fps, coords, plan.radius), np.int64).reshape(-1, 2)
         return pa.table({"a": node[found[:, 0]], "b": node[found[:, 1]]})
 
     return run
 
 
 def links_between(nodes: DataFrame, plan: Plan, bucket: int = BUCKET) -> DataFrame:
-    """``nodes``: node bigint, fp binary, each fp once. Returns links a, b whose components are those of all links."""
+    """``nodes``: node bigint, fp binary. Returns links a, b whose components are those of all links."""
     # a batch's buckets are compared as a whole, so rows come sorted by key within a task
     rows = nodes.select("node", "fp").mapInArrow(keys(plan), "key bigint, node bigint, fp binary")
     rows = rows.repartition(F.col("key")).sortWithinPartitions("key", "node")
@@ -303,18 +301,82 @@ def shingle_sets(words: int):
     return run
 
 
+#: A group of more than WHOLE members, or of more than HELD shingles, is cut into parts: of about PART members, at most
+#: PARTS of them, or as many as it takes for a part to have about HELD shingles.
+WHOLE, PART, PARTS, HELD = 128, 64, 24, 2**20
+
+
+def parts_of(members, shingles):
+    """Into how many parts a group is cut, as a column; each member meets all others, as each pair of parts does."""
+    parts = F.greatest(F.lit(2), F.least(F.lit(PARTS), F.ceil(members / PART)), F.ceil(shingles / HELD))
+    return F.when((members > WHOLE) | (shingles > HELD), parts).otherwise(1).cast("int")
+
+
+def similar(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of sets (sorted, distinct) whose Jaccard similarity is at least ``similarity``.
+
+    As in ``forest``, a search from each set over those not yet reached, by increasing size.
+    """
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    flat = np.unique(np.concatenate(sets), return_inverse=True)[1]  # shingles by number
+    ends = np.cumsum(sizes)
+    owner = np.repeat(np.arange(len(sets)), sizes)[np.argsort(flat, kind="stable")]  # the sets that have a shingle, by shingle
+    last = np.cumsum(np.bincount(flat))
+    first = np.r_[0, last[:-1]]
+
+    def shared(x: int, near: np.ndarray) -> np.ndarray:
+        own = flat[ends[x] - sizes[x] : ends[x]]
+        counts = last[own] - first[own]
+        if 4 * sizes[near].sum() < counts.sum():  # few sets are left
+            return np.array([np.isin(flat[ends[y] - sizes[y] : ends[y]], own, assume_unique=True).sum() for y in near.tolist()], np.int64)
+        at = np.arange(counts.sum()) + np.repeat(first[own] - np.cumsum(counts) + counts, counts)
+        return np.bincount(owner[at], minlength=len(sets))[near]
+
+    order, out = np.argsort(sizes, kind="stable"), []
+    while len(order):
+        todo, order = [int(order[0])], order[1:]
+        while todo and len(order):
+            x = todo.pop()
+            lo, hi = np.searchsorted(sizes[order], [math.floor(similarity * sizes[x]), math.ceil(sizes[x] / similarity) + 1])
+            near = order[lo:hi]
+            if not len(near):
+                continue
+            both = shared(x, near)
+            hit = both >= similarity * (sizes[x] + sizes[near] - both)
+            out += [(x, y) for y in near[hit].tolist()]
+            todo += near[hit].tolist()
+            order = np.concatenate([order[:lo], near[~hit], order[hi:]])
+    return out
+
+
+def similar_pairs(plan: Plan):
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        node = table.column("node").to_numpy()
+        found = np.array(similar([x.values.to_numpy() for x in table.column("shingles")], plan.similarity), np.int64).reshape(-1, 2)
+        return pa.table({"a": node[found[:, 0]], "b": node[found[:, 1]]})
+
+    return run
+
+
 def verified(links: DataFrame, rows: DataFrame, docs: DataFrame, plan: Plan) -> DataFrame:
-    """The links whose documents' shingle sets are similar enough. ``rows``: rid and digest of the nodes, written; ``docs`` has their texts."""
-    links = materialize(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
-    ends = links.select(F.col("a").alias("rid")).union(links.select(F.col("b").alias("rid"))).distinct()
-    wanted = materialize(rows.select("rid", "digest").join(ends, "rid").select(F.col("rid").alias("node"), "digest"), "linked-nodes")
+    """Links between nodes that ``links`` connect and whose documents' shingle sets are similar enough: their components are those of all such pairs.
+
+    ``rows``: rid and digest of the nodes, written; ``docs`` has their texts.
+    """
+    met = components(links).select(F.col("node").alias("rid"), "root")
+    wanted = materialize(rows.select("rid", "digest").join(met, "rid").select(F.col("rid").alias("node"), "root", "digest"), "linked-nodes")
     texts = docs.select(text_digest(docs["text"]).alias("digest"), docs["text"].cast("string").alias("text"))
     # equal texts have one fingerprint and so one node, but are read as often as they occur
-    sets = texts.join(small_side(wanted), "digest").select("node", "text").mapInArrow(shingle_sets(plan.words), "node bigint, shingles array<bigint>")
-    sets = materialize(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "shingles")
-    pairs = links.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-    both = F.size(F.array_intersect("x", "y"))
-    return pairs.where(both >= plan.similarity * (F.size("x") + F.size("y") - both)).select("a", "b")
+    sets = texts.join(small_side(wanted.select("node", "digest")), "digest").select("node", "text").mapInArrow(shingle_sets(plan.words), "node bigint, shingles array<bigint>")
+    sets = sets.groupBy("node").agg(F.first("shingles").alias("shingles")).join(wanted.select("node", "root"), "node")
+    sets = materialize(sets, "shingles")
+    parts = parts_of(F.count("*"), F.sum(F.size("shingles")))
+    cut = materialize(sets.groupBy("root").agg(parts.alias("parts")).where("parts > 1"), "cut-groups")
+    sets = sets.join(small_side(cut), "root", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
+    sets = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("other <> part OR parts = 1")
+    sets = sets.select("root", F.least("part", "other").alias("c"), F.greatest("part", "other").alias("d"), "node", "shingles")
+    return sets.groupBy("root", "c", "d").applyInArrow(similar_pairs(plan), "a bigint, b bigint")
 
 
 def grouped(rows: DataFrame, plan: Plan, bucket: int = BUCKET, docs: DataFrame | None = None) -> DataFrame:

@@ -134,6 +134,55 @@ def test_near_copies(spark, empty):
     assert simhash.drop_near_copies(empty).columns == empty.columns and simhash.drop_near_copies(empty).isEmpty()
 
 
+def shingles_of(text):
+    w = words(text)
+    return set(zip(*(w[i:] for i in range(5))))
+
+
+def changed(rng, w, edits):
+    w = list(w)
+    for at in rng.sample(range(len(w)), edits):
+        w[at] = f"w{rng.randrange(10**6)}"
+    return w
+
+
+def kept_of(spark, texts):
+    return {r.doc_id for r in simhash.drop_near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+
+
+def test_near_copies_in_large_buckets(spark):
+    """Pairs of near copies among many texts that are near by their fingerprints alone: of a pair that meets in any bucket, one text goes."""
+    rng, plan = random.Random(11), simhash.near_plan()
+    base, texts = [f"w{rng.randrange(10**6)}" for _ in range(200)], []
+    for _ in range(600):
+        w = changed(rng, base, 3)
+        texts += [" ".join(w), " ".join(changed(rng, w, 4))]
+    prints = [np.frombuffer(simhash.fingerprint(t.encode(), plan), np.uint8) for t in texts]
+    kept, pairs = kept_of(spark, texts), 0
+    for i in range(0, len(texts), 2):
+        x, y = shingles_of(texts[i]), shingles_of(texts[i + 1])
+        same = prints[i] == prints[i + 1]
+        if len(x & y) >= 0.8 * len(x | y) and any(same[list(k)].all() for k in plan.keys) and np.bitwise_count(prints[i] ^ prints[i + 1]).sum() <= plan.radius:
+            pairs += 1
+            assert not {i, i + 1} <= kept
+    assert pairs > 100
+
+
+@pytest.mark.parametrize("whole", [128, 8])
+def test_near_copies_in_parts(spark, monkeypatch, whole):
+    """Chains, and groups that are cut into parts, against brute force."""
+    monkeypatch.setattr(simhash, "WHOLE", whole)
+    rng, texts = random.Random(2), []
+    for n in (60, 20):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        for _ in range(n):
+            texts.append(" ".join(w))
+            w = changed(rng, w, 1)
+    rng.shuffle(texts)
+    group = brute_components([shingles_of(t) for t in texts], lambda a, b: len(a & b) >= 0.8 * len(a | b))
+    assert kept_of(spark, texts) == {group.index(g) for g in group}
+
+
 def test_plan_recall():
     plan = simhash.near_plan()
     assert plan.recall(0.8) > 0.85 and plan.recall(0.9) > 0.99 and simhash.EXACT.radius == 2
