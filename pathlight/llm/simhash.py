@@ -2,7 +2,9 @@
 
 1. A fingerprint of ``64 * lanes`` bits sums up a document's word shingles: a bit is set if it is set in over half of
    the shingle hashes (lane 0 is XXH64 with seed 42; further lanes remix it).
-2. Equal fingerprints are one node, so copies are counted before anything is compared.
+   For a similarity threshold, which is one of shingle sets, each distinct shingle counts once.
+2. Equal fingerprints are one node, so copies are counted before anything is compared; for a similarity threshold, equal
+   fingerprints of equal shingle sets are.
 3. Each node gets a row of Hamming distances to ``PIVOTS`` reference fingerprints, kept per byte of the fingerprint.
    By the triangle inequality two fingerprints that agree on a set of bytes have equal distances there, so such a
    partial row is an equi-join key: ``Plan.keys`` lists the sets of bytes. For 64 bits and a radius of 2 the keys are
@@ -27,6 +29,7 @@ that share a ``doc_id`` are told apart by position. Columns other than ``doc_id`
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -102,8 +105,17 @@ def remix(h: np.ndarray, lane: int) -> np.ndarray:
 
 
 def fingerprint(text: bytes, plan: Plan) -> bytes:
-    """Big-endian lanes, so that the hex digits of lane 0 read as its number."""
+    return summed(counted(text, plan), plan)
+
+
+def counted(text: bytes, plan: Plan) -> np.ndarray:
+    """The shingles that a fingerprint counts: distinct ones for a plan that verifies sets."""
     h = shingle_hashes(text, plan.words)
+    return np.unique(h) if plan.similarity else h
+
+
+def summed(h: np.ndarray, plan: Plan) -> bytes:
+    """Big-endian lanes, so that the hex digits of lane 0 read as its number."""
     if not len(h):
         return bytes(8 * plan.lanes)
     ones = np.zeros(64 * plan.lanes, np.int64)
@@ -115,12 +127,19 @@ def fingerprint(text: bytes, plan: Plan) -> bytes:
 
 
 def fingerprints(plan: Plan):
+    """Column text to fp and, for a plan that verifies, a digest of the shingle set."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column("text").cast(pa.binary())
-            fps = [fingerprint(t.as_buffer().to_pybytes() if t.is_valid else b"", plan) for t in texts]
+            fps, sets = [], []
+            for t in texts:
+                h = counted(t.as_buffer().to_pybytes() if t.is_valid else b"", plan)
+                fps.append(summed(h, plan))
+                sets.append(hashlib.md5(h.tobytes()).digest())
+            new = {"fp": fps, "shingles": sets} if plan.similarity else {"fp": fps}
             keep = [i for i, name in enumerate(b.schema.names) if name != "text"]
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in keep), pa.array(fps, pa.binary())], [*(b.schema.names[i] for i in keep), "fp"])
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in keep), *(pa.array(x, pa.binary()) for x in new.values())], [*(b.schema.names[i] for i in keep), *new])
 
     return run
 
@@ -367,7 +386,7 @@ def verified(links: DataFrame, rows: DataFrame, docs: DataFrame, plan: Plan) ->
     met = components(links).select(F.col("node").alias("rid"), "root")
     wanted = materialize(rows.select("rid", "digest").join(met, "rid").select(F.col("rid").alias("node"), "root", "digest"), "linked-nodes")
     texts = docs.select(text_digest(docs["text"]).alias("digest"), docs["text"].cast("string").alias("text"))
-    # equal texts have one fingerprint and so one node, but are read as often as they occur
+    # equal texts have one shingle set and so one node, but are read as often as they occur
     sets = texts.join(small_side(wanted.select("node", "digest")), "digest").select("node", "text").mapInArrow(shingle_sets(plan.words), "node bigint, shingles array<bigint>")
     sets = sets.groupBy("node").agg(F.first("shingles").alias("shingles")).join(wanted.select("node", "root"), "node")
     sets = materialize(sets, "shingles")
@@ -379,12 +398,17 @@ def verified(links: DataFrame, rows: DataFrame, docs: DataFrame, plan: Plan) ->
     return sets.groupBy("root", "c", "d").applyInArrow(similar_pairs(plan), "a bigint, b bigint")
 
 
+def node_key(plan: Plan) -> list[str]:
+    return ["fp", "shingles"] if plan.similarity else ["fp"]
+
+
 def grouped(rows: DataFrame, plan: Plan, bucket: int = BUCKET, docs: DataFrame | None = None) -> DataFrame:
-    """``rows``: rid, doc_id, fp, written. Returns one row per fingerprint: fp, component_id, stays (the rid that stays).
+    """``rows``: rid, doc_id, fp, written. Returns one row per node (``node_key``): its key, component_id, stays (the rid that stays).
 
-    For a plan that verifies, ``rows`` also has digest, and ``docs`` the texts.
+    For a plan that verifies, ``rows`` also has digest and shingles (the digest of the set), and ``docs`` the texts.
     """
-    nodes = rows.groupBy("fp").agg(
+    own = node_key(plan)
+    nodes = rows.groupBy(*own).agg(
         F.min("rid").alias("node"), F.min("doc_id").alias("least"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("first")
     )
     nodes = materialize(nodes, "fingerprints")
@@ -392,7 +416,7 @@ def grouped(rows: DataFrame, plan: Plan, bucket: int = BUCKET, docs: DataFrame |
     roots = components(verified(links, rows, docs, plan) if plan.similarity else links)
     nodes = materialize(nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
     tops = nodes.groupBy("root").agg(F.min("least").alias("component_id"), F.min("first").alias("first"))
-    return materialize(nodes.select("fp", "root").join(tops, "root").select("fp", "component_id", F.col("first.rid").alias("stays")), "groups")
+    return materialize(nodes.select(*own, "root").join(tops, "root").select(*own, "component_id", F.col("first.rid").alias("stays")), "groups")
 
 
 def simhash_groups(docs: DataFrame, plan: Plan = EXACT) -> DataFrame:
@@ -409,8 +433,8 @@ def drop_near_copies(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
     """
     plan = plan or near_plan()
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), docs["doc_id"].cast("long").alias("doc_id"), text_digest(docs["text"]).alias("digest"), docs["text"].cast("string").alias("text"))
-    rows = materialize(rows.mapInArrow(fingerprints(plan), "rid bigint, doc_id bigint, digest binary, fp binary"), "documents-fp")
-    judged = rows.join(grouped(rows, plan, docs=docs), "fp").groupBy("doc_id", "digest").agg(F.bool_or(F.col("stays") == F.col("rid")).alias("kept"), F.count("*").alias("n"))
+    rows = materialize(rows.mapInArrow(fingerprints(plan), "rid bigint, doc_id bigint, digest binary, fp binary, shingles binary"), "documents-fp")
+    judged = rows.join(grouped(rows, plan, docs=docs), node_key(plan)).groupBy("doc_id", "digest").agg(F.bool_or(F.col("stays") == F.col("rid")).alias("kept"), F.count("*").alias("n"))
     changed = materialize(judged.where("NOT kept OR n > 1"), "near-copies")
     marked = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("digest") == F.col("_digest"))
     verdicts = small_side(changed.select(F.col("doc_id").alias("_doc_id"), F.col("digest").alias("_digest"), "kept"))

@@ -183,6 +183,15 @@ def test_near_copies_in_parts(spark, monkeypatch, whole):
     assert kept_of(spark, texts) == {group.index(g) for g in group}
 
 
+def test_near_copies_with_repeats(spark):
+    """Repeated words add one shingle to a set: a run of them hides no near copy, and makes none of two other texts."""
+    rng = random.Random(4)
+    w = [[f"w{rng.randrange(10**6)}" for _ in range(n)] for n in (200, 30, 30)]
+    run = ["ha"] * 500
+    texts = [" ".join(x) for x in (w[0], w[0] + run, w[1] + run, w[2] + run, ["ha"] * 7, ["ha"] * 9)]
+    assert kept_of(spark, texts) == {0, 2, 3, 4}
+
+
 def test_plan_recall():
     plan = simhash.near_plan()
     assert plan.recall(0.8) > 0.85 and plan.recall(0.9) > 0.99 and simhash.EXACT.radius == 2
