@@ -10,20 +10,21 @@
    partial row is an equi-join key: ``Plan.keys`` lists the sets of bytes. For 64 bits and a radius of 2 the keys are
    the six pairs of the four 16-bit blocks; two fingerprints that differ in at most 2 bits agree on one of them, so no
    link is lost. For a similarity threshold the keys are bands, and the radius is wider than the threshold's expected
-   distance by about two standard deviations; a pair at the threshold is met with about the probability that
-   ``Plan.recall`` gives. Components of these links only bring together what is then verified (7).
+   distance by three standard deviations; a pair at the threshold is met with about the probability that
+   ``Plan.recall`` measures. Components of these links only bring together what is then verified (7).
 4. Rows are dealt out and sorted by key and streamed. Within a key, pairs whose distances to any one reference
    fingerprint differ by more than the radius are discarded; survivors are verified by the Hamming distance itself.
    All links leave a bucket of up to ``SMALL`` members. Of a larger one, a spanning forest leaves (at most one link a
    member): the components are the same.
-5. A bucket of more than ``BUCKET`` different fingerprints is cut into chunks, and each pair of chunks is compared in a
-   task of its own: memory stays bounded and no link is lost.
+5. A bucket of more than ``BUCKET`` different fingerprints is cut into chunks before anything in it is compared, and
+   each pair of chunks is compared in a task of its own: memory and time of a task stay bounded and no link is lost.
 6. Connected components of the links give the groups.
 7. For a similarity threshold a group is searched for a spanning forest of its pairs whose shingle sets are similar
    enough, whatever links brought it together, and the components of these forests are the groups. A large one is cut
    into parts (``parts_of``), and each pair of parts is searched in a task of its own.
 
-Null and empty texts have the fingerprint zero and link with each other. A null ``doc_id`` counts in no minimum; rows
+Texts are hashed piece by piece, so a very long one costs little more than its shingles' hashes. Null and empty texts
+have the fingerprint zero and link with each other. A null ``doc_id`` counts in no minimum; rows
 that share a ``doc_id`` are told apart by position. Columns other than ``doc_id`` and ``text`` are ignored.
 """
 
@@ -31,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -46,12 +48,17 @@ from .components import components
 
 SEED = 42
 PIVOTS = 32
-#: Fingerprints of one key that a task holds at a time.
-BUCKET = 65_536
+#: Fingerprints of one key that a chunk has; a task compares two chunks at most.
+BUCKET = 16_384
 #: Buckets up to this size are compared by shifted arrays, larger ones by a search from each member.
 SMALL = 32
 #: Shingles whose bits are counted at a time: a sum of that many bits fits a byte.
 BLOCK = 255
+#: Bytes of a text that are split into words at a time, up to the next white space.
+PIECE = 1 << 18
+GAP = re.compile(rb"[\x20\x09-\x0D]")
+#: Each byte of a fingerprint makes a band with the bytes so far behind it.
+SHIFTS = (1, 3, 9)
 
 
 @dataclass(frozen=True)
@@ -65,10 +72,15 @@ class Plan:
     #: Least Jaccard similarity of shingle sets; 0: the radius decides.
     similarity: float = 0.0
 
-    def recall(self, similarity: float) -> float:
-        """Probability that two texts of this Jaccard similarity of shingles share a key (for separate bands)."""
-        p = 1 - differing(similarity)
-        return 1 - math.prod(1 - p ** (8 * len(k)) for k in self.keys)
+    def recall(self, similarity: float, pairs: int = 4000) -> float:
+        """The share of pairs of this Jaccard similarity that meet in a key within the radius, by drawing ``pairs`` of them.
+
+        Bits differ independently; keys that share bytes aren't taken to be independent.
+        """
+        flips = np.random.default_rng(SEED).random((pairs, 8 * self.lanes, 8)) < differing(similarity)
+        same = ~flips.any(axis=2)
+        met = np.any([same[:, list(k)].all(axis=1) for k in self.keys], axis=0)
+        return float((met & (flips.sum(axis=(1, 2)) <= self.radius)).mean())
 
 
 def differing(similarity: float) -> float:
@@ -81,19 +93,33 @@ EXACT = Plan(3, 1, 2, tuple(a + b for a, b in combinations([(0, 1), (2, 3), (4,
 
 
 def near_plan(words: int = 5, similarity: float = 0.8, lanes: int = 4) -> Plan:
-    """Links at a similarity of ``similarity`` or more. Bands are pairs of bytes: byte i with i + 1 and, again, with i + half."""
+    """Links at a similarity of ``similarity`` or more. Bands are pairs of bytes: each byte with those ``SHIFTS`` behind it."""
     n, p = 8 * lanes, differing(similarity)
-    bands = [(i, i + 1) for i in range(0, n, 2)] + [(i, i + n // 2) for i in range(n // 2)]
-    return Plan(words, lanes, int(64 * lanes * p + 2 * math.sqrt(64 * lanes * p * (1 - p))), tuple(bands), similarity)
+    bands = sorted({tuple(sorted((i, (i + s) % n))) for s in SHIFTS for i in range(n)})
+    return Plan(words, lanes, int(64 * lanes * p + 3 * math.sqrt(64 * lanes * p * (1 - p))), tuple(bands), similarity)
+
+
+def word_runs(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a text, a run of about PIECE bytes at a time. Bytes: A-Z only are lower-cased, and the white space is the contract's."""
+    at = 0
+    while at < len(text):
+        gap = GAP.search(text, at + PIECE)
+        end = gap.start() if gap else len(text)
+        yield text[at:end].lower().split()
+        at = end
 
 
 def shingle_hashes(text: bytes, words: int) -> np.ndarray:
-    w = text.lower().split()  # bytes: A-Z only, and the white space of the contract
-    if not w:
-        return np.zeros(0, np.uint64)
-    parts = map(b" ".join, zip(*(w[i:] for i in range(words)))) if len(w) > words else [b" ".join(w)]
-    h = xxhash.xxh64_intdigest
-    return np.fromiter((h(p, SEED) for p in parts), np.uint64)
+    h, out, tail, long = xxhash.xxh64_intdigest, [], [], False
+    for run in word_runs(text):
+        w = tail + run
+        if len(w) >= words:
+            long = True
+            out.append(np.fromiter((h(b" ".join(p), SEED) for p in zip(*(w[i:] for i in range(words)))), np.uint64))
+        tail = w[max(0, len(w) - words + 1) :]
+    if not long and tail:  # fewer words than a shingle has: the whole sequence
+        out.append(np.array([h(b" ".join(tail), SEED)], np.uint64))
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
 def remix(h: np.ndarray, lane: int) -> np.ndarray:
@@ -229,7 +255,7 @@ LINKS = "a bigint, b bigint, key bigint, chunk int, fp binary"
 
 
 def links_of(plan: Plan, bucket: int = BUCKET):
-    """Rows sorted by key to links. Of a bucket over ``bucket`` rows, each member also leaves as (a, key, chunk, fp)."""
+    """Rows sorted by key to links. A bucket over ``bucket`` rows isn't compared here: its members leave as (a, key, chunk, fp)."""
     width, refs = 8 * plan.lanes, references(plan.lanes)
 
     def pack(a, b, key=None, chunk=None, fp=None):
@@ -241,45 +267,48 @@ def links_of(plan: Plan, bucket: int = BUCKET):
             ["a", "b", "key", "chunk", "fp"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def solve(part, chunk):
-            key, node, fps, coords = part
-            for a, b in bucket_links(key, node, fps, coords, plan.radius):
+        def solve(part):
+            key, node, fps = part
+            for a, b in bucket_links(key, node, fps, distances(fps, refs), plan.radius):
                 if len(a):
                     yield pack(a, b)
-            if chunk is not None:
-                yield pack(node, None, key, chunk, fps)
 
-        held, chunk = None, None  # the bucket that may go on in the next batch; its chunk if it was cut
+        def cut(part, chunk):
+            return pack(part[1], None, part[0], chunk, part[2])
+
+        held, chunk = None, None  # the bucket that may go on in the next batch; its next chunk if it was cut
         for b in batches:
             if not b.num_rows:
                 continue
-            fps = matrix(b.column("fp"), width)
-            part = (b.column("key").to_numpy(), b.column("node").to_numpy(), fps, distances(fps, refs))
+            part = (b.column("key").to_numpy(), b.column("node").to_numpy(), matrix(b.column("fp"), width))
             if held is not None:
                 part = tuple(np.concatenate(x) for x in zip(held, part))
             last = int(np.searchsorted(part[0], part[0][-1]))  # where its last bucket begins
             if last:
                 if chunk is not None:  # a bucket that was cut has ended
                     end = int(np.searchsorted(part[0], part[0][0], side="right"))
-                    yield from solve(tuple(x[:end] for x in part), chunk)
-                    yield from solve(tuple(x[end:last] for x in part), None) if end < last else ()
+                    yield cut(tuple(x[:end] for x in part), chunk)
                     chunk = None
+                    yield from solve(tuple(x[end:last] for x in part)) if end < last else ()
                 else:
-                    yield from solve(tuple(x[:last] for x in part), None)
+                    yield from solve(tuple(x[:last] for x in part))
                 part = tuple(x[last:] for x in part)
             while len(part[0]) > bucket:
                 chunk = 0 if chunk is None else chunk
-                yield from solve(tuple(x[:bucket] for x in part), chunk)
+                yield cut(tuple(x[:bucket] for x in part), chunk)
                 part, chunk = tuple(x[bucket:] for x in part), chunk + 1
             held = part
         if held is not None and len(held[0]):
-            yield from solve(held, chunk)
+            if chunk is None:
+                yield from solve(held)
+            else:
+                yield cut(held, chunk)
 
     return run
 
 
 def cross_links(plan: Plan):
-    """Links between two chunks of one bucket; those within a chunk are known, and are found again at no harm."""
+    """Links within and between two chunks of one bucket."""
     refs = references(plan.lanes)
 
     def run(table: pa.Table) -> pa.Table:

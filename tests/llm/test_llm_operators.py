@@ -192,9 +192,25 @@ def test_near_copies_with_repeats(spark):
     assert kept_of(spark, texts) == {0, 2, 3, 4}
 
 
-def test_plan_recall():
-    plan = simhash.near_plan()
-    assert plan.recall(0.8) > 0.85 and plan.recall(0.9) > 0.99 and simhash.EXACT.radius == 2
+@pytest.mark.parametrize("similarity, least", [(0.8, 0.95), (0.85, 0.98), (0.9, 0.995)])
+def test_plan_recall(similarity, least):
+    """Thousands of pairs of shingle sets of a similarity: how many meet in a key within the radius, by their fingerprints themselves."""
+    plan, rng, met = simhash.near_plan(), np.random.default_rng(9), 0
+    for n in [40, 100, 300] * 700:
+        both = round(2 * n * similarity / (1 + similarity))
+        h = rng.integers(0, 2**63, 2 * n - both).astype(np.uint64)
+        x, y = (np.frombuffer(simhash.summed(s, plan), np.uint8) for s in (h[:n], h[n - both :]))
+        met += any(x[a] == y[a] and x[b] == y[b] for a, b in plan.keys) and np.bitwise_count(x ^ y).sum() <= plan.radius
+    assert met / 2100 >= least and abs(plan.recall(similarity) - met / 2100) < 0.02
+
+
+def test_long_texts_are_hashed_in_pieces(monkeypatch):
+    rng = random.Random(8)
+    texts = ["", " ", "a", "a b", "a b c", "a b c d", "x" * 99 + " y", " " * 99 + "a b" + "\t" * 99 + "c d", prose(rng, 500, ["ab", "c", "É"])]
+    whole = [simhash.shingle_hashes(t.encode(), 3).tolist() for t in texts]
+    monkeypatch.setattr(simhash, "PIECE", 7)
+    assert [simhash.shingle_hashes(t.encode(), 3).tolist() for t in texts] == whole
+    assert simhash.EXACT.radius == 2
 
 
 # 2 Packing
