@@ -4,9 +4,12 @@ The probability of a word in a language is the sum, over all ways to cut it into
 product of the pieces' probabilities; the forward algorithm gives it without listing the cuts. A text's is the product
 over its words. Probabilities are learned by expectation-maximisation from at most ``DOCS`` documents a language that
 aren't held out: each round, tasks send expected piece counts (at most vocabulary x languages rows each) to be summed.
+Every value of ``lang`` is a language; the driver and each worker hold vocabulary x languages numbers.
 
 Scoring runs in Arrow batches over whole texts; each worker scores a distinct word once, many words at a time, and
-remembers up to ``CACHE`` of them.
+remembers ``CACHE`` bytes of scores. Words of over ``LONG`` letters (scripts without spaces, blobs) are walked in
+windows, in time that grows with their length and memory that doesn't, and aren't remembered; they teach in runs of
+``LONG`` letters.
 
 A text that is null or has no letter is ``und`` with score 0, and so is every text if there is nothing to learn from.
 A document whose ``lang`` is null teaches nothing. Ties go to the language that sorts first. Other columns are ignored.
@@ -25,13 +28,17 @@ from pyspark.sql import functions as F
 from .common import held_out, materialize
 
 DOCS = 600
-LANGUAGES = 256
 ROUNDS = 4
 SEED = 13
-CACHE = 300_000
-CHUNK = 20_000
+#: Bytes of word scores that a worker remembers before it starts anew.
+CACHE = 64 << 20
+#: Words that are scored together: of all of them, at most so many bytes of forward sums are held.
+CHUNK = 64 << 20
+#: Letters of a word beyond which it is walked by itself, and characters of it that are looked up at a time.
+LONG, WINDOW = 64, 8192
+#: The probability of a character outside the vocabulary, or one that no piece covers.
 UNKNOWN = 1e-7
-#: A character outside the vocabulary, or one that no piece covers.
+#: What is added to each expected count.
 SMOOTH = 0.05
 WORDS = re.compile(r"[^\W\d_]+")
 BASE = np.uint64(0x100000001B3)
@@ -117,25 +124,68 @@ class Pieces:
             f[i + 1][none] += f[i][none] * p[-1]
         return f, log + np.log(f[n])
 
+    def chunk(self, length: int, langs: int) -> int:
+        """Words of a length that are taken together: their sums and pieces stay below CHUNK bytes."""
+        return max(1, CHUNK // (8 * (length + 2) * (langs + self.longest)))
+
     def scores(self, words: list[str], p: np.ndarray) -> np.ndarray:
         """Log probabilities, words x languages."""
         out = np.zeros((len(words), p.shape[1]))
         lengths = np.array(list(map(len, words)))
         order = np.argsort(lengths, kind="stable")
         for part in np.split(order, np.flatnonzero(np.diff(lengths[order])) + 1) if len(order) else []:
-            for at in range(0, len(part), CHUNK):
-                own = part[at : at + CHUNK]
+            n = int(lengths[part[0]])
+            if n > LONG:
+                for i in part.tolist():
+                    out[i] = self.walk(words[i], p)
+                continue
+            size = self.chunk(n, p.shape[1])
+            for at in range(0, len(part), size):
+                own = part[at : at + size]
                 out[own] = self.forward(self.lattice([words[i] for i in own]), p)[1]
         return out
 
+    def walk(self, word: str, p: np.ndarray) -> np.ndarray:
+        """Log probability of one long word in each language: the forward sums of the last ``longest`` characters move along it."""
+        wide, langs, most = np.vstack([p, np.zeros((1, p.shape[1]))]), p.shape[1], self.longest
+        none, codes = len(wide) - 1, np.frombuffer((START + word).encode("utf-32-le"), np.uint32).astype(np.uint64)
+        n, size = len(codes), max(most, min(WINDOW, CHUNK // (8 * most * langs)))
+        sums, log = np.zeros((most, langs)), np.zeros(langs)  # of the characters before the window, the last one last
+        sums[-1] = 1
+        for a in range(0, n, size):
+            ends = min(size, n - a)  # pieces that end at a + 1 .. a + ends
+            first = max(0, a + 1 - most)
+            part = codes[first : a + ends]
+            ending = np.full((ends, most), none)  # [end][length - 1]
+            h = np.zeros(len(part), np.uint64)
+            for k in range(min(most, len(part))):
+                h = h[: len(part) - k] * BASE + part[k:]
+                found = self.find(h)
+                if k == 0:
+                    found = np.where(found < 0, len(p) - 1, found)  # a lone character always has a way on
+                start = max(0, a - k - first)  # the first of them that ends in the window
+                own = found[start:]
+                at = first + start + k - a
+                ending[at : at + len(own), k] = np.where(own < 0, none, own)
+            f = np.vstack([sums, np.zeros((ends, langs))])
+            for i, row in enumerate(wide[ending[:, ::-1]]):
+                f[most + i] = (f[i : most + i] * row).sum(axis=0)
+                if i % 8 == 7 or i == ends - 1:
+                    scale = f[most + i].copy()
+                    log += np.log(scale)
+                    f[i + 1 : most + i + 1] /= scale
+            sums = f[-most:]
+        return log
+
     def expected(self, words: list[str], counts: np.ndarray, p: np.ndarray) -> np.ndarray:
         """Expected counts of each piece (and of the unknown) in words that occur ``counts`` times, in one language."""
         out = np.zeros(len(self) + 1)
         lengths = np.array(list(map(len, words)))
         order = np.argsort(lengths, kind="stable")
         for part in np.split(order, np.flatnonzero(np.diff(lengths[order])) + 1) if len(order) else []:
-            for at in range(0, len(part), CHUNK):
-                own = part[at : at + CHUNK]
+            size = self.chunk(int(lengths[part[0]]), 1)
+            for at in range(0, len(part), size):
+                own = part[at : at + size]
                 lattice, weight = self.lattice([words[i] for i in own]), counts[own]
                 n = len(lattice)
                 # plain sums underflow only beyond any word of a language; such words teach nothing
@@ -173,7 +223,7 @@ def word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(no, text) to the words of each text."""
     for b in batches:
         for no, t in zip(b.column("no").to_pylist(), (x.as_py() for x in b.column("text"))):
-            words = WORDS.findall((t or "").lower())
+            words = [w[i : i + LONG] for w in WORDS.findall((t or "").lower()) for i in range(0, len(w), LONG)]
             yield pa.RecordBatch.from_arrays([pa.array([no] * len(words), pa.int32()), pa.array(words, pa.string())], ["no", "word"])
 
 
@@ -201,11 +251,11 @@ class LanguageModel:
 
     @classmethod
     def fit(cls, docs: DataFrame, per_language: int = DOCS, rounds: int = ROUNDS, path: str | None = None) -> LanguageModel:
-        """``docs``: those with a lang, not held out, are learned from, about ``per_language`` of each of the LANGUAGES most frequent languages."""
+        """``docs``: those with a lang, not held out, are learned from, about ``per_language`` of each language."""
         spark = docs.sparkSession
         rows = docs.select(docs["doc_id"].cast("long").alias("id"), docs["text"].cast("string").alias("text"), docs["lang"].cast("string").alias("lang")).where("lang is not null")
         rows = rows.where(~held_out(F.col("id"), 3, 1))
-        counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+        counts = rows.groupBy("lang").count().collect()
         langs = sorted(r.lang for r in counts)
         size = {r.lang: r["count"] for r in counts}
         if not langs:
@@ -232,14 +282,14 @@ class LanguageModel:
             own = pieces_of(path)
             known: dict[str, int] = {}
             table = np.zeros((0, len(langs)))
+            most = max(1000, CACHE // (8 * max(1, len(langs))))
             for big in batches:
                 for at in range(0, big.num_rows, 1000):
                     b = big.slice(at, 1000)
                     texts = [WORDS.findall((x.as_py() or "").lower()) for x in b.column("text")]
-                    new = list({w for t in texts for w in t if w not in known}) if langs else []
-                    if len(known) + len(new) > CACHE:
+                    if len(known) > most:
                         known, table = {}, table[:0]
-                        new = list({w for t in texts for w in t})
+                    new = list({w for t in texts for w in t if len(w) <= LONG and w not in known}) if langs else []
                     if new:
                         known.update(zip(new, range(len(known), len(known) + len(new))))
                         table = np.concatenate([table, own.scores(new, p)])
@@ -249,7 +299,7 @@ class LanguageModel:
                             best.append("und")
                             score.append(0.0)
                             continue
-                        log = table[[known[w] for w in t]].sum(axis=0)
+                        log = table[[known[w] for w in t if len(w) <= LONG]].sum(axis=0) + own.scores([w for w in t if len(w) > LONG], p).sum(axis=0)
                         k = int(log.argmax())
                         best.append(langs[k])
                         score.append(float(1 / np.exp(log - log[k]).sum()))

@@ -1,15 +1,17 @@
 """Toxicity by gradient-boosted trees over dense features, with isotonic calibration.
 
-Labelled rows that aren't held out (a bounded sample of at most ``SAMPLE``) are dealt by a hash of the id into three
-parts: from the first, words and word beginnings that mark toxic texts are learned; the trees are grown on the second;
-the calibration is fitted to the third. So no part's figures flatter another. Every whole text is then scored: features
-in Arrow batches, trees and calibration in the JVM.
+Labelled rows that aren't held out (a bounded sample of at most ``SAMPLE``) are dealt by a hash of the id into two
+halves. Words and word beginnings that mark toxic texts are learned three times: from all rows, for the texts that are
+scored, and from each half, for the features of the other. The trees are grown on all rows, and the calibration is
+fitted to what trees grown on one half say about the other. So no row's features or calibration score come from its own
+label, and a small table is treated as a large one is. Every whole text is then scored: features in Arrow batches, trees
+and calibration in the JVM.
 
 Features (``NAMES``): densities and sums of lexicon hits, second-person words and how near they stand to hits, capitals,
 punctuation, obfuscation. Labels, language, source and id are no inputs.
 
-Null and empty texts have all-zero features and a score like any other text. Without labelled rows of both kinds the
-score is their mean label, or 0. A document with several labels is an example of each. Other columns are ignored.
+Null and empty texts have all-zero features and a score like any other text. Without labelled rows of both kinds, or
+where all fall into one half, the score is their mean label, or 0. A document with several labels is an example of each. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -27,12 +30,10 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, in_row, materialize
+from .common import held_out, in_row, materialize, union
 
 #: Labelled rows that are learned from, at most.
 SAMPLE = 16_000
-#: Labelled rows below which nothing is set aside: no words are learned, and trees and calibration see all rows.
-FEW = 1500
 #: Lexicon entries that are learned, at most; documents that must have one; length of a word's beginning.
 ENTRIES, SUPPORT, BEGINNING = 2000, 4, 5
 REJECT = 0.3
@@ -104,22 +105,36 @@ def extract(words: dict[str, float], beginnings: dict[str, float]):
 
 
 def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text, toxic) to each document's distinct words and word beginnings."""
+    """(text, toxic, half) to each document's distinct words and word beginnings."""
     for b in batches:
-        for t, y in zip((x.as_py() for x in b.column("text")), b.column("toxic").to_pylist()):
+        for t, y, h in zip((x.as_py() for x in b.column("text")), b.column("toxic").to_pylist(), b.column("half").to_pylist()):
             own = set(WORDS.findall((t or "").lower()))
             for kind, found in enumerate((own, {w[:BEGINNING] for w in own})):
-                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array([kind] * len(found), pa.int32()), pa.array([y] * len(found), pa.int32())], ["entry", "kind", "toxic"])
+                n = len(found)
+                yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), *(pa.array([x] * n, pa.int32()) for x in (kind, y, h))], ["entry", "kind", "toxic", "half"])
+
+
+def learn_lexicons(rows: DataFrame) -> list[tuple[dict[str, float], dict[str, float]]]:
+    """Words and beginnings whose share of toxic texts is far above the rest's: log odds with a prior, the best ENTRIES of each kind.
+
+    Learned without the first half, without the second, and from all rows.
+    """
+    halves = [(F.sum(F.when(F.col("half") == h, F.col("toxic")).otherwise(0)).alias(f"t{h}"), F.count_if(F.col("half") == h).alias(f"n{h}")) for h in (0, 1)]
+    counts = [c for half in halves for c in half]
+    sizes = rows.agg(*counts).first()
+    seen = materialize(rows.select("text", "toxic", "half").mapInArrow(entries, "entry string, kind int, toxic int, half int").groupBy("kind", "entry").agg(*counts), "entries")
+    out = []
+    for used in ((1,), (0,), (0, 1)):
+        t, n = (sum((F.col(f"{c}{h}") for h in used), F.lit(0)) for c in "tn")
+        toxic, every = (sum(sizes[f"{c}{h}"] for h in used) for c in "tn")
+        odds = F.log((F.col("t") + 0.5) / (F.col("n") - F.col("t") + 0.5)) - math.log((toxic + 1) / (every - toxic + 1))
+        best = seen.select("kind", "entry", t.alias("t"), n.alias("n")).where(f"n >= {SUPPORT}").withColumn("odds", odds).where("odds > 1.5").withColumn("rank", F.col("odds") * F.sqrt("t"))
+        out.append(tuple({r.entry: r.odds for r in best.where(F.col("kind") == k).orderBy(F.desc("rank"), "entry").limit(ENTRIES).collect()} for k in (0, 1)))
+    return out
 
 
-def learn_lexicon(part: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
-    """Words and beginnings whose share of toxic texts is far above the rest's: log odds with a prior, the best ENTRIES of each kind."""
-    sizes = part.agg(F.coalesce(F.sum("toxic"), F.lit(0)).alias("t"), F.count("*").alias("n")).first()
-    seen = part.mapInArrow(entries, "entry string, kind int, toxic int").groupBy("kind", "entry").agg(F.sum("toxic").alias("t"), F.count("*").alias("n")).where(f"n >= {SUPPORT}")
-    odds = F.log((F.col("t") + 0.5) / (F.col("n") - F.col("t") + 0.5)) - math.log((sizes.t + 1) / (sizes.n - sizes.t + 1))
-    seen = seen.withColumn("odds", odds).where("odds > 1.5").withColumn("rank", F.col("odds") * F.sqrt("t"))
-    out = [{r.entry: r.odds for r in seen.where(F.col("kind") == k).orderBy(F.desc("rank"), "entry").limit(ENTRIES).collect()} for k in (0, 1)]
-    return out[0], out[1]
+def grow(rows: DataFrame):
+    return GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.25, maxBins=64, minInstancesPerNode=2, subsamplingRate=0.9, seed=SEED).fit(rows)
 
 
 class ToxicityModel:
@@ -134,21 +149,22 @@ class ToxicityModel:
         rows = labels.select(labels["doc_id"].cast("long").alias("id"), labels["toxic"].cast("int").alias("toxic")).where("toxic in (0, 1) and id is not null")
         rows = rows.where(~held_out(F.col("id"), 4, 2))
         share = min(1.0, sample / max(1, rows.count()))
-        rows = rows.where(F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(1 << 30)) < int(share * (1 << 30))).limit(sample)
+        draw = F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(1 << 30))
+        rows = rows.where(draw < int(share * (1 << 30))).orderBy(draw, "id", "toxic").limit(sample)
         texts = docs.select(docs["doc_id"].cast("long").alias("id"), docs["text"].cast("string").alias("text"))
         rows = texts.join(F.broadcast(rows), "id")  # at most ``sample`` ids
-        rows = materialize(rows.withColumn("part", F.pmod(F.xxhash64("id", F.lit(SEED + 1)), F.lit(100))), "labelled")
-        few = rows.count() < FEW
-        learn, grow, fit = ("false", "true", "true") if few else ("part < 40", "part BETWEEN 40 AND 79", "part >= 80")
-        means = rows.agg(F.avg("toxic").alias("all"), F.avg(F.expr(f"CASE WHEN {grow} THEN toxic END")).alias("grown"), F.count_if(F.expr(fit)).alias("third")).first()
-        if not means.grown or means.grown == 1 or not means.third:
-            return cls({}, {}, None, None, float(means["all"] or 0.0))
-        words, beginnings = ({}, {}) if few else learn_lexicon(rows.where(learn))
-        known = rows.where(f"{grow} OR {fit}").select("part", "toxic", extract(words, beginnings)("text").alias("x"))
-        known = materialize(known.coalesce(8), "features").select("part", F.col("toxic").cast("double").alias("label"), array_to_vector("x").alias("features"))
-        trees = GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.25, maxBins=64, minInstancesPerNode=5, subsamplingRate=0.9, seed=SEED).fit(known.where(grow).coalesce(2))
-        third = trees.transform(known.where(fit).coalesce(1)).select("label", vector_to_array("probability")[1].alias("p"))
-        return cls(words, beginnings, trees, IsotonicRegression(featuresCol="p", labelCol="label", predictionCol="prediction_calibrated").fit(third), None)
+        rows = materialize(rows.withColumn("half", F.pmod(F.xxhash64("id", F.lit(SEED + 1)), F.lit(2)).cast("int")), "labelled")
+        mean = rows.agg(F.avg("toxic").alias("all"), F.countDistinct("half").alias("halves")).first()
+        if not mean.all or mean.all == 1 or mean.halves < 2:
+            return cls({}, {}, None, None, float(mean.all or 0.0))
+        *others, (words, beginnings) = learn_lexicons(rows)
+        halves = [rows.where(F.col("half") == h).select("half", "toxic", extract(*others[h])("text").alias("x")) for h in (0, 1)]
+        known = materialize(union(halves).coalesce(8), "features").select("half", F.col("toxic").cast("double").alias("label"), array_to_vector("x").alias("features"))
+        known = known.coalesce(2)
+        with ThreadPool(3) as pool:
+            *crossed, trees = pool.map(grow, [known.where("half = 1"), known.where("half = 0"), known])
+        unseen = union([m.transform(known.where(F.col("half") == h)).select("label", vector_to_array("probability")[1].alias("p")) for h, m in enumerate(crossed)])
+        return cls(words, beginnings, trees, IsotonicRegression(featuresCol="p", labelCol="label", predictionCol="prediction_calibrated").fit(unseen.coalesce(1)), None)
 
     def score(self, rows: DataFrame) -> DataFrame:
         """``rows`` must have a string column text and none named x, features, score or predicted; text is left out of the result."""

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -377,6 +378,13 @@ def test_toxicity_without_labels(toxic, empty):
     assert toxicity.toxicity(empty, labels).collect() == []
 
 
+def test_lexicons_of_halves(spark):
+    """Words are learned from one half, from the other, and from both; those of the other half are unknown to it."""
+    rows = [(f"{w} plain text", y, h) for h, w, y in [(0, "vile", 1), (1, "nasty", 1)] * 10 + [(0, "kind", 0), (1, "good", 0)] * 30]
+    one, other, both = toxicity.learn_lexicons(spark.createDataFrame(rows, "text string, toxic int, half int"))
+    assert set(one[0]) == {"nasty"} and set(other[0]) == {"vile"} and set(both[0]) == {"nasty", "vile"} and set(both[1]) == {"nasty", "vile"}
+
+
 def test_features_of_text():
     f = dict(zip(toxicity.NAMES, toxicity.features("You are an IDIOT!! 1d1ot, st*pid id1ot", {"are": 2.0}, {})))
     assert f["second_near"] == 1.0 and f["insult_sum"] > 0 and f["word_max"] == 2.0 and f["exclamations"] > 0 and f["obfuscated_insults"] == 1.0
@@ -513,7 +521,7 @@ def test_secrets(spark, empty):
 # 10 Language
 
 
-def test_forward_sums_all_segmentations():
+def test_forward_sums_all_segmentations(monkeypatch):
     own = langid.pieces_of(None)
     p = np.random.default_rng(1).random((len(own) + 1, 2)) / 50
     number = {t: i for i, t in enumerate(own.pieces)}
@@ -529,7 +537,30 @@ def test_forward_sums_all_segmentations():
         return math.log(sums[-1])
 
     some = ["the", "über", "niño", "zzz", "x", "ßœ漢", "internationalisation" * 30]
-    assert np.allclose(own.scores(some, p), [[brute(w, k) for k in (0, 1)] for w in some])
+    want = [[brute(w, k) for k in (0, 1)] for w in some]
+    assert np.allclose(own.scores(some, p), want)
+    for long, window in ((0, 8192), (3, 20), (64, 50)):  # words that are walked in windows have the same sums
+        monkeypatch.setattr(langid, "LONG", long)
+        monkeypatch.setattr(langid, "WINDOW", window)
+        assert np.allclose(own.scores(some, p), want)
+
+
+def test_a_megabyte_without_a_space():
+    own = langid.pieces_of(None)
+    p = np.random.default_rng(1).random((len(own) + 1, 4)) / 50
+    blob = "abcdefghijklmnopqrst" * 50_000
+    began = time.process_time()
+    one, ten = own.walk(blob[:100_000], p), own.walk(blob, p)
+    assert time.process_time() - began < 60 and np.allclose(ten / one, 10, rtol=1e-3)
+
+
+def test_hundreds_of_languages(spark):
+    """Each value of lang is learned, however many there are."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda k: letters[k % 26] + letters[k // 26] + letters[(7 * k) % 26] * 2
+    rows = [(i, f"{word(i % 300)} " * 6, f"lang{i % 300}") for i in range(1500)]
+    got = {r.doc_id: r.lang_pred for r in langid.identify(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), rounds=2).collect()}
+    assert sum(got[i] == lang for i, _, lang in rows) >= 0.95 * len(rows) and len(set(got.values())) > 280
 
 
 def test_languages(spark, empty):
