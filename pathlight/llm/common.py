@@ -2,37 +2,39 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import shared
+from ..functions.shared import fresh_path, materialize, numbered  # noqa: F401  also for the operators
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: White space of the contracts: space and tab to carriage return. The same bytes that ``bytes.split()`` splits at.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def scratch(spark: SparkSession) -> str:
-    """A folder that the driver and all executors share: ``spark.checkpoint.dir``, or one of our own where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="pathlight-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/pathlight/{spark.sparkContext.applicationId}"
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+def clean(spark: SparkSession) -> None:
+    """Delete what this application has written to the shared folder, and its digest indexes there. Call it when its results are used up."""
+    shared.clean(spark)
+    for t in spark.catalog.listTables("default", "digest_index_*"):
+        spark.sql(f"DROP TABLE IF EXISTS {t.name}")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: work is done once and lost executors cost nothing but a reread."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def slices(batch: pa.RecordBatch, column: str, rows: int, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with at most ``rows`` rows and about ``size`` bytes of a text column, or one row."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        most = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, side="right"))
+        end = min(at + rows, max(at + 1, most))
+        yield batch.slice(at, end - at)
+        at = end
 
 
 def ascii_lower(text: Column) -> Column:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, materialize
+from .common import held_out, materialize, slices
 
 DOCS = 600
 ROUNDS = 4
@@ -284,8 +284,7 @@ class LanguageModel:
             table = np.zeros((0, len(langs)))
             most = max(1000, CACHE // (8 * max(1, len(langs))))
             for big in batches:
-                for at in range(0, big.num_rows, 1000):
-                    b = big.slice(at, 1000)
+                for b in slices(big, "text", 1000):
                     texts = [WORDS.findall((x.as_py() or "").lower()) for x in b.column("text")]
                     if len(known) > most:
                         known, table = {}, table[:0]

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, slices
 
 SEQUENCE = 4096
 END = 2
@@ -36,9 +36,11 @@ VOCABULARY = "word_bpe_49k.json"
 PLAIN = re.compile("[^\t\n\r\x20-\x7eÀ-ÖØ-öø-ɏ‘’“”„–—…«»¡¿€]")
 #: The tokeniser's own split of text into words, for plain text.
 SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-#: Words that a worker remembers before it starts anew, and words that are encoded at a time.
-CACHE = 700_000
+#: Bytes of words and their ids that a worker remembers before it starts anew, what a word costs besides, and words that
+#: are encoded at a time. Texts with a word of over 256 characters go to the tokeniser whole, so that none is remembered.
+CACHE, EACH = 160 << 20, 150
 BATCH = 1000
+LONG = re.compile(r"\S{257}")
 
 
 class Encoder:
@@ -58,15 +60,20 @@ class Encoder:
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.words: dict[str, bytes] = {}
+        self.held = 0
+
+    @staticmethod
+    def plain(text: str) -> bool:
+        return not PLAIN.search(text) and not LONG.search(text)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.words]
-        if len(self.words) + len(new) > CACHE:
+        if self.held > CACHE:
             self.words.clear()
-            new = list(words)
+            self.held, new = 0, list(words)
         split = [SPLIT.findall(unicodedata.normalize("NFC", w)) for w in new]
         parts = list({p for s in split for p in s})
         known: dict[str, bytes] = {}
@@ -76,12 +83,13 @@ class Encoder:
             raw = ids.tobytes()
             known.update(zip(parts[i : i + BATCH], (raw[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist()))))
         for w, s in zip(new, split):
-            self.words[w] = b"".join([known[p] for p in s])
+            self.words[w] = own = b"".join([known[p] for p in s])
+            self.held += EACH + len(w) + len(own)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """One text after another, so that no more than one text's ids are held."""
         for text in texts:
-            if PLAIN.search(text):
+            if not self.plain(text):
                 yield self.whole(text)
                 continue
             words = text.lower().split()
@@ -118,10 +126,9 @@ def pieces(path: str | None, size: int = SEQUENCE, end: int = END):
         own = encoder(path or vocabulary())
         last = np.array([end], "<u4").tobytes()
         for big in batches:
-            for at in range(0, big.num_rows, 500):
-                b = big.slice(at, 500)
+            for b in slices(big, "text", 500):
                 texts = [t or "" for t in b.column("text").to_pylist()]
-                own.learn({w for t in texts if not PLAIN.search(t) for w in t.lower().split()})
+                own.learn({w for t in texts if own.plain(t) for w in t.lower().split()})
                 rows = []
                 for doc, ids in zip(b.column("doc_id").to_pylist(), own.encode(texts)):
                     ids += last

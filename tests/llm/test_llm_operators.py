@@ -249,6 +249,15 @@ def test_encoder_agrees_with_the_tokeniser():
     assert list(encoder.encode(odd)) == [encoder.whole(t) for t in odd]
 
 
+def test_encoder_forgets_and_long_words(monkeypatch):
+    """Words are remembered up to a number of bytes, and long ones never."""
+    monkeypatch.setattr(packing, "CACHE", 2000)
+    encoder, rng = packing.Encoder(packing.vocabulary()), random.Random(1)
+    texts = [" ".join("".join(rng.choice("abcé") for _ in range(rng.choice((2, 9, 300)))) for _ in range(20)) for _ in range(30)] + ["a" * 5000]
+    assert list(encoder.encode(texts)) == [encoder.whole(t) for t in texts]
+    assert max(map(len, encoder.words), default=0) <= 256 and len(encoder.words) <= 40
+
+
 def test_first_fit_decreasing_is_that():
     rng = random.Random(2)
     lengths = np.array([rng.randint(1, 100) for _ in range(400)])
@@ -265,16 +274,48 @@ def test_first_fit_decreasing_is_that():
 # 3 Mixing
 
 
-def test_targets():
-    got = mixing.targets(np.array([10.0, 10.0, 980.0]), np.array([1.0, 2.0, 3.0]))
-    assert got.tolist() == [30.0, 30.0, 940.0]
-    assert mixing.targets(np.array([6.0]), np.array([1.0])).tolist() == [6.0]
+def brute_targets(sizes, weights, limit=3):
+    """Shares by weight; those above their limit stop there, and the rest is shared again."""
+    out, free, left = [0.0] * len(sizes), set(range(len(sizes))), float(sum(sizes))
+    while free:
+        total = sum(weights[i] for i in free)
+        over = {i for i in free if left * weights[i] / total > limit * sizes[i]}
+        for i in over or free:
+            out[i] = float(limit * sizes[i]) if over else left * weights[i] / total
+        if not over:
+            break
+        left -= sum(out[i] for i in over)
+        free -= over
+    return out
+
+
+def test_targets(spark):
+    rng = random.Random(1)
+    for sizes in ([10, 10, 980], [6], [0, 0], [0, 5, 1], [rng.choice((0, 1, 7, 50, 10**6)) for _ in range(300)]):
+        got = mixing.with_targets(spark.createDataFrame(list(enumerate(sizes)), "no bigint, words bigint")).orderBy("no").collect()
+        assert np.allclose([r.target for r in got], brute_targets(sizes, [1.0 + i % 3 for i in range(len(sizes))]))
+
+
+def test_mixing_more_sources_than_groups(spark):
+    """Sources have no bound: each of thousands gives its share, and the tree deals every draw to one shard."""
+    rows = [(i, "w " * (1 + i % 5), f"host{i % 3000:05}") for i in range(9000)]
+    got = mixing.mix_sizes(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), shards=5).collect()
+    sizes = [sum(1 + i % 5 for i in range(s, 9000, 3000)) for s in range(3000)]
+    want = brute_targets(sizes, [1.0 + s % 3 for s in range(3000)])
+    taken = [0] * 3000
+    for r in got:
+        taken[r.doc_id % 3000] += r.taken
+        assert math.isclose(r.target, want[r.doc_id % 3000]) and r.taken == len(r.shards) * r["size"]
+    assert all(abs(t - w) <= n / 2 for t, w, n in zip(taken, want, sizes))  # a block of a source this small may hold all its documents
+    assert abs(sum(taken) - sum(sizes)) <= 0.1 * sum(sizes)
+    by_shard = [sum(r.shards.count(k) for r in got) for k in range(5)]
+    assert max(by_shard) < 1.1 * min(by_shard)  # they have as many blocks; a block has one document or a few
 
 
 def test_mixing(docs, empty):
     rows = docs.collect()
-    got = mixing.mix_sizes(docs, shard_words=500).collect()
-    assert sorted(map(repr, got)) == sorted(map(repr, mixing.mix_sizes(docs.repartition(3), shard_words=500).collect()))
+    got = mixing.mix_sizes(docs, shards=7).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, mixing.mix_sizes(docs.repartition(3), shards=7).collect()))
     assert sorted(r["size"] for r in got) == sorted(len(words(r.text)) for r in rows)
     sources = {}
     for r in got:
@@ -284,18 +325,25 @@ def test_mixing(docs, empty):
     for (size, target), own in sources.items():
         assert target <= 3 * size + 1e-9
         assert abs(sum(r.taken for r in own) - target) <= 0.01 * target + max(r["size"] for r in own) / 2  # a document is taken whole
-    mixed = mixing.mixed_documents(docs, shard_words=500)
+    mixed = mixing.mixed_documents(docs, shards=7)
     assert mixed.columns == docs.columns
     assert sum(len(words(r.text)) for r in mixed.collect()) == sum(r.taken for r in got)
     assert mixing.mix_sizes(empty).collect() == [] and mixing.mixed_documents(empty).collect() == []
 
 
-def test_splitting_tree_is_a_partition():
+def test_splitting_tree_is_a_partition(spark):
     quotas = np.array([100, 0, 37, 5])
-    spans = [mixing.leaf(s, 7, quotas, 1) for s in range(7)]
-    for k, q in enumerate(quotas):
-        assert [x for lo, hi in spans for x in range(lo[k], hi[k])] == list(range(q))
-    assert {int((hi - lo).sum()) for lo, hi in spans} <= {20, 21}
+    table = mixing.split(quotas, mixing.even(142, 7), [1])
+    assert table.sum(axis=0).tolist() == quotas.tolist() and set(table.sum(axis=1).tolist()) == {20, 21}
+    # on average a shard has of each source what its size says
+    many = sum(mixing.split(quotas, mixing.even(142, 7), [i]) for i in range(300)) / 300
+    assert np.allclose(many, quotas / 7, atol=0.5)
+    for groups in (1024, 3):  # each draw of each source has one owner, with and without the lower level
+        mixing_groups, mixing.GROUPS = mixing.GROUPS, groups
+        got = mixing.owners(spark.createDataFrame([(i, q) for i, q in enumerate(quotas.tolist()) if q], "no bigint, quota bigint"), 7, 1).collect()
+        mixing.GROUPS = mixing_groups
+        assert sorted((r.no, r.draw) for r in got) == [(i, d) for i, q in enumerate(quotas.tolist()) for d in range(q)]
+        assert {sum(r.shard == k for r in got) for k in range(7)} == {20, 21}
 
 
 # 4 WARC
