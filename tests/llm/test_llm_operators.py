@@ -470,6 +470,27 @@ def test_index_outlives_a_batch(spark):
     assert got == {20: (8, False), 21: (21, True)}
 
 
+def test_a_batch_that_is_run_again(spark):
+    """A driver that fails after the append runs the batch again, with the same decisions; another batch sees its texts as known."""
+    make = lambda *r: spark.createDataFrame(list(r), "doc_id bigint, text string")
+    index, docs = exact_dedup.DigestIndex(spark, buckets=3), make((1, "a"), (2, "A"), (3, "b"))
+    for _ in range(2):
+        again = exact_dedup.DigestIndex(spark, index.location)
+        assert sorted(r.doc_id for r in exact_dedup.drop_exact_copies(docs, again, "monday").collect()) == [2, 3]
+        assert again.table().count() == 2 and again.buckets == 3
+    assert sorted(r.doc_id for r in exact_dedup.drop_exact_copies(docs.unionByName(make((4, "c"))), index, "monday").collect()) == [2, 3, 4]
+    assert [r.doc_id for r in exact_dedup.drop_exact_copies(make((8, "a"), (9, "d")), index, "tuesday").collect()] == [9]
+    with pytest.raises(ValueError, match="3 buckets"):
+        exact_dedup.DigestIndex(spark, index.location, buckets=4)
+
+
+def test_exact_groups_in_batches(docs, empty):
+    """However many batches the documents go to the index in, the groups are the same."""
+    key = lambda r: (repr(r.doc_id), r.text_sha256, repr(r.keep_id), r.group_size, r.kept)
+    one, three = (sorted(map(key, exact_dedup.exact_groups(docs, batches=n).collect())) for n in (1, 3))
+    assert one == three and exact_dedup.exact_groups(empty, batches=2).collect() == []
+
+
 # 7 Licences
 
 
