@@ -1,4 +1,6 @@
-"""Texts of short public licences, without their copyright lines. Fixed values."""
+"""Texts of public licences. Short ones stand here without their copyright lines, long ones are the files of ``licence_bodies``."""
+
+from pathlib import Path
 
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
 
@@ -40,23 +42,63 @@ http://www.apache.org/licenses/LICENSE-2.0
 
 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
 
-#: Short grants that name a licence.
-GRANTS = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("MIT", "Released under the MIT License."),
-)
+UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+
+For more information, please refer to <https://unlicense.org>"""
+
+BOOST = """Boost Software License - Version 1.0 - August 17th, 2003
+
+Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:
+
+The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+
+ZERO_BSD = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.
+
+""" + ISC[ISC.index("THE SOFTWARE IS") :]
+
+MIT_0 = MIT.replace(""", subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.""", ".")
 
 BODIES = (
+    ("0BSD", "BSD Zero Clause License", ZERO_BSD),
     ("Apache-2.0", "", APACHE_NOTICE),
     ("BSD-2-Clause", "BSD 2-Clause License", BSD_HEAD + BSD_TAIL),
     ("BSD-3-Clause", "BSD 3-Clause License", BSD_HEAD + BSD_NAME + BSD_TAIL),
+    ("BSL-1.0", "", BOOST),
     ("ISC", "ISC License", ISC),
     ("MIT", "MIT License", MIT),
     ("MIT", "The MIT License (MIT)", MIT),
+    ("MIT-0", "MIT No Attribution", MIT_0),
+    ("Unlicense", "", UNLICENSE),
     ("Zlib", "zlib License", ZLIB),
 )
 
-#: (id, text): each body with and without its title, and the grants.
-TEXTS = tuple(dict.fromkeys([*GRANTS, *((i, body) for i, _, body in BODIES), *((i, f"{title}\n\n{body}") for i, title, body in BODIES if title)]))
+#: The files' licences.
+FILES = {
+    "Apache-2.0": "Apache-2.0", "Artistic": "Artistic-1.0-Perl", "CC0-1.0": "CC0-1.0", "GFDL-1.2": "GFDL-1.2", "GFDL-1.3": "GFDL-1.3", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0",
+    "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0",
+}
+#: Where the terms end and advice on their use begins.
+TERMS = "END OF TERMS AND CONDITIONS"
+
+
+def texts() -> list[tuple[str, str]]:
+    """(id, text): short ones with and without a title, the files whole and without what follows the terms."""
+    out = [(i, body) for i, _, body in BODIES] + [(i, f"{title}\n\n{body}") for i, title, body in BODIES if title]
+    for name, i in FILES.items():
+        text = (Path(__file__).parent / "licence_bodies" / f"{name}.txt").read_text("utf-8")
+        terms, _, _ = text.partition(TERMS)
+        out += [(i, text), (i, terms), (i, terms + TERMS)] if TERMS in text else [(i, text)]
+    return list(dict.fromkeys(out))
+
+
+TEXTS = tuple(texts())

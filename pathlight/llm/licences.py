@@ -11,7 +11,9 @@ are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import UPPER, ascii_lower
@@ -45,15 +47,21 @@ SPELLINGS = (
 )
 
 
-def canonical(text: Column) -> Column:
-    out = ascii_lower(F.coalesce(text, F.lit("")))
-    for pattern, to in (COPYRIGHT, BETWEEN, *SPELLINGS):
-        out = F.regexp_replace(out, pattern, to)
-    return F.trim(out)
+#: Where none of the spellings occurs, none is looked for one by one.
+ANY = "|".join(re.sub(r"\((?!\?)", "(?:", p) for p, _ in SPELLINGS)
 
 
-def canonical_digest(text: Column) -> Column:
-    return F.sha2(canonical(text).cast("binary"), 256)
+def with_digest(rows: DataFrame, text: str) -> DataFrame:
+    """``rows`` with canonical_sha256 instead of a text column."""
+    out = ascii_lower(F.coalesce(text, F.lit("")))
+    for pattern, to in (COPYRIGHT, BETWEEN):
+        out = F.regexp_replace(out, pattern, to)
+    spelled = F.col("_plain")
+    for pattern, to in SPELLINGS:
+        spelled = F.regexp_replace(spelled, pattern, to)
+    rows = rows.withColumn("_plain", out)  # a projection of its own, so that it is computed once
+    canonical = F.trim(F.when(F.col("_plain").rlike(ANY), spelled).otherwise(F.col("_plain")))
+    return rows.withColumn("canonical_sha256", F.sha2(canonical.cast("binary"), 256)).drop(text, "_plain")
 
 
 def known_licences(spark: SparkSession) -> DataFrame:
@@ -64,11 +72,11 @@ def known_licences(spark: SparkSession) -> DataFrame:
 def scan(docs: DataFrame, licences: DataFrame | None = None) -> DataFrame:
     """doc_id, canonical_sha256 and licence_id (null: none) of every document. ``licences``: licence_id and text, of any number."""
     licences = known_licences(docs.sparkSession) if licences is None else licences
-    known = licences.select(canonical_digest(licences["text"]).alias("canonical_sha256"), licences["licence_id"].cast("string").alias("licence_id"))
+    known = with_digest(licences.select(licences["text"].cast("string").alias("text"), licences["licence_id"].cast("string").alias("licence_id")), "text")
     known = known.groupBy("canonical_sha256").agg(F.min("licence_id").alias("licence_id")).where(F.col("canonical_sha256") != F.sha2(F.lit("").cast("binary"), 256))
     if known.limit(BROADCAST + 1).count() <= BROADCAST:
         known = F.broadcast(known)
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), canonical_digest(docs["text"].cast("string")).alias("canonical_sha256"))
+    rows = with_digest(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")), "text")
     return rows.join(known, "canonical_sha256", "left").select("doc_id", "canonical_sha256", "licence_id")
 
 

@@ -5,8 +5,8 @@ more hex digits), leftmost and not overlapping within a kind. Positions are code
 ``split`` leaves between matches and of the matches themselves are summed up.
 
 ``entropy`` spans: every run of 20 or more characters of the base64 and URL-safe alphabets is a candidate. A window of
-``WINDOW`` characters moves along it; the sum of n*log2(n) over the counts of its characters changes by two terms as
-one character leaves and one enters. A candidate is reported if some window's entropy reaches the threshold of the
+``WINDOW`` characters moves along it with the counts of its characters, 5 bits each in a few long integers; as one
+character leaves and one enters, two counts and two terms of the sum of n*log2(n) change. A candidate is reported if some window's entropy reaches the threshold of the
 candidate's character class (``LIMITS``) and no allow-list pattern (``ALLOWED``) matches the candidate.
 
 Null text counts as empty and has no spans. Rows that repeat are scanned each for itself. Other columns are ignored.
@@ -28,6 +28,11 @@ BASE = {
 }
 CANDIDATE = r"[A-Za-z0-9+/=_-]{20,}"
 WINDOW = 20
+#: The characters of candidates, and how many counts of 5 bits (WINDOW is below 32) a long integer holds.
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-"
+COUNTS = 12
+#: Matches of a text whose places are summed up together: a list of n matches is made in about n * (BLOCK + n / BLOCK) steps.
+BLOCK = 256
 #: Least entropy in bits a character of a window, by the candidate's class: the first that matches counts. No window of
 #: 20 has exactly these entropies, so rounding decides nothing.
 LIMITS = (("^[0-9=_+/-]+$", 3.05), ("^[0-9a-fA-F=_-]+$", 2.95), ("^[A-Za-z=_+/-]+$", 4.03), ("", 3.53))
@@ -55,25 +60,34 @@ def located(text: str, pattern: str, keep: str) -> str:
     kind = "array<struct<start:bigint,end:bigint,found:string>>"
     one = "named_struct('start', s.at + length(x.gap), 'end', s.at + length(x.gap) + length(x.found), 'found', x.found)"
     zipped = f"transform(arrays_zip(slice({pieces}, 1, size({found})), {found}, {value}), x -> named_struct('gap', x.`0`, 'found', x.`1`, 'value', x.`2`))"
-    return f"""CASE WHEN {text} RLIKE {p} THEN aggregate({zipped}, named_struct('at', 0L, 'out', CAST(array() AS {kind})),
+    block = f"slice(m, {{}} * {BLOCK} + 1, {BLOCK})"
+    starts = f"""aggregate(sequence(0, (size(m) - 1) div {BLOCK}), named_struct('at', 0L, 'out', CAST(array() AS array<struct<k:bigint,at:bigint>>)),
+        (s, k) -> named_struct('at', s.at + aggregate({block.format("k")}, 0L, (n, x) -> n + length(x.gap) + length(x.found)),
+            'out', concat(s.out, array(named_struct('k', k, 'at', s.at)))), s -> s.out)"""
+    own = f"""aggregate({block.format("CAST(b.k AS INT)")}, named_struct('at', b.at, 'out', CAST(array() AS {kind})),
         (s, x) -> named_struct('at', s.at + length(x.gap) + length(x.found), 'out', CASE WHEN {keep} THEN concat(s.out, CAST(array({one}) AS {kind})) ELSE s.out END),
-        s -> s.out) ELSE CAST(array() AS {kind}) END"""
+        s -> s.out)"""
+    # the matches are bound by a transform over one element, so that they are found once
+    return f"CASE WHEN {text} RLIKE {p} THEN element_at(transform(array({zipped}), m -> flatten(transform({starts}, b -> {own}))), 1) ELSE CAST(array() AS {kind}) END"
 
 
 def least_sum(chars: str) -> str:
-    """SQL for the least sum of n*log2(n) over the windows of an array of characters."""
-    terms = "array(" + ", ".join(f"{n * log2(n) if n else 0.0!r}D" for n in range(WINDOW + 2)) + ")"
-
-    def count(c: str, first: str) -> str:  # how often the character at c is among the up to WINDOW characters from first to i - 1
-        return f"size(filter(slice({chars}, {first}, i - {first}), c -> c = {chars}[{c} - 1]))"
+    """SQL for the least sum of n*log2(n) over the windows of an array of characters.
 
-    start = f"greatest(1, i - {WINDOW} + 1)"
-    out = count(f"i - {WINDOW}", f"(i - {WINDOW})")
-    left = f"CASE WHEN i > {WINDOW} THEN {terms}[{out}] - {terms}[{out} - 1] ELSE 0D END"
-    n = f"size(filter(slice({chars}, {start}, i - {start}), c -> c = {chars}[i - 1]))"
-    return f"""aggregate(sequence(1, size({chars})), named_struct('sum', 0D, 'least', CAST('Infinity' AS DOUBLE)),
-        (s, i) -> named_struct('sum', s.sum - {left} + {terms}[{n} + 1] - {terms}[{n}],
-            'least', CASE WHEN i >= {WINDOW} THEN least(s.least, s.sum - {left} + {terms}[{n} + 1] - {terms}[{n}]) ELSE s.least END), s -> s.least)"""
+    An event is the number of a character that enters the window, or that number below zero as it leaves.
+    """
+    terms = "array(" + ", ".join(f"{n * log2(n) if n else 0.0!r}D" for n in range(WINDOW + 2)) + ")"
+    codes = f"transform({chars}, c -> instr('{ALPHABET}', c))"
+    events = f"element_at(transform(array({codes}), a -> flatten(transform(a, (c, i) -> CASE WHEN i >= {WINDOW} THEN array(-a[i - {WINDOW}], c) ELSE array(c) END))), 1)"
+    place, sign = f"((abs(e) - 1) div {COUNTS})", "sign(e)"
+    bits = f"(5 * ((abs(e) - 1) % {COUNTS}))"
+    n = f"CAST(shiftright(s.counts[CAST({place} AS INT)], {bits}) & 31 AS INT)"
+    after = f"s.sum + {terms}[{n} + CAST({sign} AS INT)] - {terms}[{n}]"
+    words = -(-len(ALPHABET) // COUNTS)
+    return f"""aggregate({events}, named_struct('sum', 0D, 'held', 0, 'least', CAST('Infinity' AS DOUBLE), 'counts', array_repeat(0L, {words})),
+        (s, e) -> named_struct('sum', {after}, 'held', s.held + CAST({sign} AS INT),
+            'least', CASE WHEN e > 0 AND s.held >= {WINDOW - 1} THEN least(s.least, {after}) ELSE s.least END,
+            'counts', transform(s.counts, (w, k) -> CASE WHEN k = {place} THEN w + CAST({sign} AS INT) * shiftleft(1L, {bits}) ELSE w END)), s -> s.least)"""
 
 
 def limit(text: str) -> str:

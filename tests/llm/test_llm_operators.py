@@ -496,7 +496,7 @@ def test_exact_groups_in_batches(docs, empty):
 
 def test_licences(spark, empty):
     mit = next(t for _, t in licences.TEXTS if t.startswith("Permission is hereby granted"))
-    cases = [(1, mit), (2, "The MIT License (MIT)\n\nCopyright (c) 2020 A. Person\n" + mit), (3, mit.upper().replace(",", " ;").replace("\n", "\r\n  ")), (4, "# " + mit.replace("\n", "\n# ")), (5, mit + " extra"), (6, "Released under the MIT Licence"),
+    cases = [(1, mit), (2, "The MIT License (MIT)\n\nCopyright (c) 2020 A. Person\n" + mit), (3, mit.upper().replace(",", " ;").replace("\n", "\r\n  ")), (4, "# " + mit.replace("\n", "\n# ")), (5, mit + " extra"), (6, mit[:-1] + "!"),
              (7, None), (8, ""), (9, "© 2020 me\n(c) you"), (10, "word " * 50_000), (10, "word " * 50_000)]
     got = licences.scan(spark.createDataFrame(cases, "doc_id bigint, text string"))
     by_id = {r.doc_id: r.licence_id for r in got.collect()}
@@ -506,6 +506,16 @@ def test_licences(spark, empty):
     assert licences.scan(empty).collect() == []
 
 
+def test_long_licences(spark):
+    """The files are known whole, without what follows their terms, and in other spelling, layout and case."""
+    ids = [i for i, _ in licences.TEXTS]
+    assert {"GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0", "Apache-2.0", "CC0-1.0", "Unlicense", "BSL-1.0", "0BSD"} <= set(ids) and len(set(ids)) >= 20
+    twisted = [(k, "Copyright 1999 someone\n" + re.sub(r"\bLICENSE", "LICENCE", t.upper()).replace("\n", " \r\n\t* ")) for k, (_, t) in enumerate(licences.TEXTS) if "\n" in t]
+    got = {r.doc_id: r.licence_id for r in licences.scan(spark.createDataFrame(twisted, "doc_id bigint, text string")).collect()}
+    wrong = [ids[k] for k, _ in twisted if got[k] != ids[k]]
+    assert not wrong and len(got) > 25, wrong
+
+
 # 8 Top-k
 
 
@@ -578,6 +588,7 @@ def test_secrets(spark, empty):
              "x" + some("0123456789abcdef", 40) + "é" + some(al, 60) + " 123e4567-e89b-12d3-a456-426614174000", some(al, 3000), "a" * 100_000, "tokenſ=abcdefghij Key"]
     parts = ["token", "secret", "=", ":", " ", "'", "AKIA", "ABCDEFGH", "12345678", "deadbeef", "é", "😀", "api_key", "PassWord"]
     cases += ["".join(rng.choice([*parts, some(al, 12)]) for _ in range(rng.randint(1, 40))) for _ in range(150)]
+    cases += ["token=abcdefgh1 é " * 1200 + (some(al, 25) + " ") * 700]  # more matches than a block has
     df = spark.createDataFrame([(i, t) for i, t in enumerate(cases)] + [(3, cases[3])], "doc_id bigint, text string")
     got = secrets_scan.secret_digests(df).collect()
     assert len(got) == len(cases) + 1
