@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,18 @@ def slices(batch: pa.RecordBatch, column: str, rows: int, size: int = 8 << 20) -
         at = end
 
 
+def opened(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    return pyarrow.fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pyarrow.fs.LocalFileSystem(), path)
+
+
+def new_file(folder: str, name: str):
+    """A file of this attempt of a task alone, in the shared folder, and its name."""
+    fs, path = opened(folder)
+    fs.create_dir(path, recursive=True)
+    name = f"{name}-{uuid.uuid4().hex}"
+    return fs.open_output_stream(f"{path}/{name}"), name
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(text, UPPER, UPPER.lower())

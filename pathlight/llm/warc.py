@@ -23,7 +23,6 @@ import bisect
 import hashlib
 import json
 import re
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -34,7 +33,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_path, materialize
+from .common import fresh_path, materialize, new_file, opened
 
 #: Captures in a block of the index.
 LINES = 3000
@@ -109,18 +108,6 @@ def read_record(raw: bytes) -> dict:
     }
 
 
-def opened(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    return pyarrow.fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pyarrow.fs.LocalFileSystem(), path)
-
-
-def new_file(folder: str, name: str):
-    """A file of this attempt alone, and its name."""
-    fs, path = opened(folder)
-    fs.create_dir(path, recursive=True)
-    name = f"{name}-{uuid.uuid4().hex}"
-    return fs.open_output_stream(f"{path}/{name}"), name
-
-
 def archive(folder: str, date: str):
     """(rid, page_id, url, payload, digest, refers_to) to a line of the index for each record."""
 
