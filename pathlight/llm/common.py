@@ -70,9 +70,13 @@ def held_out(doc_id: Column, mod: int, rest: int) -> Column:
 BROADCAST_ROWS = 200_000
 
 
+def is_small(written: DataFrame) -> bool:
+    return written.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+
+
 def small_side(written: DataFrame) -> DataFrame:
     """A written table of narrow rows, marked for broadcast if it is small enough."""
-    return F.broadcast(written) if written.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else written
+    return F.broadcast(written) if is_small(written) else written
 
 
 def text_digest(text: Column) -> Column:

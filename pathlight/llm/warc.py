@@ -3,13 +3,14 @@
 Writing: each task writes one archive (WARC/1.1, a gzip member a record) to a shared folder; a retried task writes another
 file, and only the files of tasks that ended well are in the index. Of records with equal payloads (SHA-1, SHA-256 and length), the one with the
 largest ``page_id`` is a response; the others are revisits that refer to it. The largest ids are found by partial
-aggregation, so a payload that a third of all pages share isn't gathered anywhere.
+aggregation, so a payload that a third of all pages share isn't gathered anywhere; payloads move by row, not by digest.
 
 Indexing: captures are dealt out by ranges of (reversed-host URL key, page_id) and sorted; each task writes an index file
-of compressed blocks of ``LINES`` captures. The directory has one row a block: first key, file, offset, length.
+of compressed blocks of ``LINES`` captures. The directory has one row a block: first key, file, offset, length. Its files
+are listed with their first keys in a small table, the top.
 
-Looking up: wanted captures are sorted the same way; each task reads the slice of the directory that spans its batch,
-finds blocks by binary search, unpacks each block once, and reads the byte range of each record.
+Looking up: wanted captures are sorted the same way; each task reads the top once and of the directory the files that
+span its batch, finds blocks by binary search, unpacks each block once, and reads the byte range of each record.
 
 Null html counts as empty. A null url has an empty key. Rows with equal ``page_id`` and payload are responses alike if
 that id is the largest; every row is a record of its own. A null ``page_id`` is never referred to and never a response
@@ -33,7 +34,7 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_path, materialize, new_file, opened
+from .common import fresh_path, is_small, materialize, new_file, opened
 
 #: Captures in a block of the index.
 LINES = 3000
@@ -159,10 +160,10 @@ def index_blocks(folder: str, lines: int):
 
 
 class Archives:
-    """What ``write_archives`` leaves: the folders of archives and index files, and the path of the block directory."""
+    """What ``write_archives`` leaves: the folders of archives and index files, and the paths of the block directory and of its top."""
 
-    def __init__(self, folder: str, directory: str):
-        self.folder, self.directory = folder, directory
+    def __init__(self, folder: str, directory: str, top: str):
+        self.folder, self.directory, self.top = folder, directory, top
 
 
 def with_revisits(pages: DataFrame, least: int = LEAST) -> DataFrame:
@@ -173,7 +174,11 @@ def with_revisits(pages: DataFrame, least: int = LEAST) -> DataFrame:
     rows = materialize(rows, "pages")
     groups = rows.where(F.length("payload") >= least).groupBy("same").agg(F.max(F.struct("page_id", "rid")).alias("top"), F.count("*").alias("n"))
     groups = groups.where("n > 1 and top.page_id is not null").select("same", "top")
-    found = rows.join(materialize(groups, "equal-payloads"), "same", "left")
+    groups = materialize(groups, "equal-payloads")
+    if is_small(groups):
+        found = rows.join(F.broadcast(groups), "same", "left")
+    else:  # narrow rows meet by payload, payloads by row
+        found = rows.drop("same").join(rows.select("rid", "same").join(groups, "same").select("rid", "top"), "rid", "left")
     other = ~F.col("page_id").eqNullSafe(F.col("top.page_id"))
     refers = (F.when(other, F.col(f"top.{c}")).alias(name) for c, name in (("page_id", "refers_to"), ("rid", "refers_rid")))
     return found.select("rid", "page_id", "url", "payload", "sha1", *refers)
@@ -198,7 +203,9 @@ def write_archives(pages: DataFrame, least: int = LEAST, lines: int = LINES, dat
     directory = ordered.mapInArrow(index_blocks(f"{folder}/index", lines), "key string, rid bigint, file string, at bigint, bytes bigint, captures bigint")
     path = fresh_path(spark, "directory")
     directory.write.parquet(path)  # a file for each task, in order
-    return Archives(folder, path)
+    top = fresh_path(spark, "top")
+    spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("name")).agg(F.min(F.struct("key", "rid")).alias("first")).select("first.key", "first.rid", "name").coalesce(1).write.parquet(top)
+    return Archives(folder, path, top)
 
 
 class Reader:
@@ -206,6 +213,7 @@ class Reader:
 
     def __init__(self, archives: Archives):
         self.archives, self.files, self.block = archives, {}, (None, [], [])
+        self.top, self.held = None, (None, [])
 
     def range(self, kind: str, name: str, at: int, size: int) -> bytes:
         if name not in self.files:
@@ -215,29 +223,26 @@ class Reader:
             self.files[name] = fs.open_input_file(f"{path}/{name}")
         return self.files[name].read_at(size, at)
 
+    def rows(self, path: str, names: list[str] | None, columns: list[str]) -> list[tuple]:
+        """Sorted rows of a Parquet folder, or of some of its files."""
+        fs, at = opened(path)
+        if names is None:
+            names = [f.base_name for f in fs.get_file_info(pyarrow.fs.FileSelector(at)) if f.base_name.endswith(".parquet")]
+        out = []
+        for name in names:
+            with fs.open_input_file(f"{at}/{name}") as source:
+                out += zip(*(c.to_pylist() for c in pq.read_table(source, columns=columns).columns))
+        return sorted(out)
+
     def directory(self, low: str, high: str) -> list[tuple]:
-        """The directory's rows that can hold keys from ``low`` to ``high``: those between, and the last before them.
-
-        Parquet files are sorted and ranges of keys don't overlap, so only files and row groups of that span are read.
-        """
-        fs, path = opened(self.archives.directory)
-        rows, before = [], None
-        for f in fs.get_file_info(pyarrow.fs.FileSelector(path)):
-            if not f.path.endswith(".parquet"):
-                continue
-            with fs.open_input_file(f.path) as source:
-                file = pq.ParquetFile(source)
-                for g in range(file.num_row_groups):
-                    s = file.metadata.row_group(g).column(0).statistics
-                    if s is not None and s.has_min_max and (s.min > high or before is not None and s.max < low and s.max < before[0]):
-                        continue
-                    t = file.read_row_group(g, ["key", "rid", "file", "at", "bytes"])
-                    for r in zip(*(c.to_pylist() for c in t.columns)):
-                        if r[0] < low:
-                            before = max(before, r) if before is not None else r
-                        elif r[0] <= high:
-                            rows.append(r)
-        return sorted(rows + ([before] if before is not None else []))
+        """The directory's rows of the files that can hold keys from ``low`` to ``high``; the ranges of files don't overlap."""
+        if self.top is None:
+            self.top = self.rows(self.archives.top, None, ["key", "rid", "name"])
+        first = max(0, bisect.bisect_left(self.top, (low,)) - 1)
+        names = [name for key, _, name in self.top[first:] if key <= high]
+        if self.held[0] != names:
+            self.held = (names, self.rows(self.archives.directory, names, ["key", "rid", "file", "at", "bytes"]))
+        return self.held[1]
 
     def captures(self, entry: tuple) -> tuple[list, list]:
         if self.block[0] != entry[2:4]:

@@ -349,11 +349,14 @@ def test_splitting_tree_is_a_partition(spark):
 # 4 WARC
 
 
-def test_warc(spark):
+@pytest.mark.parametrize("small", [True, False])
+def test_warc(spark, monkeypatch, small):
+    monkeypatch.setattr(warc, "is_small", lambda _: small)
     long = "x" * 300_000
     html = [None, "", "a", "a", "b", "é\r\n\r\nWARC/1.1", long, "a", long]
     urls = ["http://www.A.com/x?q#f", None, "https://b.a.com:80/", "", "a b\nc", "http://é.org/", "ftp://u:p@h.example/", "http://a.com/x?q", "http://a.com/x?q"]
     rows = [(i, u, h, 1) for i, (u, h) in enumerate(zip(urls, html))] + [(None, "n", "zz", 1), (None, "n", "a", 1), (7, "again", "a", 1), (20, "same", "own", 1), (20, "same", "own", 1)]
+    rows += [(100 + i, f"http://hot.example/{i}", "most pages have it", 1) for i in range(60)]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, rid int")
     archives = warc.write_archives(pages, lines=3)
     got = warc.look_up(warc.captured(spark, archives), archives, payloads=True).collect()
