@@ -38,9 +38,9 @@ PLAIN = re.compile("[^\t\n\r\x20-\x7eÀ-ÖØ-öø-ɏ‘’“”„–—…«»
 SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 #: Bytes of words and their ids that a worker remembers before it starts anew, what a word costs besides, and words that
 #: are encoded at a time. Texts with a word of over 256 characters go to the tokeniser whole, so that none is remembered.
-CACHE, EACH = 160 << 20, 150
+CACHE, EACH = 96 << 20, 150
 BATCH = 1000
-LONG = re.compile(r"\S{257}")
+LONG = 256
 
 
 class Encoder:
@@ -63,8 +63,12 @@ class Encoder:
         self.held = 0
 
     @staticmethod
-    def plain(text: str) -> bool:
-        return not PLAIN.search(text) and not LONG.search(text)
+    def split(text: str) -> list[str] | None:
+        """The words of a plain text without long words."""
+        if PLAIN.search(text):
+            return None
+        words = text.lower().split()
+        return words if max(map(len, words), default=0) <= LONG else None
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -88,11 +92,12 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """One text after another, so that no more than one text's ids are held."""
-        for text in texts:
-            if not self.plain(text):
+        split = [self.split(t) for t in texts]
+        self.learn({w for words in split if words for w in words})
+        for text, words in zip(texts, split):
+            if words is None:
                 yield self.whole(text)
                 continue
-            words = text.lower().split()
             try:
                 yield b"".join([self.words[w] for w in words])
             except KeyError:
@@ -128,7 +133,6 @@ def pieces(path: str | None, size: int = SEQUENCE, end: int = END):
         for big in batches:
             for b in slices(big, "text", 500):
                 texts = [t or "" for t in b.column("text").to_pylist()]
-                own.learn({w for t in texts if own.plain(t) for w in t.lower().split()})
                 rows = []
                 for doc, ids in zip(b.column("doc_id").to_pylist(), own.encode(texts)):
                     ids += last
