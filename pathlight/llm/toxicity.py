@@ -19,7 +19,6 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -160,11 +159,12 @@ class ToxicityModel:
         *others, (words, beginnings) = learn_lexicons(rows)
         halves = [rows.where(F.col("half") == h).select("half", "toxic", extract(*others[h])("text").alias("x")) for h in (0, 1)]
         known = materialize(union(halves).coalesce(8), "features").select("half", F.col("toxic").cast("double").alias("label"), array_to_vector("x").alias("features"))
-        known = known.coalesce(2)
-        with ThreadPool(3) as pool:
-            *crossed, trees = pool.map(grow, [known.where("half = 1"), known.where("half = 0"), known])
+        known = known.coalesce(2).persist()  # each iteration reads the few rows; if lost, they are read again
+        *crossed, trees = (grow(known.where(part)) for part in ("half = 1", "half = 0", "true"))
         unseen = union([m.transform(known.where(F.col("half") == h)).select("label", vector_to_array("probability")[1].alias("p")) for h, m in enumerate(crossed)])
-        return cls(words, beginnings, trees, IsotonicRegression(featuresCol="p", labelCol="label", predictionCol="prediction_calibrated").fit(unseen.coalesce(1)), None)
+        calibration = IsotonicRegression(featuresCol="p", labelCol="label", predictionCol="prediction_calibrated").fit(unseen.coalesce(1))
+        known.unpersist()
+        return cls(words, beginnings, trees, calibration, None)
 
     def score(self, rows: DataFrame) -> DataFrame:
         """``rows`` must have a string column text and none named x, features, score or predicted; text is left out of the result."""
