@@ -43,7 +43,9 @@ LEAF = 64
 #: Vectors that the cells are cut by, at most, and cells at most.
 SAMPLE, CELLS = 16_384, 1024
 #: Queries that visit a shard together.
-BLOCK = 1024
+BLOCK = 256
+#: Visits that a task makes, on average.
+VISITS = 256
 #: Root boxes that are compared with a batch of queries at a time.
 BOXES = 4096
 SEED = 3
@@ -305,7 +307,9 @@ def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE
             pairs = materialize(state.mapInArrow(visits(path, k, first, first + width), VISIT), "visits")
             if pairs.isEmpty():
                 break
-            pairs = pairs.repartition(F.col("shard"), F.pmod(F.xxhash64("rid", F.lit(1)), F.lit(blocks))).sortWithinPartitions("shard")
+            # by number: visits are few bytes and much work, so tasks aren't to be merged
+            tasks = -(-pairs.count() // VISITS)
+            pairs = pairs.repartition(tasks, F.col("shard"), F.pmod(F.xxhash64("rid", F.lit(1)), F.lit(blocks))).sortWithinPartitions("shard")
             found = pairs.mapInArrow(abroad(folder, k), "rid bigint, ids array<bigint>, scores array<bigint>")
             state = materialize(best_of(state.unionByName(found, allowMissingColumns=True), k, "query_id", "v", "home"), "best")
             first, width = first + width, 4 * width
