@@ -19,9 +19,9 @@ V4 = r"^\s*(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})(?:/(\d{1,2}))?\s*$"
 
 def v4_network(prefix: Column) -> Column:
     """A v4 prefix as struct<family, plen, w0..w3>, host bits cleared; null if it isn't one."""
-    parts = [F.regexp_extract(prefix, V4, i) for i in range(1, 6)]
-    octets = [p.try_cast("long") for p in parts[:4]]
-    plen = F.when(parts[4] == "", 32).otherwise(parts[4].try_cast("int"))
+    parts = F.split(F.trim(prefix), "[./]")
+    octets = [parts[i].try_cast("long") for i in range(4)]
+    plen = F.coalesce(F.try_element_at(parts, F.lit(5)).try_cast("int"), F.lit(32))
     address = octets[0] * 16777216 + octets[1] * 65536 + octets[2] * 256 + octets[3]
     valid = prefix.rlike(V4) & (F.greatest(*octets) <= 255) & (plen <= 32)
     zero = F.lit(0).cast("long")
@@ -30,8 +30,8 @@ def v4_network(prefix: Column) -> Column:
 
 def masked(word: Column, bits: Column) -> Column:
     """The first ``bits`` (0 to 32) bits of a 32-bit word."""
-    size = F.pow(F.lit(2.0), F.lit(32) - F.greatest(F.lit(0), F.least(F.lit(32), bits))).cast("long")
-    return word - word % size
+    off = F.lit(32) - F.greatest(F.lit(0), F.least(F.lit(32), bits))
+    return F.call_function("shiftleft", F.call_function("shiftright", word, off), off)
 
 
 def mask(plen: Column) -> list[Column]:

@@ -19,15 +19,23 @@ def normalized(orgs: DataFrame) -> DataFrame:
 
 
 def overlay(base: DataFrame, *more: DataFrame) -> DataFrame:
-    """Organisations of several sources, in order. The last record of an id is its body; ``reg_order`` ranks (source, own order)."""
+    """Organisations of several sources, in order. The last record of an id is its body.
+
+    ``mapped`` has every ASN that any record of the id has had, with its source and place there: a later source neither
+    takes an ASN over nor lets one go, it only adds.
+    """
     layers = [d.withColumn("layer", F.lit(i)) for i, d in enumerate((base, *more))]
-    every = reduce(DataFrame.unionByName, layers)
-    return every.groupBy("org_id").agg(F.max(F.struct("layer", "reg_order", *(c for c in base.columns if c not in ("org_id", "reg_order")))).alias("r")).select("org_id", "r.*").drop("layer")
+    body = F.max(F.struct("layer", "reg_order", *(c for c in base.columns if c not in ("org_id", "reg_order"))))
+    mapped = F.flatten(F.collect_list(F.transform("asns", lambda a: F.struct(a.alias("asn"), F.col("layer").alias("layer"), F.col("reg_order").alias("place")))))
+    return reduce(DataFrame.unionByName, layers).groupBy("org_id").agg(body.alias("r"), mapped.alias("mapped")).select("org_id", "r.*", "mapped").drop("layer")
 
 
 def org_asn(orgs: DataFrame) -> DataFrame:
-    """asn, org_id, reg_order, hint: a row for each ASN of each organisation."""
-    return orgs.select("org_id", "reg_order", F.col("prefix_count_hint").alias("hint"), F.explode("asns").alias("asn"))
+    """asn, org_id, reg_order, hint: a row for each ASN of each organisation. After ``overlay``, reg_order is (source, place)."""
+    hint = F.col("prefix_count_hint").alias("hint")
+    if "mapped" not in orgs.columns:
+        return orgs.select("org_id", "reg_order", hint, F.explode("asns").alias("asn"))
+    return orgs.select("org_id", hint, F.explode("mapped").alias("m")).select("org_id", F.struct("m.layer", "m.place").alias("reg_order"), "hint", F.col("m.asn").alias("asn"))
 
 
 def org_domain(orgs: DataFrame) -> DataFrame:
@@ -47,7 +55,7 @@ def all_orgs(bridge: DataFrame, key: str, values: DataFrame) -> DataFrame:
 
 def families_of_asn(orgs: DataFrame) -> DataFrame:
     """asn and the registrable names of all its organisations' domains."""
-    rows = orgs.select(F.explode("asns").alias("asn"), families(F.col("domains")).alias("families"))
+    rows = orgs.select(F.explode("mapped.asn" if "mapped" in orgs.columns else "asns").alias("asn"), families(F.col("domains")).alias("families"))
     return rows.groupBy("asn").agg(F.array_distinct(F.flatten(F.collect_list("families"))).alias("families"))
 
 
@@ -123,19 +131,28 @@ def roll_up(nets: DataFrame, orgs: DataFrame, glue: DataFrame) -> tuple[DataFram
 def enrich(orgs: DataFrame, lines: list[str]) -> DataFrame:
     """Domains of a watchlist added to the organisations they belong to, line after line, as an added domain can match a later line.
 
-    The loop runs over the watchlist, a short text; the organisations stay distributed, one projection a line.
+    A line belongs to the organisation whose id it is, else to all whose id, name or domains hold its first label. Lines
+    that are ids are found in one look-up; the rest is one fold over the watchlist (a short text) within each
+    organisation's own row: no line needs another organisation.
     """
+    watched = []
     for line in lines:
         domain = line.strip().lower().lstrip(".")
         while domain.startswith("*."):
             domain = domain[2:].lstrip(".")
-        label = domain.split(".")[0]
-        if not label or domain.startswith("#"):
-            continue
-        exact = orgs.where(F.col("org_id") == domain).limit(1).count() > 0
-        own = F.col("org_id") == domain if exact else F.col("org_id").contains(label) | F.lower("name").contains(label) | F.exists("domains", lambda d: d.contains(label))
-        orgs = orgs.withColumn("domains", F.when(own & ~F.array_contains("domains", domain), F.array_append("domains", F.lit(domain))).otherwise(F.col("domains")))
-    return orgs
+        if domain.split(".")[0] and not domain.startswith("#"):
+            watched.append((domain, domain.split(".")[0]))
+    if not watched:
+        return orgs
+    ids = {r.org_id for r in orgs.where(F.col("org_id").isin(sorted({d for d, _ in watched}))).select("org_id").distinct().collect()}  # at most a row a line
+    steps = F.array(*(F.struct(F.lit(d).alias("domain"), F.lit(label).alias("label"), F.lit(d in ids).alias("exact")) for d, label in watched))
+
+    def add(have, w):
+        holds = F.col("org_id").contains(w["label"]) | F.lower("name").contains(w["label"]) | F.exists(have, lambda d: d.contains(w["label"]))
+        own = F.when(w["exact"], F.col("org_id") == w["domain"]).otherwise(holds)
+        return F.when(own & ~F.array_contains(have, w["domain"]), F.array_append(have, w["domain"])).otherwise(have)
+
+    return orgs.withColumn("domains", F.aggregate(steps, F.col("domains"), add))
 
 
 def unattributed(org: str):

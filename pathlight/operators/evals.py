@@ -36,6 +36,12 @@ def eval_events(cases: DataFrame, events: DataFrame) -> DataFrame:
     return first_match(cases, found.select("id", F.struct("timestamp", "detail", "prefix").alias("rank"), "detail"))
 
 
+def case_focus(cases: DataFrame, explicit: DataFrame) -> DataFrame:
+    """asn: those of an explicit list (asn) and of all cases."""
+    named = cases.select(F.explode(F.array("asn_a", "asn_b")).alias("asn")).where("asn IS NOT NULL")
+    return explicit.select(F.col("asn").cast("long").alias("asn")).union(named.select(F.col("asn").cast("long"))).distinct()
+
+
 def kind_shown():
     return F.expr("CASE expect_kind WHEN 'prefix_move' THEN prefix_move_days > 0 WHEN 'new_adj' THEN new_adj_days > 0 WHEN 'upstream_converge' THEN upstream_converge_days > 0 WHEN 'footprint_step' THEN true END")
 

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.ip import WORDS, mask, with_network
 from ..functions.paths import upstream_of
+from ..functions.shared import materialize as written
+from ..functions.shared import numbered
 
 
 def announcements(elements: DataFrame) -> DataFrame:
@@ -33,12 +35,14 @@ def counts(rib: DataFrame) -> DataFrame:
 
 
 def intern(paths: DataFrame, value: str = "as_path", order: str = "seq") -> DataFrame:
-    """Distinct values and an id for each, by first appearance; ids start at 0.
-
-    Dense ids over all values need one total order; use it on a path dimension, not on the fact table.
-    """
+    """Distinct values and an id for each, by first appearance; ids start at 0. Tasks number their own ranges."""
     first = paths.groupBy(value).agg(F.min(order).alias("first"))
-    return first.selectExpr(f"{value}", "first", f"CAST(row_number() OVER (ORDER BY first, {value}) - 1 AS BIGINT) AS id")
+    return numbered(first, "id", "first", value).select(value, "first", "id")
+
+
+def first_updates(updates: DataFrame, most: int | None, *order: str) -> DataFrame:
+    """At most ``most`` updates, the first ones; all if it is None."""
+    return updates if most is None else updates.orderBy(*(order or ("seq",))).limit(most)
 
 
 def collapse(rib: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -77,8 +81,8 @@ def longest_match(rib_prefixes: DataFrame, addresses: DataFrame, v6: bool = True
 
     Prefix containment as an equality of masked networks: hashable, so no nested loop.
     """
-    table = with_network(rib_prefixes.select("prefix").distinct(), v6=v6)
-    wanted = with_network(addresses.select("address").distinct(), "address", v6=v6).where("family IS NOT NULL")
+    table = written(with_network(rib_prefixes.select("prefix").distinct(), v6=v6), "prefixes")  # parsed once
+    wanted = written(with_network(addresses.select("address").distinct(), "address", v6=v6).where("family IS NOT NULL"), "addresses")
     up = ancestors(wanted, table.select("family", "plen")).drop("plen").withColumnRenamed("up", "plen")
     hits = up.join(table, ["family", "plen", *WORDS]).groupBy("address").agg(F.max(F.struct("plen", "prefix")).alias("m"))
     return addresses.join(hits.select("address", F.col("m.prefix").alias("matched")), "address", "left")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ip import WORDS, with_network
 from ..functions.paths import sql_collapse
+from ..functions.shared import materialize
 from .rib import ancestors
 
 
@@ -15,9 +16,10 @@ def validate_origins(routes: DataFrame, roas: DataFrame, v6: bool = True) -> Dat
 
     A route without origin is unknown. Distinct (prefix, origin) are validated once; covering is an equality of masked networks.
     """
-    table = with_network(roas.select("prefix", "max_length", F.col("origin_asn").alias("roa_origin")), v6=v6)
+    table = materialize(with_network(roas.select("prefix", "max_length", F.col("origin_asn").alias("roa_origin")), v6=v6), "roas")  # parsed once
     asked = routes.select("prefix", "origin_asn").where("prefix IS NOT NULL AND origin_asn IS NOT NULL").distinct()
-    up = ancestors(with_network(asked, v6=v6).where("family IS NOT NULL").withColumnRenamed("plen", "own").withColumn("plen", F.col("own")), table.select("family", "plen"))
+    asked = materialize(with_network(asked, v6=v6).where("family IS NOT NULL"), "asked")
+    up = ancestors(asked.withColumn("own", F.col("plen")), table.select("family", "plen"))
     up = up.drop("plen").withColumnRenamed("up", "plen")
     hits = up.join(table.select("family", "plen", *WORDS, "max_length", "roa_origin"), ["family", "plen", *WORDS])
     state = hits.groupBy("prefix", "origin_asn").agg(F.bool_or((F.col("roa_origin") == F.col("origin_asn")) & (F.col("own") <= F.col("max_length"))).alias("ok"))

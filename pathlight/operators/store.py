@@ -1,8 +1,7 @@
-"""Keyed tables that change: upserts that touch only rows that differ, soft deletes, and the changes as a table.
+"""Keyed tables that change: upserts that touch only rows that differ, soft deletes, and the changes as a log.
 
-A table is a folder of numbered versions, each a Parquet folder, and a pointer that names the current one. A commit writes
-the next version in full and then moves the pointer, so readers see the old or the new state, and a lost executor or
-driver leaves the old one. The paths are Hadoop paths.
+A table is a folder of Parquet folders by version, a log one of Parquet folders by first number. Spark writes them; a
+version is written beside the others and gets its name when it is whole, so readers see the old or the new state.
 """
 
 from __future__ import annotations
@@ -12,6 +11,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.shared import numbered
 from ..functions.values import join_list, trimmed_or_null, utc_iso
 
 CONTACT_KEY = ("asn_a", "asn_b", "as_of")
@@ -20,7 +20,7 @@ ORG_KEY = ("org_id",)
 
 def org_rows(orgs: DataFrame) -> DataFrame:
     """Organisations as stored: lists as comma text, empty ids as null."""
-    return orgs.select("org_id", "name", join_list(F.col("asns")).alias("asns"), join_list(F.col("domains")).alias("domains"), trimmed_or_null(F.col("external_id")).alias("external_id"))
+    return orgs.select("org_id", "name", join_list(F.col("asns")).alias("asns"), join_list(F.col("domains")).alias("domains"), trimmed_or_null(F.col("external_id")).alias("external_id"), "reg_order")
 
 
 def contact_rows(signals: DataFrame) -> DataFrame:
@@ -69,54 +69,82 @@ def in_scope(as_of: Column) -> Column:
 
 
 def outbox(changed: DataFrame, table: str, key: tuple[str, ...], ts: Column, last_seq: int = 0) -> DataFrame:
-    """The changes (rows of ``upsert`` with an op) as seq, tbl, op, key (JSON), ts; seq goes on from ``last_seq``.
-
-    A change log has one order, so the changes of a commit, not the table, are numbered in one window.
-    """
+    """The changes (rows of ``upsert`` with an op) as seq, tbl, op, key (JSON), ts; seq goes on from ``last_seq`` in the order of the keys."""
     rows = changed.where("op IS NOT NULL").select(F.lit(table).alias("tbl"), "op", F.to_json(F.struct(*key)).alias("key"), ts.alias("ts"))
-    return rows.selectExpr(f"CAST({int(last_seq)} + row_number() OVER (ORDER BY tbl, key) AS BIGINT) AS seq", "tbl", "op", "key", "ts")
+    return numbered(rows, "_n", "tbl", "key").select((F.col("_n") + last_seq + 1).alias("seq"), "tbl", "op", "key", "ts")
+
+
+def folders(spark: SparkSession, path: str) -> dict[str, object]:
+    """The folders in a folder, by name."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {s.getPath().getName(): s.getPath() for s in fs.listStatus(p)} if fs.exists(p) else {}
 
 
 class Table:
-    """A versioned table in a folder."""
+    """A table of whole versions, ``version=N`` each; the last two stay."""
 
     def __init__(self, spark: SparkSession, path: str, schema: str):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        jvm = spark._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def stored(self) -> dict[int, tuple[str, object]]:
+        """Versions with their tag and folder."""
+        names = ((n.removeprefix("version=").partition("@"), p) for n, p in folders(self.spark, self.path).items() if n.startswith("version="))
+        return {int(number): (tag, p) for (number, _, tag), p in names}
 
     def versions(self) -> list[int]:
-        pointer = self._path(f"{self.path}/current")
-        if not self._fs.exists(pointer):
-            return []
-        return sorted(int(s.getPath().getName()) for s in self._fs.listStatus(pointer))
+        return sorted(self.stored())
+
+    def tag(self) -> str:
+        """What the last version was committed as."""
+        have = self.stored()
+        return have[max(have)][0] if have else ""
 
     def read(self) -> DataFrame:
-        """The current version; empty before the first."""
-        known = self.versions()
-        if not known:
+        """The last version; empty before the first."""
+        have = self.stored()
+        if not have:
             return self.spark.createDataFrame([], self.schema)
-        folder = self.spark.read.text(f"{self.path}/current/{known[-1]}").first()[0]
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{folder}")
-
-    def commit(self, rows: DataFrame) -> int:
-        """Write the next version, then point to it. The pointer is made by a rename that fails if another writer was first."""
-        number = (self.versions() or [0])[-1] + 1
-        folder = f"data-{number}-{uuid.uuid4().hex[:12]}"
-        rows.select(*(c for c in self.spark.createDataFrame([], self.schema).columns)).write.parquet(f"{self.path}/{folder}")
-        self._fs.mkdirs(self._path(f"{self.path}/current"))
+        return self.spark.read.schema(self.schema).parquet(have[max(have)][1].toString())
+
+    def commit(self, rows: DataFrame, tag: str = "") -> int:
+        """Write the next version. Its folder gets its name by a rename, which fails if another writer was first."""
+        have = self.stored()
+        number = max(have, default=0) + 1
         draft = f"{self.path}/draft-{uuid.uuid4().hex[:12]}"
-        out = self._fs.create(self._path(draft))
-        out.write(folder.encode())
-        out.close()
-        target = self._path(f"{self.path}/current/{number}")
-        if self._fs.exists(target) or not self._fs.rename(self._path(draft), target):
+        rows.select(*(c for c in self.spark.createDataFrame([], self.schema).columns)).write.parquet(draft)
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        fs = path(draft).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if number in self.stored() or not fs.rename(path(draft), path(f"{self.path}/version={number}" + (f"@{tag}" if tag else ""))):
             raise RuntimeError(f"{self.path}: version {number} was committed by another writer")
+        for old in sorted(have)[:-1]:
+            fs.delete(have[old][1], True)
         return number
 
 
-ORGS = "org_id string, name string, asns string, domains string, external_id string, deleted_at bigint"
+class Log:
+    """Numbered rows that are only appended, ``first=N`` for each append. Of what is there, an append reads the last numbers alone."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str):
+        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+
+    def read(self) -> DataFrame:
+        if not folders(self.spark, self.path):
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(f"{self.schema}, first bigint").parquet(self.path).drop("first")
+
+    def last(self) -> int:
+        firsts = sorted(int(n.removeprefix("first=")) for n in folders(self.spark, self.path) if n.startswith("first="))
+        if not firsts:
+            return 0
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/first={firsts[-1]}").agg(F.max("seq")).first()[0] or firsts[-1] - 1
+
+    def append(self, rows: DataFrame, last: int) -> None:
+        """``rows`` are numbered from ``last`` + 1. An append that is run again replaces itself."""
+        rows.write.mode("overwrite").parquet(f"{self.path}/first={last + 1}")
+
+
+ORGS = "org_id string, name string, asns string, domains string, external_id string, reg_order bigint, deleted_at bigint"
 CONTACTS = (
     "asn_a bigint, asn_b bigint, as_of string, as_of_date string, prior_as_of string, schema_version int, source string, kind string, org_a string, org_b string, "
     "domains_a string, domains_b string, prefixes_moved bigint, prefix_move_days bigint, new_adj_days bigint, upstream_converge_days bigint, persistence_days bigint, "

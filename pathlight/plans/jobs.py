@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import datetime
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DiffConfig, SparseConfig
+from ..functions.shared import materialize
 from ..functions.values import split_list
 from ..operators import attribution, diff, evals, features, rib, signals, store
 from ..schemas import STATE
-from ..sources import snapshots, tables
+from ..sources import manifest, mrt, registry_crawl, snapshots, tables
 from ..streaming.routes import alerts_of
 
 UTC = datetime.UTC
@@ -27,31 +29,32 @@ class Work:
 
     def __post_init__(self):
         self.snapshots = f"{self.path}/snapshots"
-        kinds = {"orgs": store.ORGS, "network_contact": store.CONTACTS, "signal_runs": store.RUNS, "org_map_runs": store.ORG_RUNS, "pair_state": STATE, "outbox": store.OUTBOX}
+        kinds = {"orgs": store.ORGS, "network_contact": store.CONTACTS, "signal_runs": store.RUNS, "org_map_runs": store.ORG_RUNS, "pair_state": STATE}
         self.tables = {name: store.Table(self.spark, f"{self.path}/{name}", schema) for name, schema in kinds.items()}
+        self.tables["outbox"] = store.Log(self.spark, f"{self.path}/outbox", store.OUTBOX)
 
     def read(self, name: str) -> DataFrame:
         return self.tables[name].read()
 
     def log(self, changes: DataFrame, name: str, key: tuple[str, ...], now: datetime.datetime) -> None:
         """Append the changes of a commit to the outbox."""
-        box = self.read("outbox")
-        last = box.agg(F.max("seq")).first()[0] or 0
-        self.tables["outbox"].commit(box.unionByName(store.outbox(changes, name, key, F.lit(iso(now)), last)))
+        if not changes.where("op IS NOT NULL").isEmpty():
+            box = self.tables["outbox"]
+            last = box.last()
+            box.append(store.outbox(changes, name, key, F.lit(iso(now)), last), last)
 
     def put_run(self, name: str, row: tuple, now: datetime.datetime) -> None:
         run = self.spark.createDataFrame([row], store.RUNS if name == "signal_runs" else store.ORG_RUNS)
         old = self.read(name)
         changes = store.upsert(old.withColumn("deleted_at", F.lit(None).cast("long")), run, ("as_of_date",), F.lit(0), F.lit(False))
-        changes = changes.persist()
+        changes = materialize(changes, "changes")
         self.tables[name].commit(store.put_run(old, run))
         self.log(changes, name, ("as_of_date",), now)
-        changes.unpersist()
 
     def live_orgs(self) -> DataFrame:
         rows = self.read("orgs").where("deleted_at IS NULL")
         return rows.select("org_id", "name", split_list(F.col("asns"), "bigint").alias("asns"), split_list(F.col("domains")).alias("domains"), F.lit(None).cast("long").alias("prefix_count_hint"),
-                           "external_id", F.expr("CAST(xxhash64(org_id) & 9223372036854775807 AS BIGINT)").alias("reg_order"))
+                           "external_id", "reg_order")
 
 
 def iso(at: datetime.datetime) -> str:
@@ -61,33 +64,81 @@ def iso(at: datetime.datetime) -> str:
 def build_org_map(work: Work, nets: DataFrame, orgs: DataFrame, glue: DataFrame, started: datetime.datetime, finished: datetime.datetime, copy: str | None = None) -> int:
     """Organisations of a registry's networks into the store; those that the crawl lacks are deleted softly. Returns how many live."""
     built, _ = attribution.roll_up(nets, orgs, glue)
-    built = attribution.normalized(built).persist()
+    built = materialize(attribution.normalized(built), "organisations")
     if built.isEmpty():
         raise ValueError("refusing to commit an empty organisation map")
-    changes = store.upsert(work.read("orgs"), store.org_rows(built), store.ORG_KEY, F.lit(int(finished.timestamp()))).persist()
+    changes = store.upsert(work.read("orgs"), store.org_rows(built), store.ORG_KEY, F.lit(int(finished.timestamp())))
+    changes = materialize(changes, "changes")
     work.tables["orgs"].commit(changes.drop("op"))
     work.log(changes, "orgs", store.ORG_KEY, finished)
     count = work.live_orgs().count()
     work.put_run("org_map_runs", (started.date().isoformat(), iso(started), iso(finished), iso(finished), count), finished)
     if copy:
         tables.write_orgs(built, copy, "registry", iso(finished))
-    changes.unpersist()
-    built.unpersist()
     return count
 
 
+def crawl_org_map(work: Work, base: str, glue: DataFrame, started: datetime.datetime, finished: datetime.datetime, copy: str | None = None, **options) -> int:
+    """Crawl a registry, networks first and then the organisations that they name, and build the map of them. Returns how many live.
+
+    The ids go to the second crawl as text: a registry has some ten thousand organisations.
+    """
+    work.spark.dataSource.register(registry_crawl.RegistrySource)
+    read = work.spark.read.format("registry").option("base", base).options(**options)
+    nets = materialize(read.option("what", "net").load(), "networks")
+    ids = sorted(r.org_id for r in nets.where("org_id IS NOT NULL").select("org_id").distinct().collect())
+    orgs = materialize(read.option("what", "org").option("ids", ",".join(map(str, ids))).load(), "organisations")
+    return build_org_map(work, nets, orgs, glue, started, finished, copy)
+
+
+def ingest(spark: SparkSession, files: DataFrame, start: str, end: str, collector: str | None = None, skip_rib: bool = False, max_updates: int | None = None) -> DataFrame:
+    """Decoded messages of a manifest's files: the latest table of the window and all updates after it, in the order of ``seq``.
+
+    Without a table, or with ``skip_rib``, updates alone; if there are none either, ``manifest.NoFiles``. ``max_updates``
+    caps the messages of update files. What travels through the driver is the list of files.
+    """
+    try:
+        chosen = manifest.updates(files, start, end, collector) if skip_rib else manifest.plan(files, start, end, collector)
+    except manifest.NoFiles:
+        if skip_rib:
+            raise
+        chosen = manifest.updates(files, start, end, collector)
+    rows = chosen.collect()
+    return decoded(spark, [r.url for r in rows], sum(r.data_type == "rib" for r in rows), max_updates)
+
+
+def decoded(spark: SparkSession, urls: list[str], tables_first: int, max_updates: int | None = None) -> DataFrame:
+    """Messages of MRT files in their order, of which the first ``tables_first`` are routing tables."""
+    spark.dataSource.register(mrt.MrtSource)
+    rows = spark.read.format("mrt").option("paths", json.dumps(urls)).load().drop("file")
+    if max_updates is None:
+        return rows
+    update = F.col("seq") >= tables_first << 40
+    return rows.where(~update).unionByName(rib.first_updates(rows.where(update), max_updates))
+
+
+def build_snapshot(spark: SparkSession, files: DataFrame, start: datetime.datetime, end: datetime.datetime, collector: str | None = None, mode: str = "rib", skip_rib: bool = False, max_updates: int | None = None) -> DataFrame:
+    """A snapshot of a window of a manifest. Mode ``rib``: the latest table alone; mode ``updates``: what ``ingest`` gives."""
+    if mode == "rib":
+        elements = decoded(spark, [manifest.baseline(files, iso(start), iso(end), collector).url], 1)
+    elif mode == "updates":
+        elements = ingest(spark, files, iso(start), iso(end), collector, skip_rib, max_updates)
+    else:
+        raise ValueError(f"unknown mode {mode}")
+    return take_snapshot(elements, end, start, collector).withColumn("source", F.lit(mode))
+
+
 def take_snapshot(elements: DataFrame, as_of: datetime.datetime, start: datetime.datetime | None = None, collector: str | None = None, max_updates: int | None = None) -> DataFrame:
     """A snapshot of decoded messages: tables and updates together, in the order of ``seq``. ``max_updates`` caps the messages first."""
-    rows = rib.announcements(elements)
-    if max_updates is not None:
-        rows = rows.orderBy("seq").limit(max_updates)
+    rows = rib.first_updates(rib.announcements(elements), max_updates)
     out = rib.collapse(rib.materialize(rows.drop("ts")))
     stamp = lambda t: F.lit(None if t is None else iso(t)).cast("timestamp")
     return out.withColumns({"as_of": stamp(as_of), "ts_start": stamp(start), "collector": F.lit(collector).cast("string"), "source": F.lit("mrt"), "day": F.lit(as_of.date())})
 
 
-def compare(before: DataFrame, after: DataFrame, orgs: DataFrame, glue: DataFrame, config: DiffConfig | None = None) -> DataFrame:
-    """Events between two snapshots."""
+def compare(before: DataFrame, after: DataFrame, orgs: DataFrame, glue: DataFrame, config: DiffConfig | None = None, watchlist: list[str] | None = None) -> DataFrame:
+    """Events between two snapshots. ``watchlist``: domains that are first added to the organisations they belong to."""
+    orgs = attribution.enrich(orgs, watchlist) if watchlist else orgs
     day = after.agg(F.max("day")).scalar()
     return diff.diff(before.withColumn("day", day), after, orgs, glue, config)
 
@@ -137,11 +188,10 @@ def _daily(work, day, as_of, today, glue, now, options, overlays) -> str:
         focus = spark.createDataFrame([(a,) for a in options.focus_asns], "asn bigint")
         if options.focus_subjects:
             focus = attribution.asn_union(focus, attribution.subjects(attribution.org_asn(orgs), glue, rib.prefix_counts(after), options.diff.subjects))
-        focus = focus.persist()
-        kept = attribution.focus(after, focus).persist()
-        kept.count()  # read in full before its day is replaced
-        snapshots.write(kept, work.snapshots)
-        after = kept
+        focus = materialize(focus, "focus")
+        # the day is replaced from a written copy: if that breaks off, the copy is still whole
+        snapshots.write(materialize(attribution.focus(after, focus), "focused"), work.snapshots)
+        after = snapshots.read(spark, work.snapshots, day.isoformat())
     prior = snapshots.prior(spark, work.snapshots, day)
     if prior is None:
         work.put_run("signal_runs", (day.isoformat(), iso(as_of), None, "snapshot_only", 0, None), now)
@@ -157,14 +207,14 @@ def _daily(work, day, as_of, today, glue, now, options, overlays) -> str:
     rows = features.pair_features(events)
     if options.clean:
         rows, _ = features.clean(rows, orgs, glue, attribution.leasing(spark, options.leasing))
-    rows = rows.persist()
+    rows = materialize(rows, "pair-features")
     at = F.lit(stamps[1])
-    state = signals.merge_state(work.read("pair_state"), rows, at, options.retain_pairs).persist()
+    state = materialize(signals.merge_state(work.read("pair_state"), rows, at, options.retain_pairs), "pair-state")
     primaries = attribution.primary(attribution.org_asn(orgs), orgs)
-    out = signals.build_signals(rows, primaries, at, F.lit(stamps[0]), state).persist()
+    out = materialize(signals.build_signals(rows, primaries, at, F.lit(stamps[0]), state), "signals")
     incoming = store.checked_contacts(store.contact_rows(out))
     scope = store.in_scope(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-    changes = store.upsert(work.read("network_contact"), incoming, store.CONTACT_KEY, F.lit(int(now.timestamp())), scope).persist()
+    changes = materialize(store.upsert(work.read("network_contact"), incoming, store.CONTACT_KEY, F.lit(int(now.timestamp())), scope), "changes")
     work.tables["network_contact"].commit(changes.drop("op"))
     work.tables["pair_state"].commit(state)
     work.log(changes, "network_contact", store.CONTACT_KEY, now)
@@ -174,25 +224,34 @@ def _daily(work, day, as_of, today, glue, now, options, overlays) -> str:
     if options.inbox:
         tables.write_signals(out, options.inbox, append=True)
     snapshots.prune(spark, work.snapshots, day, options.retain_snapshots)
-    for df in (rows, state, out, changes):
-        df.unpersist()
     return "ok"
 
 
-def backtest(spark: SparkSession, stored: DataFrame, start: str, end: str, every: int, orgs: DataFrame, glue: DataFrame, cases: DataFrame | None = None, config: DiffConfig | None = None) -> dict[str, DataFrame]:
+def backtest(spark: SparkSession, stored: DataFrame, start: str, end: str, every: int, orgs: DataFrame, glue: DataFrame, cases: DataFrame | None = None, config: DiffConfig | None = None,
+             fetched: DataFrame | None = None, focus_asns: tuple[int, ...] = (), output: str | None = None) -> dict[str, DataFrame]:
     """Events and features of sampled days of ``stored`` snapshots (a missing day is stood in for by a near one), and, with cases, their evaluation.
 
-    All days are compared in one job. Cases whose window misses the sampled span are left out.
+    ``fetched``: snapshots fetched for this run; of those days that aren't stored, the origins in focus are kept:
+    ``focus_asns`` and the cases' ASNs, or all if both are empty. All days are compared in one job. Cases whose window
+    misses the sampled span are left out. ``output``: a folder for all results as JSON lines.
     """
+    if fetched is not None:
+        fetched = fetched.join(stored.select("day").distinct(), "day", "left_anti")
+        explicit = spark.createDataFrame([(a,) for a in focus_asns], "asn bigint")
+        focus = materialize(evals.case_focus(cases, explicit) if cases is not None else explicit, "focus")
+        stored = stored.unionByName(fetched if focus.isEmpty() else attribution.focus(fetched, focus), allowMissingColumns=True)
     wanted = evals.sample_days(spark, start, end, every)
     used = evals.nearest_days(wanted, stored.select("day").distinct()).where("used IS NOT NULL")
     planned = stored.withColumnRenamed("day", "used").join(F.broadcast(used), "used").drop("used")
-    events = diff.diff_days(planned, orgs, glue, evals.day_pairs(used.select("day")), config).persist()
+    events = materialize(diff.diff_days(planned, orgs, glue, evals.day_pairs(used.select("day")), config), "events")
     out = {"events": events, "features": features.ranked(features.pair_features(events))}
     if cases is not None:
         inside = cases.where((F.col("window_end") >= F.lit(start).cast("timestamp")) & (F.col("window_start") < F.date_add(F.lit(end).cast("date"), 1).cast("timestamp")))
         out |= {"event_results": evals.eval_events(inside, events), "feature_results": evals.eval_features(inside, out["features"]), "lead_lag": evals.lead_lag(inside, out["features"], events)}
         out["report"] = evals.report(out["event_results"], out["feature_results"])
+    if output:
+        for name, rows in out.items():
+            tables.write_lines(rows, f"{output}/{name}")
     return out
 
 
@@ -213,7 +272,6 @@ def evaluate(cases: DataFrame, events: DataFrame | None = None, pair_features: D
 
 def analyze(updates: DataFrame, roas: DataFrame, relations: DataFrame, output: str, collector: str | None = None, max_updates: int | None = None) -> int:
     """Alerts of decoded updates as JSON lines. Returns how many there are."""
-    rows = updates.orderBy("seq").limit(max_updates) if max_updates is not None else updates
-    found = alerts_of(rows, roas, relations, collector).persist()
+    found = materialize(alerts_of(rib.first_updates(updates, max_updates), roas, relations, collector), "alerts")
     tables.write_lines(found, output)
     return found.count()

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.shared import materialize
+
 PREFIX = "concat('10.', CAST({p} >> 8 AS STRING), '.', CAST({p} & 255 AS STRING), '.0/24')"
 ORIGIN = "64500 + l_suppkey"
 HOPS = ("900 + l_linenumber", "64500 + (l_orderkey % 97)", ORIGIN)
@@ -41,16 +43,18 @@ def routes(spark: SparkSession, sf_dir: str, until: str) -> DataFrame:
 
 
 def snapshots(spark: SparkSession, sf_dir: str, days: tuple[str, ...] = DAYS) -> DataFrame:
-    """A collapsed snapshot for each day, with day and as_of. One aggregation for all days: each announcement counts for every later day."""
-    from ..operators.rib import collapse, materialize
+    """A collapsed snapshot for each day, with day and as_of, written.
+
+    One aggregation for all days: of each route, the last announcement before each day. Rows aren't multiplied before it.
+    """
+    from ..operators.rib import collapse
 
-    later = F.array(*(F.lit(d).cast("date") for d in days))
-    rows = announcements(spark, sf_dir).withColumn("withdraw", F.lit(False))
-    rows = rows.withColumn("day", F.explode(F.filter(later, lambda d: d.cast("timestamp_ntz") > F.col("l_shipdate"))))
-    rest = ["origin_asn", "as_path", "withdraw"]
-    last = rows.groupBy("day", "prefix", "peer_asn").agg(F.max(F.struct(*ORDER, *rest)).alias("last"))
-    rib = last.select("day", "prefix", "peer_asn", "last.origin_asn", "last.as_path")
-    return collapse(rib, ["day"]).withColumn("as_of", F.col("day").cast("timestamp"))
+    entry = F.struct(*ORDER, "origin_asn", "as_path")
+    last = [F.max(F.when(F.col("l_shipdate") < F.lit(d).cast("timestamp_ntz"), entry)).alias(f"d{i}") for i, d in enumerate(days)]
+    kept = announcements(spark, sf_dir).groupBy("prefix", "peer_asn").agg(*last)
+    by_day = F.array(*(F.struct(F.lit(d).cast("date").alias("day"), F.col(f"d{i}").alias("last")) for i, d in enumerate(days)))
+    rib = kept.select("prefix", "peer_asn", F.inline(by_day)).where("last IS NOT NULL").select("day", "prefix", "peer_asn", "last.origin_asn", "last.as_path")
+    return materialize(collapse(rib, ["day"]).withColumn("as_of", F.col("day").cast("timestamp")), "snapshots")
 
 
 def orgs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,10 +95,19 @@ ROA_PREFIX = "concat('10.', CAST(p_partkey >> 8 AS STRING), '.', CAST(((p_partke
 ROA_LENGTH = "CAST(20 + p_partkey % 5 AS INT)"
 
 
+#: ROAs of several lengths over the same addresses: which parts have one, its prefix, its largest length, the factor of its origin, and its length below 24.
+ROAS = (
+    ("p_partkey % 3 = 0 AND (p_partkey >> 4) % 4 <> 0", ROA_PREFIX, ROA_LENGTH, 7, 4),
+    ("p_partkey % 5 = 0", PREFIX.format(p="p_partkey"), "24", 11, 0),
+    ("p_partkey % 97 = 0", "concat('10.', CAST(p_partkey >> 8 AS STRING), '.0.0/16')", "CAST(16 + p_partkey % 10 AS INT)", 13, 8),
+)
+
+
 def roas(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "supplier").agg(F.count("*").alias("n")).scalar()
-    rows = table(spark, sf_dir, "part").where("p_partkey % 3 = 0 AND (p_partkey >> 4) % 4 <> 0")
-    return rows.select(F.expr(ROA_PREFIX).alias("prefix"), F.expr(ROA_LENGTH).alias("max_length"), (F.lit(64500) + (F.col("p_partkey") * 7) % n).alias("origin_asn")).distinct()
+    part = table(spark, sf_dir, "part")
+    kinds = [part.where(where).select(F.expr(prefix).alias("prefix"), F.expr(length).alias("max_length"), (F.lit(64500) + (F.col("p_partkey") * by) % n).alias("origin_asn")) for where, prefix, length, by, _ in ROAS]
+    return kinds[0].union(kinds[1]).union(kinds[2]).distinct()
 
 
 CASE_KINDS = "CASE s_suppkey % 3 WHEN 0 THEN 'prefix_move' WHEN 1 THEN 'upstream_converge' ELSE 'footprint_step' END"

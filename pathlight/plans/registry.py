@@ -9,6 +9,7 @@ from ..config import SparseConfig, SubjectRule
 from ..functions import domains as dom
 from ..functions.paths import collapse as collapse_path
 from ..functions.paths import edges, pair_key
+from ..functions.shared import materialize
 from ..functions.values import horizon_bucket, join_list
 from ..operators import attribution, diff, evals, features, rib, routes, signals, store
 from . import projection as p
@@ -36,14 +37,14 @@ def pairs_of(spark: SparkSession) -> DataFrame:
 
 
 def context(spark: SparkSession, sf_dir: str) -> diff.Context:
-    snaps, pairs = p.snapshots(spark, sf_dir).persist(), pairs_of(spark)
+    snaps, pairs = p.snapshots(spark, sf_dir), pairs_of(spark)
     before = snaps.drop("as_of").join(F.broadcast(pairs.select(F.col("prev_day").alias("q"), F.col("day").alias("to"))), F.col("day") == F.col("q")).drop("day", "q").withColumnRenamed("to", "day")
     return diff.Context(before, snaps.join(F.broadcast(pairs.select("day")), "day"), p.orgs(spark, sf_dir), p.glue(spark, sf_dir))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events of the sampled days. Both sides of each comparison read the snapshots, so they are kept."""
-    return diff.diff_days(p.snapshots(spark, sf_dir).persist(), p.orgs(spark, sf_dir), p.glue(spark, sf_dir), pairs_of(spark))
+    """All events of the sampled days. Both sides of each comparison read the written snapshots."""
+    return diff.diff_days(p.snapshots(spark, sf_dir), p.orgs(spark, sf_dir), p.glue(spark, sf_dir), pairs_of(spark))
 
 
 def event_text(df: DataFrame) -> DataFrame:
@@ -83,11 +84,11 @@ def prefix_count_by_origin(spark, sf_dir):
 
 
 @query("""
-WITH a AS (""" + p.DUCK["ann"] + """), f AS (SELECT array_to_string(as_path, ',') AS as_path, min(l_orderkey) AS first FROM a WHERE l_suppkey % 5 = 0 GROUP BY as_path)
+WITH a AS (""" + p.DUCK["ann"] + """), f AS (SELECT array_to_string(as_path, ',') AS as_path, min(l_orderkey) AS first FROM a GROUP BY as_path)
 SELECT as_path, first, row_number() OVER (ORDER BY first, as_path) - 1 AS id FROM f
 """)
 def path_interning(spark, sf_dir):
-    rows = p.announcements(spark, sf_dir).where("l_suppkey % 5 = 0").withColumn("as_path", join_list(F.col("as_path")))
+    rows = p.announcements(spark, sf_dir).withColumn("as_path", join_list(F.col("as_path")))
     return rib.intern(rows, "as_path", "l_orderkey")
 
 
@@ -102,21 +103,27 @@ def path_collapse(spark, sf_dir):
     return rib.collapse(p.routes(spark, sf_dir, AFTER)).select(join_list(collapse_path("as_path")).alias("path")).groupBy("path").agg(F.count("*").alias("n"))
 
 
-def v4_text(number):
-    return F.concat_ws(".", F.lit("10"), F.shiftright(number, 8).bitwiseAND(255).cast("string"), number.bitwiseAND(255).cast("string"), F.lit("7"))
+LPM_SQL = f"""SELECT user_id, address, coalesce(a.prefix, b.prefix, c.prefix, CASE WHEN inside THEN '10.0.0.0/8' END) AS matched
+FROM (SELECT DISTINCT user_id, user_id & 65535 AS n, user_id % 7 <> 0 AS inside, concat(CASE WHEN user_id % 7 = 0 THEN '11.' ELSE '10.' END, CAST((user_id >> 8) & 255 AS STRING), '.', CAST(user_id & 255 AS STRING), '.7') AS address FROM events) e
+LEFT JOIN (SELECT prefix FROM snap WHERE day = DATE '{AFTER}') a ON inside AND a.prefix = concat('10.', CAST(n >> 8 AS STRING), '.', CAST(n & 255 AS STRING), '.0/24')
+LEFT JOIN (SELECT DISTINCT {p.ROA_PREFIX} AS prefix FROM part) b ON inside AND b.prefix = concat('10.', CAST(n >> 8 AS STRING), '.', CAST(((n >> 4) & 15) << 4 AS STRING), '.0/20')
+LEFT JOIN (SELECT DISTINCT concat('10.', CAST(2 * (p_partkey >> 9) AS STRING), '.0.0/15') AS prefix FROM part) c ON inside AND c.prefix = concat('10.', CAST(2 * (n >> 9) AS STRING), '.0.0/15')"""
 
 
-@query(duck(f"""SELECT user_id, concat('10.', CAST((user_id >> 8) & 255 AS STRING), '.', CAST(user_id & 255 AS STRING), '.7') AS address, max(s.prefix) AS matched
-FROM (SELECT DISTINCT user_id FROM events) e LEFT JOIN (SELECT prefix FROM snap WHERE day = DATE '{AFTER}' AND origin_asn % 2 = 0) s
-ON s.prefix = concat('10.', CAST((user_id >> 8) & 255 AS STRING), '.', CAST(user_id & 255 AS STRING), '.0/24') GROUP BY user_id"""))
+@query(duck(LPM_SQL))
 def longest_prefix_match(spark, sf_dir):
-    rows = p.table(spark, sf_dir, "events").select("user_id").distinct().withColumn("address", v4_text(F.col("user_id")))
-    return rib.longest_match(rib.collapse(p.routes(spark, sf_dir, AFTER)).where("origin_asn % 2 = 0"), rows, v6=False).select("user_id", "address", "matched")
+    """Addresses in nested prefixes of four lengths, and some in none."""
+    part = p.table(spark, sf_dir, "part")
+    table = rib.collapse(p.routes(spark, sf_dir, AFTER)).select("prefix").union(part.selectExpr(p.ROA_PREFIX)).union(part.selectExpr("concat('10.', CAST(2 * (p_partkey >> 9) AS STRING), '.0.0/15')"))
+    table = table.union(spark.range(1).selectExpr("'10.0.0.0/8'"))
+    rows = p.table(spark, sf_dir, "events").select("user_id").distinct()
+    rows = rows.selectExpr("user_id", "concat(CASE WHEN user_id % 7 = 0 THEN '11.' ELSE '10.' END, CAST((user_id >> 8) & 255 AS STRING), '.', CAST(user_id & 255 AS STRING), '.7') AS address")
+    return rib.longest_match(table, rows, v6=False).select("user_id", "address", "matched")
 
 
-@query(duck(f"SELECT s.prefix, origin_asn FROM snap s JOIN (SELECT DISTINCT {p.PREFIX.format(p='p_partkey')} AS prefix FROM part WHERE p_size < 10) USING (prefix) WHERE day = DATE '{AFTER}'"))
+@query(duck(f"SELECT s.prefix, origin_asn FROM snap s JOIN (SELECT DISTINCT {p.PREFIX.format(p='p_partkey')} AS prefix FROM part) USING (prefix) WHERE day = DATE '{AFTER}'"))
 def exact_prefix_match(spark, sf_dir):
-    wanted = p.table(spark, sf_dir, "part").where("p_size < 10").selectExpr(f"{p.PREFIX.format(p='p_partkey')} AS prefix").distinct()
+    wanted = p.table(spark, sf_dir, "part").selectExpr(f"{p.PREFIX.format(p='p_partkey')} AS prefix").distinct()
     return rib.exact_match(rib.collapse(p.routes(spark, sf_dir, AFTER)), wanted).select("prefix", "origin_asn")
 
 
@@ -124,7 +131,7 @@ def exact_prefix_match(spark, sf_dir):
 SELECT event_id, user_id, event_type FROM (SELECT event_id, user_id, event_type FROM events ORDER BY ts, event_id LIMIT 500)
 """)
 def updates_cap(spark, sf_dir):
-    return p.table(spark, sf_dir, "events").orderBy("ts", "event_id").limit(500).select("event_id", "user_id", "event_type")
+    return rib.first_updates(p.table(spark, sf_dir, "events"), 500, "ts", "event_id").select("event_id", "user_id", "event_type")
 
 
 # Attribution
@@ -149,10 +156,30 @@ def org_primary(spark, sf_dir):
     return attribution.primary(attribution.org_asn(orgs), orgs).select("asn", "org_id", join_list(F.col("domains")).alias("domains"))
 
 
-@query(duck("SELECT domain, org_id FROM (SELECT DISTINCT domain, org_id, reg_order FROM org) WHERE reg_order % 2 = 0"))
+@query(duck("SELECT n.domain, o.org_id FROM (SELECT concat('n', CAST(n_nationkey AS STRING), '.r', CAST(n_regionkey AS STRING), '.example') AS domain FROM nation) n JOIN (SELECT DISTINCT domain, org_id FROM org) o USING (domain)"))
 def orgs_of_domain(spark, sf_dir):
-    bridge = attribution.org_domain(p.orgs(spark, sf_dir))
-    return attribution.all_orgs(bridge, "domain", bridge.where("reg_order % 2 = 0").select("domain")).select("domain", "org_id")
+    """Every nation's domain is looked up; nobody claims one of them."""
+    asked = p.table(spark, sf_dir, "nation").selectExpr("concat('n', CAST(n_nationkey AS STRING), '.r', CAST(n_regionkey AS STRING), '.example') AS domain")
+    return attribution.all_orgs(attribution.org_domain(p.orgs(spark, sf_dir)), "domain", asked).select("domain", "org_id")
+
+
+def overlays(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Every third organisation with other domains and half its networks, and an organisation a region with all networks of its nations."""
+    half = F.filter("asns", lambda a: a % 2 == 0)
+    third = p.orgs(spark, sf_dir).where("reg_order % 3 = 0").withColumns({"asns": half, "domains": F.array(F.concat(F.lit("x"), F.col("reg_order").cast("string"), F.lit(".example"))), "reg_order": F.lit(-1).cast("long")})
+    rows = p.table(spark, sf_dir, "supplier").join(p.table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).groupBy("n_regionkey").agg(F.collect_set(F.col("s_suppkey") + 64500).alias("asns"))
+    regions = rows.selectExpr("concat('own:', CAST(n_regionkey AS STRING)) AS org_id", "'own' AS name", "asns", "array(concat('own', CAST(n_regionkey AS STRING), '.example')) AS domains",
+                              "CAST(NULL AS BIGINT) AS prefix_count_hint", "CAST(NULL AS STRING) AS external_id", "CAST(n_regionkey AS BIGINT) AS reg_order")
+    return third, regions
+
+
+@query(f"""SELECT 64500 + s_suppkey AS asn, CASE WHEN s_nationkey <> {p.NO_ORG} THEN concat('pdb:', CAST(n_nationkey AS STRING)) ELSE concat('own:', CAST(n_regionkey AS STRING)) END AS org_id,
+CASE WHEN s_nationkey = {p.NO_ORG} THEN 'own' || n_regionkey || '.example' WHEN n_nationkey % 3 = 0 THEN 'x' || n_nationkey || '.example' ELSE 'n' || n_nationkey || '.r' || n_regionkey || '.example' END AS domains
+FROM supplier JOIN nation ON s_nationkey = n_nationkey""")
+def overlay_primary(spark, sf_dir):
+    """Later sources give an organisation another body, but take no network over, and let none go."""
+    orgs = attribution.overlay(p.orgs(spark, sf_dir), *overlays(spark, sf_dir))
+    return attribution.primary(attribution.org_asn(orgs), orgs).select("asn", "org_id", join_list(F.col("domains")).alias("domains"))
 
 
 @query(duck("""SELECT a.s_suppkey + 64500 AS asn_lo, a.s_suppkey + 64505 AS asn_hi, coalesce(x.family = y.family, false) AS same_family
@@ -192,7 +219,7 @@ FROM kept k JOIN nation ON n_nationkey = k.org_id LEFT JOIN sites s ON s.org_id
 def org_rollup(spark, sf_dir):
     nets = p.table(spark, sf_dir, "supplier").selectExpr("CAST(s_nationkey AS BIGINT) AS org_id", "64500 + s_suppkey AS asn", "CASE WHEN s_suppkey % 4 = 0 THEN concat('https://WWW.n', s_nationkey, '.example/x') END AS website")
     orgs = p.table(spark, sf_dir, "nation").where("n_nationkey % 3 <> 0").selectExpr("CAST(n_nationkey AS BIGINT) AS id", "n_name AS name", "concat('r', n_regionkey, '.example') AS website")
-    return store.org_rows(attribution.roll_up(nets, orgs, p.glue(spark, sf_dir))[0])
+    return store.org_rows(attribution.roll_up(nets, orgs, p.glue(spark, sf_dir))[0]).drop("reg_order")
 
 
 # Events
@@ -362,9 +389,12 @@ hop AS (SELECT prefix, i, CASE WHEN c IS NULL OR c = 3 THEN '' WHEN c = 2 THEN '
   FROM (SELECT prefix, list_reverse(d) AS r, unnest(range(1, len(d))) AS i FROM snap WHERE day = DATE '1999-01-01') LEFT JOIN rel ON rel.a = least(r[i], r[i + 1]) AND rel.b = greatest(r[i], r[i + 1]) AND (rel.a > 1000 OR rel.b < 64597)),
 ver AS (SELECT prefix, CASE WHEN NOT regexp_full_match(string_agg(code, '' ORDER BY i), 'U*P?D*') THEN 'leak_suspected' WHEN bool_or(code = '') THEN 'incomplete' ELSE 'valley_free' END AS path_verdict FROM hop GROUP BY prefix)
 """
-ROV_SQL = f""", roa AS (SELECT DISTINCT {p.ROA_PREFIX} AS prefix, {p.ROA_LENGTH} AS max_length, 64500 + (p_partkey * 7) % (SELECT count(*) FROM supplier) AS o, p_partkey >> 4 AS block FROM part WHERE p_partkey % 3 = 0 AND (p_partkey >> 4) % 4 <> 0),
-rov AS (SELECT s.prefix, s.origin_asn, CASE WHEN bool_or(o = origin_asn AND max_length >= 24) THEN 'valid' WHEN count(o) > 0 THEN 'invalid' ELSE 'unknown' END AS rpki_state
-  FROM snap s LEFT JOIN roa ON roa.block = ((CAST(split_part(s.prefix, '.', 2) AS BIGINT) << 8) + CAST(split_part(s.prefix, '.', 3) AS BIGINT)) >> 4 WHERE day = DATE '1999-01-01' GROUP BY ALL)
+ROA_SQL = " UNION ".join(f"SELECT {length} AS max_length, 64500 + (p_partkey * {by}) % (SELECT count(*) FROM supplier) AS o, p_partkey >> {less} AS block, {less} AS less FROM part WHERE {where}" for where, _, length, by, less in p.ROAS)
+ROV_SQL = f""", roa AS ({ROA_SQL}),
+asked AS (SELECT prefix, origin_asn, (CAST(split_part(prefix, '.', 2) AS BIGINT) << 8) + CAST(split_part(prefix, '.', 3) AS BIGINT) AS n FROM snap WHERE day = DATE '1999-01-01'),
+cover AS (""" + " UNION ALL ".join(f"SELECT prefix, origin_asn, o, max_length FROM asked JOIN roa ON roa.less = {less} AND roa.block = n >> {less}" for *_, less in p.ROAS) + """),
+rov AS (SELECT s.prefix, s.origin_asn, CASE WHEN bool_or(c.o = s.origin_asn AND max_length >= 24) THEN 'valid' WHEN count(c.o) > 0 THEN 'invalid' ELSE 'unknown' END AS rpki_state
+  FROM asked s LEFT JOIN cover c ON c.prefix = s.prefix AND c.origin_asn = s.origin_asn GROUP BY ALL)
 """
 
 
@@ -420,15 +450,22 @@ def eval_features(spark, sf_dir):
 @query(duck(CASE_SQL + """SELECT * FROM (SELECT count_if(hit)::BIGINT AS event_hits, count_if(NOT hit)::BIGINT AS event_misses, count_if(hit = expect_hit)::BIGINT AS event_passed, count_if(hit <> expect_hit)::BIGINT AS event_failed FROM em),
 (SELECT count_if(hit)::BIGINT AS feature_hits, count_if(NOT hit)::BIGINT AS feature_misses, count_if(hit = expect_hit)::BIGINT AS feature_passed, count_if(hit <> expect_hit)::BIGINT AS feature_failed FROM fm)"""))
 def eval_report(spark, sf_dir):
-    cases, found = p.cases(spark, sf_dir), events(spark, sf_dir).persist()
+    cases, found = p.cases(spark, sf_dir), materialize(events(spark, sf_dir), "events")
     return evals.report(evals.eval_events(cases, found), evals.eval_features(cases, features.pair_features(found)))
 
 
 @query(duck(CASE_SQL + f"""SELECT id, expect_hit, expect_kind, asn_a, asn_b, '1999-06-30T12:00:00+00:00' AS announce_end, feature_hit, event_hit, first IS NOT NULL AS pair_contact_hit, fp AS target_footprint_hit, passed_feature,
 CAST(lead AS BIGINT) AS lead_days, {BUCKET_SQL} AS horizon_bucket, strftime(first, '%Y-%m-%dT%H:%M:%S+00:00') AS first_seen, detail FROM ll"""))
 def lead_lag(spark, sf_dir):
-    found = events(spark, sf_dir).persist()
-    return evals.lead_lag(p.cases(spark, sf_dir), features.pair_features(found), found)
+    found = materialize(events(spark, sf_dir), "events")
+    return evals.lead_lag(p.cases(spark, sf_dir), materialize(features.pair_features(found), "features"), found)
+
+
+@query(duck(CASE_SQL + f"SELECT prefix, origin_asn FROM snap WHERE day = DATE '{AFTER}' AND origin_asn IN (SELECT asn_a FROM cs UNION SELECT asn_b FROM cs WHERE asn_b IS NOT NULL UNION SELECT asn FROM leasing)"))
+def backtest_focus(spark, sf_dir):
+    """What a backtest keeps of a fetched day: the origins of an explicit list and of its cases."""
+    asns = evals.case_focus(p.cases(spark, sf_dir), p.leasing(spark, sf_dir))
+    return attribution.focus(rib.collapse(p.routes(spark, sf_dir, AFTER)), asns).select("prefix", "origin_asn")
 
 
 @query(f"SELECT {BUCKET_SQL} AS bucket, count(*) AS n FROM (SELECT date_diff('day', DATE '1997-01-01', CAST(o_orderdate AS DATE)) AS lead, CASE WHEN o_custkey % 5 > 0 THEN 1 END AS first FROM orders) GROUP BY 1")
@@ -448,11 +485,11 @@ def day_samples(spark, sf_dir):
 
 
 @query("""
-WITH h AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderkey % 97 = 0), w AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events),
+WITH h AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE month(o_orderdate) <> 2), w AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events),
 t AS (SELECT day, r, CAST(day + o AS DATE) AS used FROM w, (VALUES (0, 0), (1, -1), (2, 1), (3, -2), (4, 2), (5, -3), (6, 3)) v(r, o))
 SELECT strftime(w.day, '%Y-%m-%d') AS day, strftime(min_by(t.used, r), '%Y-%m-%d') AS used FROM w LEFT JOIN (SELECT t.* FROM t JOIN h ON h.d = t.used) t ON t.day = w.day GROUP BY w.day
 """)
 def nearest_days(spark, sf_dir):
-    have = p.table(spark, sf_dir, "orders").where("o_orderkey % 97 = 0").select(F.to_date("o_orderdate").alias("day")).distinct()
+    have = p.table(spark, sf_dir, "orders").where("month(o_orderdate) <> 2").select(F.to_date("o_orderdate").alias("day")).distinct()  # no dump is kept of February
     wanted = p.table(spark, sf_dir, "events").select(F.to_date("ts").alias("day")).distinct()
     return text_days(evals.nearest_days(wanted, have), "day", "used")

@@ -6,6 +6,9 @@ Paths are local files, ``file:`` and what ``pyarrow.fs`` opens; ``.gz`` and ``.b
 (A or W) keeps one type of element while decoding.
 
 ``seq`` is (number of the file << 40) + the row's place in it, so that files in order of name give the order of writes.
+``paths`` (a JSON list) instead of a path gives the files and their order. Records that hold routes in a form that isn't read
+here (the old table dump, generic and multicast tables, additional paths) fail the load, unless ``skip_unknown`` is set.
+
 An AS_SET makes a path empty: it has no single next hop; the origin then comes from the set's members if there is one.
 """
 
@@ -14,6 +17,7 @@ from __future__ import annotations
 import bz2
 import gzip
 import ipaddress
+import json
 import struct
 from collections.abc import Iterator
 
@@ -82,7 +86,11 @@ def attributes(data: bytes, size: int, in_rib: bool = False) -> dict:
     return out
 
 
-def elements(data) -> Iterator[tuple]:
+#: Kinds of records with routes that aren't read: (type, subtypes; none: all).
+UNREAD = {12: (), TABLE_DUMP_V2: (3, 5, 6, 8, 9, 10, 11, 12), BGP4MP: (8, 9, 10, 11)}
+
+
+def elements(data, skip_unknown: bool = False) -> Iterator[tuple]:
     """(ts, elem_type, prefix, peer_asn, as_path, origin_asns) of a stream of MRT records."""
     peers: list[int] = []
     while len(head := data.read(12)) == 12:
@@ -105,6 +113,8 @@ def elements(data) -> Iterator[tuple]:
                 yield float(when), "A", prefix, peers[peer], found["path"], found["origins"]
         elif kind == BGP4MP and sub in (MESSAGE, MESSAGE_AS4, MESSAGE_LOCAL, MESSAGE_AS4_LOCAL):
             yield from message(body, ts, 4 if sub in (MESSAGE_AS4, MESSAGE_AS4_LOCAL) else 2)
+        elif not skip_unknown and kind in UNREAD and (not UNREAD[kind] or sub in UNREAD[kind]):
+            raise ValueError(f"an MRT record of type {kind}, subtype {sub} holds routes that aren't read")
 
 
 def peer_index(body: bytes) -> Iterator[int]:
@@ -142,20 +152,22 @@ def filesystem(path: str):
 
 
 class MrtReader(DataSourceReader):
-    def __init__(self, path: str, kind: str | None):
-        self.path, self.kind = path, kind
+    def __init__(self, path: str, kind: str | None, paths: list[str] | None = None, skip_unknown: bool = False):
+        self.path, self.kind, self.paths, self.skip_unknown = path, kind, paths, skip_unknown
 
     def partitions(self):
+        if self.paths is not None:
+            return [File(i, n) for i, n in enumerate(self.paths)]
         fs, path = filesystem(self.path)
         info = fs.get_file_info(path)
         names = sorted(f.path for f in fs.get_file_info(pyarrow.fs.FileSelector(path)) if f.is_file) if info.type == pyarrow.fs.FileType.Directory else [path]
         return [File(i, n) for i, n in enumerate(names)]
 
     def read(self, partition: File):
-        fs, _ = filesystem(self.path)
-        with fs.open_input_stream(partition.path, compression=None) as raw:
+        fs, path = filesystem(partition.path if self.paths is not None else self.path)
+        with fs.open_input_stream(path if self.paths is not None else partition.path, compression=None) as raw:
             data = gzip.GzipFile(fileobj=raw) if partition.path.endswith(".gz") else bz2.BZ2File(raw) if partition.path.endswith(".bz2") else raw
-            for i, (ts, kind, *rest) in enumerate(elements(data)):
+            for i, (ts, kind, *rest) in enumerate(elements(data, self.skip_unknown)):
                 if self.kind in (None, kind):
                     yield ((partition.number << 40) + i, ts, kind, *rest, partition.path)
 
@@ -169,4 +181,5 @@ class MrtSource(DataSource):
         return f"{ELEMENT}, file string"
 
     def reader(self, schema):
-        return MrtReader(self.options["path"], self.options.get("elem_type"))
+        paths = self.options.get("paths")
+        return MrtReader(self.options.get("path", ""), self.options.get("elem_type"), json.loads(paths) if paths else None, self.options.get("skip_unknown", "").lower() == "true")

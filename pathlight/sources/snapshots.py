@@ -7,6 +7,7 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import store
 from ..schemas import SNAPSHOT
 
 
@@ -26,12 +27,7 @@ def read(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
 
 def folders(spark: SparkSession, path: str) -> dict[datetime.date, object]:
     """The days that are stored, from the folders' names."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return {}
-    names = {s.getPath().getName(): s.getPath() for s in fs.listStatus(p)}
-    return {datetime.date.fromisoformat(n[4:]): v for n, v in names.items() if n.startswith("day=") and not n.endswith("__")}
+    return {datetime.date.fromisoformat(n[4:]): p for n, p in store.folders(spark, path).items() if n.startswith("day=") and not n.endswith("__")}
 
 
 def prior(spark: SparkSession, path: str, day: datetime.date) -> datetime.date | None:

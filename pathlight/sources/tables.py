@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import ipaddress
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from ..config import GLUE
 from ..schemas import CASE, EVENT, FEATURE, ORG, RELATION, ROA, SIGNAL
 
+#: Headers of ROA files.
 ASN_COLUMNS = ("asn", "as", "origin", "origin asn", "origin_asn")
 PREFIX_COLUMNS = ("ip prefix", "prefix", "ip_prefix", "ipprefix")
 LENGTH_COLUMNS = ("max length", "maxlen", "max_length", "maxlength", "max len")
@@ -53,11 +55,14 @@ def read_roas(spark: SparkSession, path: str) -> DataFrame:
     first = lines.first()
     if first is None:
         return spark.createDataFrame([], ROA)
-    asn, prefix, length, data = roa_columns(first[0].split(","))
-    cells = lines.select(F.transform(F.split("value", ","), lambda c: F.trim(F.regexp_replace(c, '^\\s*"|"\\s*$', ""))).alias("c"))
-    if not data:
-        cells = cells.where(F.array_join("c", ",") != ",".join(c.strip().strip('"') for c in first[0].split(",")))
-    cells = cells.where(F.size("c") > max(asn, prefix, length)).where((F.col("c")[asn] != "") & ~F.col("c")[asn].startswith("#"))
+    header = next(csv.reader([first[0]], skipinitialspace=True))
+    asn, prefix, length, data = roa_columns(header)
+    kinds = ", ".join(f"c{i} string" for i in range(max(len(header), asn + 1, prefix + 1, length + 1)))
+    cells = lines.select(F.from_csv("value", kinds, {"ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}).alias("r"))
+    cells = cells.select(F.array(*(F.trim(F.col(f"r.c{i}")) for i in range(len(kinds.split(", "))))).alias("c")).where(" AND ".join(f"c[{i}] IS NOT NULL" for i in (asn, prefix, length)))
+    if not data:  # each file may have the header
+        cells = cells.where(F.lower(F.col("c")[asn]) != header[asn].strip().lower())
+    cells = cells.where((F.col("c")[asn] != "") & ~F.col("c")[asn].startswith("#"))
     number = F.regexp_replace(F.col("c")[asn], "^(?:AS)*(?:as)*", "")
     net = F.col("c")[prefix]
     return cells.select(

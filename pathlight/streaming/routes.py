@@ -40,11 +40,11 @@ def write_alerts(elements: DataFrame, roas: DataFrame, relations: DataFrame, pat
 
 
 def keep_state(features: DataFrame, table: Table, checkpoint: str, retain_days: int = 30) -> StreamingQuery:
-    """A stream of pair features merged into a versioned table of pair state, a version for each micro-batch."""
+    """A stream of pair features merged into a versioned table of pair state, a version for each micro-batch. One that is run again after a failure isn't merged twice."""
 
     def batch(df: DataFrame, number: int) -> None:
-        if not df.isEmpty():
+        if table.tag() != f"batch{number}" and not df.isEmpty():
             as_of = df.agg(F.max("last_seen")).scalar()
-            table.commit(signals.merge_state(table.read(), df, as_of, retain_days))
+            table.commit(signals.merge_state(table.read(), df, as_of, retain_days), f"batch{number}")
 
     return features.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).start()

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pathlight.config import SparseConfig, SubjectRule
+from pathlight.functions.shared import numbered
 from pathlight.operators import attribution, diff, evals, features, rib, routes, signals, store
 from pathlight.schemas import CASE, EVENT, FEATURE, ORG, STATE
 
@@ -140,6 +141,15 @@ def test_overlay_last_body_wins(spark):
     assert {r.org_id: r.asns for r in got.collect()} == {"a": [2], "b": [3]}
 
 
+def test_overlay_takes_nothing_over(spark, rows):
+    """The first source's organisation stays the primary one, whatever places later sources give; a record that is replaced keeps its old networks."""
+    base = orgs(spark, ("x", [9], []), ("a", [1, 2], ["a.com"])).withColumn("reg_order", F.col("reg_order") + 5)
+    both = attribution.overlay(base, orgs(spark, ("b", [1, 3], ["b.com"]), ("a", [2], ["new.com"])))
+    got = attribution.primary(attribution.org_asn(both), both).select("asn", "org_id", F.array_join("domains", ","))
+    assert rows(got) == [(1, "a", "new.com"), (2, "a", "new.com"), (3, "b", "b.com"), (9, "x", "")]
+    assert {r.org_id: r.asns for r in both.collect()} == {"a": [2], "b": [1, 3], "x": [9]}
+
+
 def test_enrichment_depends_on_order(spark):
     table = orgs(spark, ("acme", [1], []), ("zeta", [2], []))
     got = {r.org_id: r.domains for r in attribution.enrich(table, ["# no", "acme-cloud.com", "acme.net", "*.Zeta.org"]).collect()}
@@ -215,4 +225,20 @@ def test_table_versions(spark, tmp_path):
     table = store.Table(spark, f"file://{tmp_path}/t", "a bigint")
     assert table.read().isEmpty()
     assert table.commit(spark.range(3).toDF("a")) == 1 and table.commit(spark.range(2).toDF("a")) == 2
-    assert table.read().count() == 2 and table.versions() == [1, 2]
+    assert table.read().count() == 2 and table.versions() == [1, 2] and table.tag() == ""
+    assert table.commit(spark.range(5).toDF("a"), "batch7") == 3 and table.read().count() == 5
+    assert table.versions() == [2, 3] and table.tag() == "batch7"
+
+
+def test_log_is_appended_to(spark, tmp_path, rows):
+    log = store.Log(spark, f"file://{tmp_path}/l", "seq bigint, x string")
+    assert log.read().isEmpty() and log.last() == 0
+    log.append(spark.createDataFrame([(1, "a"), (2, "b")], "seq bigint, x string"), 0)
+    for _ in range(2):  # an append that is run again replaces itself
+        log.append(spark.createDataFrame([(3, "c")], "seq bigint, x string"), 2)
+    assert log.last() == 3 and rows(log.read()) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_numbers_over_a_table(spark, rows):
+    got = numbered(spark.range(1000).selectExpr("(id * 7919) % 1000 AS k").repartition(7), "n", "k")
+    assert rows(got) == [(k, k) for k in range(1000)] or sorted(map(tuple, got.collect())) == [(k, k) for k in range(1000)]

@@ -52,6 +52,35 @@ def test_mrt(spark, tmp_path):
     assert {(r.prefix, r.origin_asn) for r in rib.materialize(rib.announcements(df)).collect()} == {("10.0.0.0/16", 65000), ("2001:db8::/32", 65000), ("10.0.1.0/24", 9)}
 
 
+def test_unread_records_fail(spark, tmp_path):
+    (tmp_path / "a").write_bytes(dump() + record(13, 8, b"\0" * 20))
+    spark.dataSource.register(MrtSource)
+    with pytest.raises(Exception, match="subtype 8"):
+        spark.read.format("mrt").load(str(tmp_path)).collect()
+    assert spark.read.format("mrt").option("skip_unknown", "true").load(str(tmp_path)).count() == 4
+
+
+def test_ingest_and_snapshot(spark, tmp_path, rows):
+    """A table and updates of a manifest; updates alone where there is no table; modes and caps."""
+    whole = dump()
+    at = whole.index(record(16, 4, b"")[4:8], 12) - 4
+    (tmp_path / "rib").write_bytes(whole[:at])
+    (tmp_path / "upd").write_bytes(whole[at:])
+    t = lambda h: datetime.datetime(2026, 1, 1, h)
+    files = spark.createDataFrame([(t(0), t(0), "c", "rib", str(tmp_path / "rib")), (t(1), t(1), "c", "updates", str(tmp_path / "upd")), (t(20), t(20), "d", "updates", str(tmp_path / "upd"))], manifest.SCHEMA)
+    kinds = lambda df: [(r.elem_type, r.prefix) for r in df.orderBy("seq").collect()]
+    table, changes = [("A", "10.0.0.0/16"), ("A", "2001:db8::/32")], [("W", "10.0.0.0/16"), ("A", "10.0.1.0/24")]
+    assert kinds(jobs.ingest(spark, files, "2026-01-01", "2026-01-02", "c")) == table + changes
+    assert kinds(jobs.ingest(spark, files, "2026-01-01", "2026-01-02", "c", max_updates=1)) == table + changes[:1]
+    assert kinds(jobs.ingest(spark, files, "2026-01-01", "2026-01-02", "c", skip_rib=True)) == changes
+    assert kinds(jobs.ingest(spark, files, "2026-01-01", "2026-01-02", "d")) == changes
+    with pytest.raises(manifest.NoFiles):
+        jobs.ingest(spark, files, "2027-01-01", "2027-01-02")
+    window = datetime.datetime(2026, 1, 1, tzinfo=UTC), datetime.datetime(2026, 1, 2, tzinfo=UTC)
+    assert rows(jobs.build_snapshot(spark, files, *window, "c").select("prefix", "source")) == [("10.0.0.0/16", "rib"), ("2001:db8::/32", "rib")]
+    assert rows(jobs.build_snapshot(spark, files, *window, "c", mode="updates").select("prefix", "origin_asn", "source")) == [("10.0.0.0/16", 65000, "updates"), ("10.0.1.0/24", 9, "updates"), ("2001:db8::/32", 65000, "updates")]
+
+
 def test_manifest(spark):
     t = lambda h: datetime.datetime(2026, 1, 1, h)
     m = spark.createDataFrame([(t(0), t(0), "rrc", "rib", "r0"), (t(8), t(8), "rrc", "rib", "r8"), (t(1), t(1), "rrc", "updates", "u1"), (t(9), t(9), "x", "updates", "u9")], manifest.SCHEMA)
@@ -111,6 +140,15 @@ def test_registry_pages(spark, tmp_path):
     assert [registry_crawl.wait_after(*a) for a in ((1, None), (9, None), (1, "7"))] == [2, 64, 7]
 
 
+def test_crawl(spark, tmp_path):
+    """Networks, then the organisations that they name, then the map."""
+    for name, rows in (("net-0", [{"id": 1, "org_id": 7, "asn": 65000}, {"id": 2, "org_id": 8, "asn": 65001}]), ("org-0", [{"id": 7, "name": "Seven", "website": "seven.example"}])):
+        (tmp_path / f"{name}.json").write_text(json.dumps({"data": rows}))
+    work, at = jobs.Work(spark, f"file://{tmp_path}/work"), datetime.datetime(2026, 9, 10, tzinfo=UTC)
+    assert jobs.crawl_org_map(work, str(tmp_path), tables.read_glue(spark), at, at) == 2
+    assert {(r.org_id, r.name, r.reg_order) for r in work.live_orgs().collect()} == {("pdb:7", "Seven", 7), ("pdb:8", "peeringdb-org-8", 8)}
+
+
 DAYS = datetime.date(2026, 9, 12), datetime.date(2026, 9, 13)
 
 
@@ -181,6 +219,12 @@ def test_backtest_and_evaluate(spark, tmp_path):
     r = out["lead_lag"].first()
     assert (r.lead_days, r.horizon_bucket, r.pair_contact_hit) == (10, "8-30", True)
     assert jobs.evaluate(cases, out["events"], out["features"], f"{tmp_path}/r") == 0
+    # a day that is fetched for the run is kept for the origins in focus alone; results are written
+    extra = day_snapshot(spark, datetime.date(2026, 9, 15), 65001).unionByName(day_snapshot(spark, datetime.date(2026, 9, 15), 7).withColumn("prefix", F.lit("9.9.9.0/24")))
+    again = jobs.backtest(spark, day_snapshot(spark, DAYS[0], 65000), "2026-09-12", "2026-09-16", 4, orgs, spark.createDataFrame([(15169,)], "asn bigint"), cases, fetched=extra, output=f"{tmp_path}/out")
+    key = lambda df: sorted((r.kind, r.asn_a, r.asn_b or 0, r.prefix or "") for r in df.collect())
+    assert key(again["events"]) == key(out["events"])
+    assert tables.read_events(spark, f"{tmp_path}/out/events").count() == out["events"].count() and json.loads(spark.read.text(f"{tmp_path}/out/report").first()[0])["feature_passed"] == 1
     assert jobs.evaluate(cases.limit(0), out["events"]) == 0
     with pytest.raises(ValueError):
         jobs.evaluate(cases)
