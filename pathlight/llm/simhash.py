@@ -14,8 +14,7 @@
    ``Plan.recall`` measures. Components of these links only bring together what is then verified (7).
 4. Rows are dealt out and sorted by key and streamed. Within a key, pairs whose distances to any one reference
    fingerprint differ by more than the radius are discarded; survivors are verified by the Hamming distance itself.
-   All links leave a bucket of up to ``SMALL`` members. Of a larger one, a spanning forest leaves (at most one link a
-   member): the components are the same.
+   Of the links of a bucket, a spanning forest leaves (at most one link a member): the components are the same.
 5. A bucket of more than ``BUCKET`` different fingerprints is cut into chunks before anything in it is compared, and
    each pair of chunks is compared in a task of its own: memory and time of a task stay bounded and no link is lost.
 6. Connected components of the links give the groups.
@@ -31,6 +30,7 @@ that share a ``doc_id`` are told apart by position. Columns other than ``doc_id`
 from __future__ import annotations
 
 import hashlib
+import heapq
 import math
 import re
 from collections.abc import Iterator
@@ -212,14 +212,19 @@ def linked(fps: np.ndarray, coords: np.ndarray, i: np.ndarray, j: np.ndarray, ra
 
 
 def forest(fps: np.ndarray, coords: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links of one bucket: a search from each member, over those not yet reached."""
+    """A spanning forest of the links of one bucket: a search from each member, over those not yet reached.
+
+    It begins at the first member and goes on from the first one reached. Rows come in order of node, so that buckets with
+    many members in common give the same links, which a group of n near copies then has by some n, not by n a band.
+    """
     order = np.argsort(coords[:, 0], kind="stable")
     out: list[tuple[int, int]] = []
     first = coords[:, 0]
     while len(order):
-        todo, order = [int(order[0])], order[1:]
+        at = int(order.argmin())
+        todo, order = [int(order[at])], np.delete(order, at)
         while todo:
-            x = todo.pop()
+            x = heapq.heappop(todo)
             lo, hi = np.searchsorted(first[order], [first[x] - radius, first[x] + radius + 1])
             near = order[lo:hi]
             for p in range(1, coords.shape[1], 4):  # most pairs fall at the first few
@@ -227,17 +232,38 @@ def forest(fps: np.ndarray, coords: np.ndarray, radius: int) -> list[tuple[int,
             near = near[np.bitwise_count(fps[near] ^ fps[x]).sum(axis=1) <= radius]
             if len(near):
                 out += [(x, int(y)) for y in near]
-                todo += near.tolist()
+                for y in near.tolist():
+                    heapq.heappush(todo, y)
                 order = np.concatenate([order[:lo], order[lo:hi][~np.isin(order[lo:hi], near)], order[hi:]])
     return out
 
 
+def spanning(pairs: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest of a list of pairs, from those of the first members on."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = root[up]
+            x = root[x]
+        return x
+
+    out = []
+    for i, j in pairs[np.lexsort((pairs[:, 1], pairs[:, 0]))].tolist():
+        a, b = find(i), find(j)
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            out.append((i, j))
+    return out
+
+
 def bucket_links(key: np.ndarray, node: np.ndarray, fps: np.ndarray, coords: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Links (a, b) of whole buckets, sorted by key."""
     starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     sizes = np.diff(np.r_[starts, len(key)])
     run = np.repeat(np.arange(len(starts)), sizes)
     small = np.flatnonzero(sizes[run] <= SMALL)
+    hits = []
     for gap in range(1, SMALL):
         i, j = small[:-gap], small[gap:]
         same = run[i] == run[j]
@@ -245,7 +271,10 @@ def bucket_links(key: np.ndarray, node: np.ndarray, fps: np.ndarray, coords: np.
             break
         i, j = i[same], j[same]
         hit = linked(fps, coords, i, j, radius)
-        yield node[i[hit]], node[j[hit]]
+        hits.append(np.stack([i[hit], j[hit]], axis=1))
+    if hits:
+        found = np.array(spanning(np.concatenate(hits)), np.int64).reshape(-1, 2)
+        yield node[found[:, 0]], node[found[:, 1]]
     for s, n in zip(starts[sizes > SMALL], sizes[sizes > SMALL]):
         found = np.array(forest(fps[s : s + n], coords[s : s + n], radius), np.int64).reshape(-1, 2) + s
         yield node[found[:, 0]], node[found[:, 1]]
@@ -312,7 +341,7 @@ def cross_links(plan: Plan):
     refs = references(plan.lanes)
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
+        table = table.sort_by("node").combine_chunks()
         fps = matrix(table.column("fp").combine_chunks(), 8 * plan.lanes)
         coords = distances(fps, refs)
         node = table.column("node").to_numpy()
