@@ -1,7 +1,7 @@
 """Packing documents into sequences of at most ``SEQUENCE`` tokens: first-fit decreasing in randomised groups.
 
 1. Each task tokenises whole texts, ends each document with ``END`` and cuts it into pieces of 4096 tokens and a rest.
-   Token ids don't move: a piece is (document, start, length, CRC-32 of its ids).
+   Strings of the tokeniser's added tokens in a text become those tokens. Token ids don't move: a piece is (document, start, length, CRC-32 of its ids).
 2. A full piece is a sequence of its own. The rests are dealt at random into groups of about ``GROUP`` and each group is
    packed by first-fit decreasing: a tournament tree over the capacities of its bins gives the first bin with room in
    O(log bins). A group loses at most its last few bins to padding, so the loss doesn't grow with the input.
@@ -55,19 +55,22 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        #: Strings that the tokeniser takes for one token anywhere in a text, inside a word too.
+        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.words: dict[str, bytes] = {}
         self.held = 0
 
-    @staticmethod
-    def split(text: str) -> list[str] | None:
-        """The words of a plain text without long words."""
+    def split(self, text: str) -> list[str] | None:
+        """The words of a plain text without long words or added tokens."""
         if PLAIN.search(text):
             return None
-        words = text.lower().split()
+        lower = text.lower()
+        if any(t in lower for t in self.added):
+            return None
+        words = lower.split()
         return words if max(map(len, words), default=0) <= LONG else None
 
     def whole(self, text: str) -> bytes:

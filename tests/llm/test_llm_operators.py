@@ -249,6 +249,16 @@ def test_encoder_agrees_with_the_tokeniser():
     assert list(encoder.encode(odd)) == [encoder.whole(t) for t in odd]
 
 
+def test_added_tokens_are_the_tokenisers():
+    """Strings of added tokens give what the tokeniser gives without settings: one id, wherever they stand."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.vocabulary())
+    texts = [p.format(t) for t in ("<|startoftext|>", "<|endoftext|>", "<|ENDOFTEXT|>", "<|StartOfText|>") for p in ("{} a", "a {} b", "b {}", "x{}y z", "{0}{0}", "é {}", "{}\n")] + ["< |endoftext|>", "<|end\noftext|>"]
+    got = [np.frombuffer(x, "<u4").tolist() for x in packing.Encoder(packing.vocabulary()).encode(texts)]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts] and got[8] == [320, 49407, 321]
+
+
 def test_encoder_forgets_and_long_words(monkeypatch):
     """Words are remembered up to a number of bytes, and long ones never."""
     monkeypatch.setattr(packing, "CACHE", 2000)
