@@ -91,3 +91,32 @@ def in_row(docs: DataFrame, *extra: Column) -> DataFrame:
 
 def union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
+
+
+def byte_words(texts: pa.Array, kept: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The maximal runs of kept bytes of each UTF-8 text, with A-Z lower-cased, and how many each text has. Null texts have none.
+
+    ``kept``: 256 booleans. A set that has all bytes from 0x80 on never cuts a character, so byte runs are the matches of
+    a character class.
+    """
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]] if len(texts) else np.zeros(0, np.uint8)
+    ends = offsets[1:] - offsets[0] if len(texts) else np.zeros(0, np.int64)
+    mask = kept[raw]
+    first = mask.copy()
+    first[1:] &= ~mask[:-1]
+    cut = ends[:-1][ends[:-1] < len(raw)]
+    first[cut] = mask[cut]  # a text begins a run of its own
+    starts = np.flatnonzero(first)
+    data = LOWERED[raw[mask]]
+    places = np.append(np.flatnonzero(first[mask]), len(data))
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(data)])
+    return words, np.diff(np.searchsorted(starts, np.append(0, ends)))
+
+
+LOWERED = np.arange(256, dtype=np.uint8)
+LOWERED[65:91] += 32
+#: Bytes that the classes of words keep: letters of ASCII and all beyond it; the second with digits.
+LETTERS = np.array([chr(i).isascii() and chr(i).isalpha() or i >= 0x80 for i in range(256)])
+ALNUM = LETTERS | np.array([48 <= i < 58 for i in range(256)])

@@ -1,8 +1,8 @@
-"""The queries of the ten operators and of the pipeline, and their SQL."""
+"""The queries of the training-data operators, and their SQL."""
 
 from __future__ import annotations
 
-from . import exact_dedup, langid, licences, mixing, packing, secrets_scan, simhash, topk, toxicity, warc
+from . import divergence, exact_dedup, langid, licences, mixing, packing, pieces, resampling, secrets_scan, simhash, topk, toxicity, warc
 
 QUERIES = {
     "op1_simhash": simhash.query,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_topk": topk.query,
     "op9_secrets": secrets_scan.query,
     "op10_langid": langid.query,
+    "op11_divergence": divergence.query,
+    "op12_pieces": pieces.query,
+    "op13_resampling": resampling.query,
 }
 
 SQL = {
@@ -23,4 +26,5 @@ SQL = {
     "op7_licences": licences.SQL,
     "op8_topk": topk.SQL,
     "op9_secrets": secrets_scan.SQL,
+    "op11_divergence": divergence.SQL,
 }
