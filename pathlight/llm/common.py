@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -39,6 +39,26 @@ def slices(batch: pa.RecordBatch, column: str, rows: int, size: int = 8 << 20) -
         at = end
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A function of batches whose worker gives what Arrow no longer uses back to the system, batch by batch and at the end.
+
+    Workers are used again, so that what one stage leaves would count in all later ones.
+    """
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pool = pa.default_memory_pool()
+
+        def each() -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                pool.release_unused()
+                yield b
+
+        yield from run(each())
+        pool.release_unused()
+
+    return own
+
+
 def opened(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pyarrow.fs.LocalFileSystem(), path)
 

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import LETTERS, byte_words, materialize, numbered, slices, small_side, union
+from .common import LETTERS, byte_words, lean, materialize, numbered, slices, small_side, union
 
 LEAST = 3
 TOP = 200
@@ -209,9 +209,9 @@ def absent_terms(kept: DataFrame, groups: DataFrame) -> DataFrame:
 def audit(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame:
     """lang, source, part (pair, term), item, value and rank."""
     rows = docs.select(*(F.coalesce(docs[c].cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")))
-    found = rows.mapInArrow(in_blocks, "lang string, term string, source string, docs bigint, n bigint")
+    found = rows.mapInArrow(lean(in_blocks), "lang string, term string, source string, docs bigint, n bigint")
     ordered = found.repartition("lang", "term").sortWithinPartitions("lang", "term", "source")
-    kept = materialize(ordered.mapInArrow(kept_terms(least), "lang string, term string, source string, n bigint, total bigint, head boolean"), "terms")
+    kept = materialize(ordered.mapInArrow(lean(kept_terms(least)), "lang string, term string, source string, n bigint, total bigint, head boolean"), "terms")
 
     sizes = kept.groupBy("lang", "source").agg(F.sum("n").alias("size"), F.count("*").alias("terms"))
     langs = kept.groupBy("lang").agg(F.sum("n").alias("lang_size"), F.count_if("head").alias("v"))
@@ -221,7 +221,7 @@ def audit(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFrame:
     each = kept.join(small_side(groups.drop("zero", "terms")), ["lang", "source"])
     each = each.withColumns({"p": share("n", "size + v"), "zero": share("0", "size + v"), "share": share("total", "lang_size + v")})
     ordered = each.select("lang", "term", "source", "x", "p", "zero", "share").repartition("lang", "term").sortWithinPartitions("lang", "term", "source")
-    partial = materialize(ordered.mapInArrow(pairs_and_terms(groups.count()), "x bigint, y bigint, term string, value bigint"), "partial")
+    partial = materialize(ordered.mapInArrow(lean(pairs_and_terms(groups.count())), "x bigint, y bigint, term string, value bigint"), "partial")
 
     pairs = union([partial.where("y is not null").select("x", "y", "value"), absent_terms(each, groups)]).groupBy("x", "y").agg(F.sum("value").alias("value"))
     names = small_side(groups.select("x", "lang", "source"))

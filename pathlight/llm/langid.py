@@ -8,8 +8,7 @@ Every value of ``lang`` is a language; the driver and each worker hold vocabular
 
 Scoring runs in Arrow batches over whole texts; each worker scores a distinct word once, many words at a time, and
 remembers ``CACHE`` bytes of scores. Words of over ``LONG`` letters (scripts without spaces, blobs) are walked in
-windows, in time that grows with their length and memory that doesn't, and aren't remembered; they teach in runs of
-``LONG`` letters.
+windows and aren't remembered. They teach like all others: sums are scaled at each character, in any script.
 
 A text that is null or has no letter is ``und`` with score 0, and so is every text if there is nothing to learn from.
 A document whose ``lang`` is null teaches nothing. Ties go to the language that sorts first. Other columns are ignored.
@@ -25,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, materialize, slices
+from .common import held_out, lean, materialize, slices
 
 DOCS = 600
 ROUNDS = 4
@@ -36,8 +35,9 @@ CACHE = 64 << 20
 CHUNK = 64 << 20
 #: Letters of a word beyond which it is walked by itself, and characters of it that are looked up at a time.
 LONG, WINDOW = 64, 8192
-#: The probability of a character outside the vocabulary, or one that no piece covers.
-UNKNOWN = 1e-7
+#: The least probability of a character outside the vocabulary, or one that no piece covers; and its share of what a
+#: language has of such characters. Scripts outside the vocabulary are told from others by that.
+UNKNOWN, SPREAD = 1e-7, 0.01
 #: What is added to each expected count.
 SMOOTH = 0.05
 WORDS = re.compile(r"[^\W\d_]+")
@@ -183,31 +183,59 @@ class Pieces:
         lengths = np.array(list(map(len, words)))
         order = np.argsort(lengths, kind="stable")
         for part in np.split(order, np.flatnonzero(np.diff(lengths[order])) + 1) if len(order) else []:
-            size = self.chunk(int(lengths[part[0]]), 1)
+            n = int(lengths[part[0]])
+            size = self.chunk(n, self.longest) if n <= LONG else 1
             for at in range(0, len(part), size):
                 own = part[at : at + size]
-                lattice, weight = self.lattice([words[i] for i in own]), counts[own]
-                n = len(lattice)
-                # plain sums underflow only beyond any word of a language; such words teach nothing
-                f, b = np.zeros((n + 1, len(own))), np.zeros((n + 1, len(own)))
-                f[0], b[n] = 1, 1
-                for i in range(n):
-                    for k, piece in enumerate(lattice[i]):
-                        f[i + k + 1] += f[i] * np.where(piece >= 0, p[piece], p[-1] if k == 0 else 0)
-                for i in range(n - 1, -1, -1):
-                    for k, piece in enumerate(lattice[i]):
-                        b[i] += b[i + k + 1] * np.where(piece >= 0, p[piece], p[-1] if k == 0 else 0)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    scale = np.where(f[n] > 0, weight / f[n], 0)
-                for i in range(n):
-                    for k, piece in enumerate(lattice[i]):
-                        has = piece >= 0
-                        use = f[i] * b[i + k + 1] * scale
-                        out += np.bincount(piece[has], (use * p[piece])[has], minlength=len(out))
-                        if k == 0:
-                            out[-1] += (use * p[-1])[~has].sum()
+                self.expect([words[i] for i in own], counts[own], p, out)
         return out
 
+    def expect(self, words: list[str], weight: np.ndarray, p: np.ndarray, out: np.ndarray) -> None:
+        """Adds the expected counts of words of one length. Sums are scaled at each character and their scale is kept as a
+        logarithm, so that they are finite for words of any length; a long word's pieces are looked up window by window."""
+        codes = np.frombuffer("".join(START + w for w in words).encode("utf-32-le"), np.uint32).reshape(len(words), -1).astype(np.uint64)
+        n, most = codes.shape[1], self.longest
+        step = max(most, WINDOW // len(words))
+        odds = np.append(p, 0.0)  # the last for no piece, before it the unknown
+        none, unknown = len(odds) - 1, len(odds) - 2
+
+        def lattice(first: int) -> np.ndarray:
+            """[i][l - 1]: the piece from character first + i of length l."""
+            found = np.full((min(step, n - first), most, len(words)), none)
+            h = np.zeros((len(words), len(found)), np.uint64)
+            for k in range(most):
+                live = min(len(found), n - first - k)  # those that end inside the word
+                if live <= 0:
+                    break
+                h = h[:, :live] * BASE + codes[:, first + k : first + k + live]
+                piece = self.find(h.ravel()).reshape(h.shape).T
+                found[:live, k] = np.where(piece >= 0, piece, unknown if k == 0 else none)
+            return found
+
+        # forward: f[i] is scaled to 1, what it leads to is relative to it; log[i] is the logarithm of the scale so far
+        log, ahead = np.zeros((n + 1, len(words))), np.zeros((most + 1, len(words)))
+        ahead[0] = 1
+        for first in range(0, n, step):
+            for i, row in enumerate(lattice(first), first):
+                log[i] = log[i - 1] + np.log(ahead[0]) if i else 0
+                ahead = np.vstack([ahead[1:] / ahead[0], np.zeros((1, len(words)))])
+                ahead[:most] += odds[row]
+        log[n] = log[n - 1] + np.log(ahead[0])
+        # backward, likewise: behind[l - 1] is the sum from l characters further on, relative to the one at i + 1
+        behind, back = np.zeros((most, len(words))), np.zeros(len(words))
+        behind[0] = 1
+        for first in reversed(range(0, n, step)):
+            pieces = lattice(first)
+            for i in range(first + len(pieces) - 1, first - 1, -1):
+                row = pieces[i - first]
+                ways = odds[row] * behind
+                share = ways * (weight * np.exp(log[i] + back - log[n]))
+                some = share > 0
+                out += np.bincount(row[some], share[some], minlength=len(out) + 1)[: len(out)]
+                total = ways.sum(axis=0)
+                back = back + np.log(total)
+                behind = np.vstack([np.ones((1, len(words))), behind[:-1] / total])
+
 
 _pieces: dict[str, Pieces] = {}
 
@@ -223,7 +251,7 @@ def word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(no, text) to the words of each text."""
     for b in batches:
         for no, t in zip(b.column("no").to_pylist(), (x.as_py() for x in b.column("text"))):
-            words = [w[i : i + LONG] for w in WORDS.findall((t or "").lower()) for i in range(0, len(w), LONG)]
+            words = WORDS.findall((t or "").lower())
             yield pa.RecordBatch.from_arrays([pa.array([no] * len(words), pa.int32()), pa.array(words, pa.string())], ["no", "word"])
 
 
@@ -262,17 +290,19 @@ class LanguageModel:
             return cls([], np.zeros((1, 0)), path)
         shares = spark.createDataFrame([(i, lang, int(min(1.0, per_language / size[lang]) * (1 << 30))) for i, lang in enumerate(langs)], "no int, lang string, share bigint")
         some = rows.join(F.broadcast(shares), "lang").where(F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(1 << 30)) < F.col("share"))
-        words = some.select("no", "text").mapInArrow(word_lists, "no int, word string").groupBy("no", "word").agg(F.count("*").alias("n"))
+        words = some.select("no", "text").mapInArrow(lean(word_lists), "no int, word string").groupBy("no", "word").agg(F.count("*").alias("n"))
         words = materialize(words, "words")
         size_of = len(pieces_of(path))
         p = np.full((size_of + 1, len(langs)), 1.0 / (size_of + 1))
         p[-1] = UNKNOWN
         for _ in range(rounds):
-            found = words.mapInArrow(expectations(path, p), "no int, piece int, n double").groupBy("no", "piece").agg(F.sum("n").alias("n")).toPandas()
+            found = words.mapInArrow(lean(expectations(path, p)), "no int, piece int, n double").groupBy("no", "piece").agg(F.sum("n").alias("n")).toPandas()
             sums = np.zeros(p.shape)
             sums[found["piece"], found["no"]] = found["n"]
+            if not np.isfinite(sums).all():
+                raise ArithmeticError("expected counts aren't finite")
             p = (sums + SMOOTH) / (sums + SMOOTH).sum(axis=0)
-            p[-1] = UNKNOWN
+            p[-1] = np.maximum(UNKNOWN, SPREAD * p[-1])
         return cls(langs, p, path)
 
     def scorer(self):
@@ -312,7 +342,7 @@ def identify(docs: DataFrame, model: LanguageModel | None = None, **options) ->
     """doc_id, held_out, lang_pred and score of every document."""
     model = model or LanguageModel.fit(docs, **options)
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), held_out(docs["doc_id"].cast("long"), 3, 1).alias("held_out"), docs["text"].cast("string").alias("text"))
-    return rows.mapInArrow(model.scorer(), "doc_id bigint, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(lean(model.scorer()), "doc_id bigint, held_out boolean, lang_pred string, score double")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

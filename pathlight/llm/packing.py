@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, slices
+from .common import lean, materialize, slices
 
 SEQUENCE = 4096
 END = 2
@@ -196,7 +196,7 @@ def pack(docs: DataFrame, size: int = SEQUENCE, group: int = GROUP, path: str |
     Sequences of full pieces have negative ids, those of packed rests are (group, bin).
     """
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    rows = materialize(texts.mapInArrow(pieces(path, size, end), PIECES).withColumn("order", F.monotonically_increasing_id()), "pieces")
+    rows = materialize(texts.mapInArrow(lean(pieces(path, size, end)), PIECES).withColumn("order", F.monotonically_increasing_id()), "pieces")
     full = F.col("length") == size
     groups = -(-rows.where(~full).count() // group) or 1
     whole = rows.where(full).withColumns({"sequence_id": -1 - F.col("order"), "offset": F.lit(0).cast("long")}).drop("order")

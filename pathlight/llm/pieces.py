@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
-from .common import slices
+from .common import lean, slices
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
@@ -387,13 +387,13 @@ def encode(docs: DataFrame, column: str = "text", path: str | None = None) -> Da
     """The other columns of ``docs`` and ``ids``, the list of ids of the column's whole text. ``path``: the model; where the package has it, if None."""
     rows = docs.select(*kept_beside(docs, "ids", column), docs[column].cast("string").alias(column))
     schema = StructType([f for f in rows.schema.fields if f.name != column]).add("ids", ArrayType(IntegerType()))
-    return rows.mapInArrow(encoding(column, path), schema)
+    return rows.mapInArrow(lean(encoding(column, path)), schema)
 
 
 def decode(rows: DataFrame, path: str | None = None) -> DataFrame:
     """``rows`` and ``decoded``, the text of the list ``ids``."""
     rows = rows.select(*kept_beside(rows, "ids", "decoded"), rows["ids"].cast("array<int>").alias("ids"))
-    return rows.mapInArrow(decoding(path), StructType(list(rows.schema.fields)).add("decoded", StringType()))
+    return rows.mapInArrow(lean(decoding(path)), StructType(list(rows.schema.fields)).add("decoded", StringType()))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ALNUM, byte_words, in_row, materialize, numbered, slices
+from .common import ALNUM, byte_words, in_row, lean, materialize, numbered, slices
 
 BUCKETS = 10_000
 SCALE = 1000
@@ -94,7 +94,7 @@ def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def dictionary(docs: DataFrame) -> DataFrame:
     """feature (UTF-8) and n of every distinct n-gram of the texts."""
     texts = docs.select(docs["text"].cast("string").alias("text")).where("text is not null")
-    return texts.mapInArrow(counted, "feature binary, n bigint").groupBy("feature").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(lean(counted), "feature binary, n bigint").groupBy("feature").agg(F.sum("n").alias("n"))
 
 
 def bucket_counts(docs: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
@@ -137,7 +137,7 @@ def ranked(docs: DataFrame, target: DataFrame, percent: int = PERCENT, least: in
     kept = in_row(docs, *need) if rows else docs.select(*need)
     head = [f for f in kept.schema.fields if f.name != "text"]
     schema = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in head), "n_words bigint, n_features bigint, weight bigint"])
-    scored = kept.mapInArrow(weighed(gains), schema).withColumn("score", F.col("weight") + noise(F.col("doc_id"), seed))
+    scored = kept.mapInArrow(lean(weighed(gains)), schema).withColumn("score", F.col("weight") + noise(F.col("doc_id"), seed))
     scored = materialize(scored.withColumn("out", F.col("n_words") < least), "scores")
     draws = scored.where(~F.col("out")).count() * percent // 100
     placed = numbered(scored, "place", F.col("out"), F.col("score").desc(), F.col("doc_id").asc_nulls_last())

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_row, materialize, small_side, text_digest
+from .common import in_row, lean, materialize, small_side, text_digest
 from .components import components
 
 SEED = 42
@@ -354,9 +354,9 @@ def cross_links(plan: Plan):
 def links_between(nodes: DataFrame, plan: Plan, bucket: int = BUCKET) -> DataFrame:
     """``nodes``: node bigint, fp binary. Returns links a, b whose components are those of all links."""
     # a batch's buckets are compared as a whole, so rows come sorted by key within a task
-    rows = nodes.select("node", "fp").mapInArrow(keys(plan), "key bigint, node bigint, fp binary")
+    rows = nodes.select("node", "fp").mapInArrow(lean(keys(plan)), "key bigint, node bigint, fp binary")
     rows = rows.repartition(F.col("key")).sortWithinPartitions("key", "node")
-    found = materialize(rows.mapInArrow(links_of(plan, bucket), LINKS), "links")
+    found = materialize(rows.mapInArrow(lean(links_of(plan, bucket)), LINKS), "links")
     links = found.where("b is not null").select("a", "b")
     cut = found.where("b is null").select("key", "chunk", F.col("a").alias("node"), "fp")
     chunks = cut.groupBy("key").agg(F.max("chunk").alias("last"))
@@ -445,7 +445,7 @@ def verified(links: DataFrame, rows: DataFrame, docs: DataFrame, plan: Plan) ->
     wanted = materialize(rows.select("rid", "digest").join(met, "rid").select(F.col("rid").alias("node"), "root", "digest"), "linked-nodes")
     texts = docs.select(text_digest(docs["text"]).alias("digest"), docs["text"].cast("string").alias("text"))
     # equal texts have one shingle set and so one node, but are read as often as they occur
-    sets = texts.join(small_side(wanted.select("node", "digest")), "digest").select("node", "text").mapInArrow(shingle_sets(plan.words), "node bigint, shingles array<bigint>")
+    sets = texts.join(small_side(wanted.select("node", "digest")), "digest").select("node", "text").mapInArrow(lean(shingle_sets(plan.words)), "node bigint, shingles array<bigint>")
     sets = sets.groupBy("node").agg(F.first("shingles").alias("shingles")).join(wanted.select("node", "root"), "node")
     sets = materialize(sets, "shingles")
     parts = parts_of(F.count("*"), F.sum(F.size("shingles")))
@@ -480,7 +480,7 @@ def grouped(rows: DataFrame, plan: Plan, bucket: int = BUCKET, docs: DataFrame |
 def simhash_groups(docs: DataFrame, plan: Plan = EXACT) -> DataFrame:
     """doc_id, fingerprint (hex) and component_id (the least doc_id that links reach) of every document."""
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    rows = materialize(rows.mapInArrow(fingerprints(plan), "rid bigint, doc_id bigint, fp binary"), "documents-fp")
+    rows = materialize(rows.mapInArrow(lean(fingerprints(plan)), "rid bigint, doc_id bigint, fp binary"), "documents-fp")
     return rows.join(grouped(rows, plan), "fp").select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
@@ -491,7 +491,7 @@ def drop_near_copies(docs: DataFrame, plan: Plan | None = None) -> DataFrame:
     """
     plan = plan or near_plan()
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), docs["doc_id"].cast("long").alias("doc_id"), text_digest(docs["text"]).alias("digest"), docs["text"].cast("string").alias("text"))
-    rows = materialize(rows.mapInArrow(fingerprints(plan), "rid bigint, doc_id bigint, digest binary, fp binary, shingles binary"), "documents-fp")
+    rows = materialize(rows.mapInArrow(lean(fingerprints(plan)), "rid bigint, doc_id bigint, digest binary, fp binary, shingles binary"), "documents-fp")
     judged = rows.join(grouped(rows, plan, docs=docs), node_key(plan)).groupBy("doc_id", "digest").agg(F.bool_or(F.col("stays") == F.col("rid")).alias("kept"), F.count("*").alias("n"))
     changed = materialize(judged.where("NOT kept OR n > 1"), "near-copies")
     marked = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("digest") == F.col("_digest"))

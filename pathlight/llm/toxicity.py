@@ -29,7 +29,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, in_row, materialize, union
+from .common import held_out, in_row, lean, materialize, union
 
 #: Labelled rows that are learned from, at most.
 SAMPLE = 16_000
@@ -98,7 +98,9 @@ def extract(words: dict[str, float], beginnings: dict[str, float]):
     """A vectorised function from texts to features. Only the text goes to Python and only the features come back."""
 
     def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([features(t or "", words, beginnings) for t in texts])
+        out = pd.Series([features(t or "", words, beginnings) for t in texts])
+        pa.default_memory_pool().release_unused()
+        return out
 
     return F.pandas_udf(run, "array<double>")
 
@@ -121,7 +123,7 @@ def learn_lexicons(rows: DataFrame) -> list[tuple[dict[str, float], dict[str, fl
     halves = [(F.sum(F.when(F.col("half") == h, F.col("toxic")).otherwise(0)).alias(f"t{h}"), F.count_if(F.col("half") == h).alias(f"n{h}")) for h in (0, 1)]
     counts = [c for half in halves for c in half]
     sizes = rows.agg(*counts).first()
-    seen = materialize(rows.select("text", "toxic", "half").mapInArrow(entries, "entry string, kind int, toxic int, half int").groupBy("kind", "entry").agg(*counts), "entries")
+    seen = materialize(rows.select("text", "toxic", "half").mapInArrow(lean(entries), "entry string, kind int, toxic int, half int").groupBy("kind", "entry").agg(*counts), "entries")
     out = []
     for used in ((1,), (0,), (0, 1)):
         t, n = (sum((F.col(f"{c}{h}") for h in used), F.lit(0)) for c in "tn")

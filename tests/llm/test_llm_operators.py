@@ -6,6 +6,7 @@ import random
 import re
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -638,6 +639,55 @@ def test_forward_sums_all_segmentations(monkeypatch):
         assert np.allclose(own.scores(some, p), want)
 
 
+@pytest.mark.parametrize("window", [8192, 20])
+def test_expected_counts(monkeypatch, window):
+    """Each piece's count is the share of the cuts that use it, weighed by their probability."""
+    monkeypatch.setattr(langid, "WINDOW", window)
+    own = langid.pieces_of(None)
+    p = np.random.default_rng(1).random(len(own) + 1) / 50
+    number = {t: i for i, t in enumerate(own.pieces)}
+
+    def brute(word, weight):
+        text, out = langid.START + word, Counter()
+        cuts = [([], 1.0)]
+        done = []
+        while cuts:
+            used, q = cuts.pop()
+            at = sum(n for _, n in used)
+            if at == len(text):
+                done.append(([k for k, _ in used], q))
+                continue
+            for n in range(1, min(own.longest, len(text) - at) + 1):
+                k = number.get(text[at : at + n], len(own) if n == 1 else None)
+                if k is not None:
+                    cuts.append(([*used, (k, n)], q * p[k]))
+        total = sum(q for _, q in done)
+        for used, q in done:
+            for k in used:
+                out[k] += weight * q / total
+        return out
+
+    some, counts, want = ["the", "über", "niño", "zzz", "x", "ßœ漢", "thethe", "aa"], np.arange(1.0, 9.0), Counter()
+    for w, n in zip(some, counts):
+        want.update(brute(w, n))
+    got = own.expected(some, counts, p)
+    assert np.allclose(got, [want[i] for i in range(len(own) + 1)])
+    monkeypatch.setattr(langid, "LONG", 2)  # words that are taken one by one teach the same
+    assert np.allclose(own.expected(some, counts, p), got)
+
+
+@pytest.mark.parametrize("letters", [45, 46, 64, 65, 10_000])
+def test_scripts_outside_the_vocabulary(spark, letters):
+    """Long words of unknown letters change nothing for the other documents, and have a language of their own."""
+    rng = random.Random(6)
+    stock = {"en": "the and of with that this from were have which".split(), "de": "der die und nicht über für schön eine auch wird".split()}
+    rows = [(i, " ".join(rng.choice(stock[lang]) for _ in range(20)), lang) for i, lang in enumerate(["en", "de"] * 40)]
+    odd = [(1000 + i, "".join(rng.choice("ꙮꙭꙬꙫ") for _ in range(letters)), "zz") for i in range(9)] + [(2000, "ꙮ" * letters + " the and", "en")]
+    got = {r.doc_id: r for r in langid.identify(spark.createDataFrame(rows + odd, "doc_id bigint, text string, lang string"), rounds=2).collect()}
+    assert all(got[i].lang_pred == lang and got[i].score > 0.99 for i, _, lang in rows) and all(0 <= r.score <= 1 for r in got.values())
+    assert sum(got[i].lang_pred == "zz" for i, *_ in odd[:9]) >= 8
+
+
 def test_a_megabyte_without_a_space():
     own = langid.pieces_of(None)
     p = np.random.default_rng(1).random((len(own) + 1, 4)) / 50
