@@ -135,6 +135,14 @@ def byte_words(texts: pa.Array, kept: np.ndarray) -> tuple[pa.Array, np.ndarray]
     return words, np.diff(np.searchsorted(starts, np.append(0, ends)))
 
 
+def raw_values(strings: pa.Array) -> tuple[bytes, list[int]]:
+    """The bytes of a large binary array without nulls, and where each value begins in them and the last one ends."""
+    if not len(strings):
+        return b"", [0]
+    ends = np.frombuffer(strings.buffers()[1], np.int64)[strings.offset : strings.offset + len(strings) + 1]
+    return strings.buffers()[2].to_pybytes() if strings.buffers()[2] is not None else b"", ends.tolist()
+
+
 LOWERED = np.arange(256, dtype=np.uint8)
 LOWERED[65:91] += 32
 #: Bytes that the classes of words keep: letters of ASCII and all beyond it; the second with digits.

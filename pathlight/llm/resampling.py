@@ -1,8 +1,8 @@
 """Importance resampling towards a target: documents whose n-grams the target has more often are drawn rather.
 
 1. A dictionary of distinct features: each task counts the n-grams of its documents in blocks, each distinct string once
-   a block, and Spark sums them by string. Each string of the whole dictionary is hashed once, and its count goes to its
-   bucket; the same for the target's texts.
+   a block. They travel sorted, a text for each part of the dictionary, and Spark sums them by string within the parts.
+   Each string of the whole dictionary is hashed once, and its count goes to its bucket; the same for the target's texts.
 2. A bucket's gain is the scaled log ratio of its smoothed shares in the target and in the documents. There are ``BUCKETS``
    gains, however large the input is; every task gets them.
 3. Documents are read again. A block's distinct strings are looked up once each, and their gains go back to the feature
@@ -30,15 +30,25 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ALNUM, byte_words, in_row, lean, materialize, numbered, slices
+from .common import ALNUM, byte_words, in_row, lean, materialize, numbered, raw_values, slices
 
 BUCKETS = 10_000
 SCALE = 1000
 PERCENT = 25
 LEAST = 20
 SEED = 7
+#: Between a feature and its count; no word has it.
+MARK = b"\x01"
 #: Bytes of text that a block's dictionary is made of, texts of it at most, and rows that a task hands on at a time.
-BLOCK, TEXTS, ROWS = 8 << 20, 20_000, 100_000
+BLOCK, TEXTS, ROWS = 5 << 20, 20_000, 100_000
+
+
+BYTES = pa.large_binary()
+
+
+def checksums(strings: pa.Array) -> np.ndarray:
+    data, ends = raw_values(strings)
+    return np.fromiter((zlib.crc32(data[a:b]) for a, b in zip(ends, ends[1:])), np.int64, len(strings))
 
 
 class Block:
@@ -60,17 +70,44 @@ class Block:
         self.pair_codes, keys = pd.factorize(self.codes[self.places] * wide + self.codes[self.places + 1])
         self.pairs = np.divmod(keys, wide)
 
-    def features(self) -> Iterator[tuple[pa.Array, np.ndarray]]:
-        """Distinct strings and how often they occur, words before pairs."""
-        yield self.words, np.bincount(self.codes, minlength=len(self.words))
-        counts = np.bincount(self.pair_codes, minlength=len(self.pairs[0]))
-        for at in range(0, len(counts), ROWS):
-            first, second = (pa.array(x[at : at + ROWS]) for x in self.pairs)
-            yield pc.binary_join_element_wise(self.words.take(first), self.words.take(second), pa.scalar(b" ", pa.large_binary())), counts[at : at + ROWS]
+    def features(self) -> Iterator[pa.Array]:
+        """Distinct strings, words before pairs."""
+        yield self.words
+        for at in range(0, len(self.pairs[0]), ROWS):
+            yield self.joined(*(x[at : at + ROWS] for x in self.pairs))
+
+    def joined(self, first: np.ndarray, second: np.ndarray) -> pa.Array:
+        """Pairs of words as strings; a word alone where the second is -1."""
+        more = pc.binary_join_element_wise(pa.scalar(b"", BYTES), self.words.take(pa.array(np.maximum(second, 0))), pa.scalar(b" ", BYTES))
+        more = pc.if_else(pa.array(second >= 0), more, pa.scalar(b"", BYTES))
+        return pc.binary_join_element_wise(self.words.take(pa.array(first)), more, pa.scalar(b"", BYTES))
+
+    def parts(self, parts: int) -> Iterator[tuple[int, bytes]]:
+        """The dictionary in parts: each a text of sorted lines, a feature and its count if that isn't 1."""
+        if not len(self.words):
+            return
+        hashes = checksums(self.words).astype(np.uint64)
+        order = pc.sort_indices(self.words).to_numpy()
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        first = np.concatenate([np.arange(len(order)), self.pairs[0]])
+        second = np.concatenate([np.full(len(order), -1), self.pairs[1]])
+        n = np.concatenate([np.bincount(self.codes, minlength=len(order)), np.bincount(self.pair_codes, minlength=len(self.pairs[0]))])
+        mixed = (hashes[first] * np.uint64(0x9E3779B97F4A7C15) + np.where(second < 0, np.uint64(0), hashes[np.maximum(second, 0)] + np.uint64(1))) * np.uint64(0xBF58476D1CE4E5B9)
+        part = ((mixed >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+        wide = len(order) + 1
+        order = np.argsort((part * wide + place[first]) * wide + np.where(second < 0, 0, place[np.maximum(second, 0)] + 1))
+        starts = np.flatnonzero(np.append(True, np.diff(part[order]) > 0))
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(order)]):
+            own = order[a:b]
+            many = pc.binary_join_element_wise(pa.scalar(MARK, BYTES), pa.array(n[own]).cast(pa.string()).cast(BYTES), pa.scalar(b"", BYTES))
+            ends = pc.binary_join_element_wise(pc.if_else(pa.array(n[own] > 1), many, pa.scalar(b"", BYTES)), pa.scalar(b"\n", BYTES), pa.scalar(b"", BYTES))
+            lines, at = raw_values(pc.binary_join_element_wise(self.joined(first[own], second[own]), ends, pa.scalar(b"", BYTES)))
+            yield int(part[own[0]]), lines[at[0] : at[-1] - 1]
 
     def sums(self, gains: np.ndarray) -> np.ndarray:
         """The sum of the gains over each text's features."""
-        own = [gains[[zlib.crc32(s) % len(gains) for s in strings.to_pylist()]] if len(strings) else gains[:0] for strings, _ in self.features()]
+        own = [gains[checksums(strings) % len(gains)] for strings in self.features()]
         each = own[0][self.codes]
         each[self.places] += np.concatenate([gains[:0], *own[1:]])[self.pair_codes]
         sums = np.append(0, np.cumsum(each))[np.append(0, self.ends)]
@@ -83,23 +120,36 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             yield b, Block(b.column("text"))
 
 
-def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts to (feature, n): each distinct n-gram of a block once."""
-    for _, block in blocks(batches):
-        for strings, n in block.features():
-            for at in range(0, len(strings), ROWS):
-                yield pa.RecordBatch.from_arrays([strings[at : at + ROWS].cast(pa.binary()), pa.array(n[at : at + ROWS], pa.int64())], ["feature", "n"])
+def counted(parts: int):
+    """Texts to (part, features): each distinct n-gram of a block once, a row a part of the dictionary."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, block in blocks(batches):
+            rows = list(block.parts(parts))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in rows], pa.int32()), pa.array([t for _, t in rows], pa.binary()).cast(pa.string())], ["part", "features"])
+
+    return run
 
 
 def dictionary(docs: DataFrame) -> DataFrame:
-    """feature (UTF-8) and n of every distinct n-gram of the texts."""
+    """part, feature and n of every distinct n-gram of the texts.
+
+    A feature's part is a hash of it, so that rows of a part meet and strings are summed where they are.
+    """
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(docs["text"].cast("string").alias("text")).where("text is not null")
-    return texts.mapInArrow(lean(counted), "feature binary, n bigint").groupBy("feature").agg(F.sum("n").alias("n"))
+    rows = texts.mapInArrow(lean(counted(parts)), "part int, features string").repartition(parts, "part")
+    lines = rows.select("part", F.explode(F.split("features", "\n")).alias("line"))
+    mark = F.instr("line", MARK.decode())
+    feature = F.when(mark == 0, F.col("line")).otherwise(F.substring("line", F.lit(1), mark - 1))
+    n = F.when(mark == 0, F.lit(1)).otherwise(F.substring("line", mark + 1, F.lit(20)).cast("bigint"))
+    return lines.select("part", feature.alias("feature"), n.alias("n")).groupBy("part", "feature").agg(F.sum("n").alias("n"))
 
 
 def bucket_counts(docs: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
     """How many features of the texts fall into each bucket; each distinct string is hashed once."""
-    found = dictionary(docs).groupBy((F.crc32("feature") % buckets).cast("int").alias("bucket")).agg(F.sum("n").alias("n")).collect()  # a row a bucket
+    found = dictionary(docs).groupBy((F.crc32(F.col("feature").cast("binary")) % buckets).cast("int").alias("bucket")).agg(F.sum("n").alias("n")).collect()  # a row a bucket
     out = np.zeros(buckets, np.int64)
     for bucket, n in found:
         out[bucket] = n
