@@ -11,22 +11,26 @@ from ..functions.shared import materialize as written
 from ..functions.shared import numbered
 
 
-def announcements(elements: DataFrame) -> DataFrame:
-    """Decoded messages as seq, prefix, peer_asn, withdraw, as_path, origin_asn, ts. The origin is the first one listed, else the path's last hop."""
+#: Rows that one task may put in order.
+SMALL_CAP = 100_000
+
+
+def announcements(elements: DataFrame, *more: str) -> DataFrame:
+    """Decoded messages as seq, prefix, peer_asn, withdraw, as_path, origin_asn, ts, and columns ``more``. The origin is the first one listed, else the path's last hop."""
     path = F.coalesce("as_path", F.array().cast("array<bigint>"))
     origin = F.coalesce(F.try_element_at("origin_asns", F.lit(1)), F.try_element_at(path, F.lit(-1)))
-    return elements.select("seq", "prefix", "peer_asn", (F.col("elem_type") == "W").alias("withdraw"), path.alias("as_path"), origin.alias("origin_asn"), "ts")
+    return elements.select("seq", "prefix", "peer_asn", (F.col("elem_type") == "W").alias("withdraw"), path.alias("as_path"), origin.alias("origin_asn"), "ts", *more)
 
 
-def materialize(updates: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """The routes that stand after all updates: the last of each (prefix, peer_asn) by ``order``, unless it withdraws.
+def materialize(updates: DataFrame, order: list[str] | None = None, by: list[str] | None = None) -> DataFrame:
+    """The routes that stand after all updates: the last of each (prefix, peer_asn), and ``by``, by ``order``, unless it withdraws.
 
     One aggregation; what a task has seen of a route is one row before the shuffle.
     """
-    order = order or ["seq"]
-    rest = [c for c in updates.columns if c not in ("prefix", "peer_asn", *order)]
-    last = updates.groupBy("prefix", "peer_asn").agg(F.max(F.struct(*order, *rest)).alias("last"))
-    return last.select("prefix", "peer_asn", *(F.col(f"last.{c}").alias(c) for c in (*order, *rest))).where("NOT withdraw").drop("withdraw")
+    order, keys = order or ["seq"], [*(by or []), "prefix", "peer_asn"]
+    rest = [c for c in updates.columns if c not in (*keys, *order)]
+    last = updates.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("last"))
+    return last.select(*keys, *(F.col(f"last.{c}").alias(c) for c in (*order, *rest))).where("NOT withdraw").drop("withdraw")
 
 
 def counts(rib: DataFrame) -> DataFrame:
@@ -41,8 +45,11 @@ def intern(paths: DataFrame, value: str = "as_path", order: str = "seq") -> Data
 
 
 def first_updates(updates: DataFrame, most: int | None, *order: str) -> DataFrame:
-    """At most ``most`` updates, the first ones; all if it is None."""
-    return updates if most is None else updates.orderBy(*(order or ("seq",))).limit(most)
+    """At most ``most`` updates, the first ones; all if it is None. Places of a large cap come from ranges, so that it passes through no single task."""
+    order = order or ("seq",)
+    if most is None:
+        return updates
+    return updates.orderBy(*order).limit(most) if most <= SMALL_CAP else numbered(updates, "_place", *order).where(F.col("_place") < most).drop("_place")
 
 
 def collapse(rib: DataFrame, by: list[str] | None = None) -> DataFrame:

@@ -1,13 +1,10 @@
 """Keyed tables that change: upserts that touch only rows that differ, soft deletes, and the changes as a log.
 
-A table is a folder of Parquet folders by version, a log one of Parquet folders by first number. Spark writes them; a
-version is written beside the others and gets its name when it is whole, so readers see the old or the new state.
+How their versions become the state of a store is in ``commits``.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,69 +78,6 @@ def folders(spark: SparkSession, path: str) -> dict[str, object]:
     return {s.getPath().getName(): s.getPath() for s in fs.listStatus(p)} if fs.exists(p) else {}
 
 
-class Table:
-    """A table of whole versions, ``version=N`` each; the last two stay."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: str):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-
-    def stored(self) -> dict[int, tuple[str, object]]:
-        """Versions with their tag and folder."""
-        names = ((n.removeprefix("version=").partition("@"), p) for n, p in folders(self.spark, self.path).items() if n.startswith("version="))
-        return {int(number): (tag, p) for (number, _, tag), p in names}
-
-    def versions(self) -> list[int]:
-        return sorted(self.stored())
-
-    def tag(self) -> str:
-        """What the last version was committed as."""
-        have = self.stored()
-        return have[max(have)][0] if have else ""
-
-    def read(self) -> DataFrame:
-        """The last version; empty before the first."""
-        have = self.stored()
-        if not have:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(have[max(have)][1].toString())
-
-    def commit(self, rows: DataFrame, tag: str = "") -> int:
-        """Write the next version. Its folder gets its name by a rename, which fails if another writer was first."""
-        have = self.stored()
-        number = max(have, default=0) + 1
-        draft = f"{self.path}/draft-{uuid.uuid4().hex[:12]}"
-        rows.select(*(c for c in self.spark.createDataFrame([], self.schema).columns)).write.parquet(draft)
-        path = self.spark._jvm.org.apache.hadoop.fs.Path
-        fs = path(draft).getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if number in self.stored() or not fs.rename(path(draft), path(f"{self.path}/version={number}" + (f"@{tag}" if tag else ""))):
-            raise RuntimeError(f"{self.path}: version {number} was committed by another writer")
-        for old in sorted(have)[:-1]:
-            fs.delete(have[old][1], True)
-        return number
-
-
-class Log:
-    """Numbered rows that are only appended, ``first=N`` for each append. Of what is there, an append reads the last numbers alone."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: str):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-
-    def read(self) -> DataFrame:
-        if not folders(self.spark, self.path):
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(f"{self.schema}, first bigint").parquet(self.path).drop("first")
-
-    def last(self) -> int:
-        firsts = sorted(int(n.removeprefix("first=")) for n in folders(self.spark, self.path) if n.startswith("first="))
-        if not firsts:
-            return 0
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/first={firsts[-1]}").agg(F.max("seq")).first()[0] or firsts[-1] - 1
-
-    def append(self, rows: DataFrame, last: int) -> None:
-        """``rows`` are numbered from ``last`` + 1. An append that is run again replaces itself."""
-        rows.write.mode("overwrite").parquet(f"{self.path}/first={last + 1}")
-
-
 ORGS = "org_id string, name string, asns string, domains string, external_id string, reg_order bigint, deleted_at bigint"
 CONTACTS = (
     "asn_a bigint, asn_b bigint, as_of string, as_of_date string, prior_as_of string, schema_version int, source string, kind string, org_a string, org_b string, "

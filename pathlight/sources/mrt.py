@@ -1,15 +1,22 @@
 """A Spark data source for MRT routing dumps (RFC 6396) and the BGP messages in them (RFC 4271, RFC 6793).
 
 ``spark.dataSource.register(MrtSource); spark.read.format("mrt").load(path)`` gives a row for each announced or withdrawn
-prefix: ``schemas.ELEMENT`` and ``file``. A file is one partition, as a compressed dump can't be split; rows are streamed.
-Paths are local files, ``file:`` and what ``pyarrow.fs`` opens; ``.gz`` and ``.bz2`` are unpacked. The option ``elem_type``
-(A or W) keeps one type of element while decoding.
+prefix: ``schemas.ELEMENT`` and ``file``. A file is one partition, as a compressed dump can't be split; rows leave it in
+Arrow batches. Paths are local files, ``file:`` and what ``pyarrow.fs`` opens; ``.gz`` and ``.bz2`` are unpacked.
 
-``seq`` is (number of the file << 40) + the row's place in it, so that files in order of name give the order of writes.
-``paths`` (a JSON list) instead of a path gives the files and their order. Records that hold routes in a form that isn't read
-here (the old table dump, generic and multicast tables, additional paths) fail the load, unless ``skip_unknown`` is set.
+What isn't asked for isn't decoded: ``load(spark, path)`` pushes filters on ``elem_type`` and ``peer_asn`` down to the
+records (Spark wants a setting and the option ``pushdown`` for it), the option ``elem_type`` (A or W) does the same
+without, and a schema without ``as_path`` and ``origin_asns`` (``.schema(...)``) leaves paths undecoded.
+
+``seq`` is (number of the file << 40) + the row's place in it, whatever is filtered, so that files in order of name give the
+order of writes. ``paths`` (a JSON list) instead of a path gives the files and their order. Records that hold routes in a
+form that isn't read here (the old table dump, generic and multicast tables, additional paths) fail the load, unless
+``skip_unknown`` is set.
 
 An AS_SET makes a path empty: it has no single next hop; the origin then comes from the set's members if there is one.
+
+As a stream (``spark.readStream.format("mrt")``), a folder's files are read once each, in order of name: new ones must sort
+behind those that were there, and old ones stay while the stream is to go on. An offset is the last name that was read.
 """
 
 from __future__ import annotations
@@ -20,9 +27,14 @@ import ipaddress
 import json
 import struct
 from collections.abc import Iterator
+from dataclasses import dataclass
 
+import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, In, InputPartition
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..schemas import ELEMENT
 
@@ -63,17 +75,17 @@ def as_path(data: bytes, size: int) -> tuple[list[int], list[int]]:
     return (path if flat else []), last
 
 
-def attributes(data: bytes, size: int, in_rib: bool = False) -> dict:
-    """path, origins, announced and withdrawn v6 prefixes of a message's attributes."""
+def attributes(data: bytes, size: int, in_rib: bool = False, paths: bool = True) -> dict:
+    """path, origins (unless ``paths`` is false), announced and withdrawn v6 prefixes of a message's attributes."""
     out: dict = {"path": [], "origins": [], "reach": [], "unreach": []}
     at, four = 0, None
     while at + 3 <= len(data):
         flags, kind = data[at], data[at + 1]
         n, at = (struct.unpack_from(">H", data, at + 2)[0], at + 4) if flags & 0x10 else (data[at + 2], at + 3)
         value, at = data[at : at + n], at + n
-        if kind == ORIGIN_PATH:
+        if kind == ORIGIN_PATH and paths:
             out["path"], out["origins"] = as_path(value, size)
-        elif kind == AS4_PATH and size == 2:
+        elif kind == AS4_PATH and size == 2 and paths:
             four = as_path(value, 4)
         elif kind == MP_REACH and not in_rib:
             family, hop = struct.unpack_from(">H", value)[0], value[3]
@@ -90,9 +102,23 @@ def attributes(data: bytes, size: int, in_rib: bool = False) -> dict:
 UNREAD = {12: (), TABLE_DUMP_V2: (3, 5, 6, 8, 9, 10, 11, 12), BGP4MP: (8, 9, 10, 11)}
 
 
-def elements(data, skip_unknown: bool = False) -> Iterator[tuple]:
-    """(ts, elem_type, prefix, peer_asn, as_path, origin_asns) of a stream of MRT records."""
+@dataclass
+class Wanted:
+    """What is decoded: kinds of elements and peers (None: all), and whether paths are."""
+
+    kinds: frozenset[str] | None = None
+    peers: frozenset[int] | None = None
+    paths: bool = True
+
+    def takes(self, kind: str, peer: int) -> bool:
+        return (self.kinds is None or kind in self.kinds) and (self.peers is None or peer in self.peers)
+
+
+def elements(data, skip_unknown: bool = False, wanted: Wanted | None = None) -> Iterator[tuple]:
+    """(place, ts, elem_type, prefix, peer_asn, as_path, origin_asns) of a stream of MRT records. Places count what isn't wanted as well."""
+    wanted = wanted or Wanted()
     peers: list[int] = []
+    place = 0
     while len(head := data.read(12)) == 12:
         seconds, kind, sub, size = struct.unpack(">IHHI", head)
         body, ts = data.read(size), float(seconds)
@@ -102,21 +128,29 @@ def elements(data, skip_unknown: bool = False) -> Iterator[tuple]:
         if kind == TABLE_DUMP_V2 and sub == PEER_INDEX:
             peers = list(peer_index(body))
         elif kind == TABLE_DUMP_V2 and sub in (RIB_V4, RIB_V6):
-            bits = body[4]
+            bits, prefix = body[4], None
             n = (bits + 7) // 8
-            prefix = prefix_text(body[5 : 5 + n], bits, 1 if sub == RIB_V4 else 2)
             (count,), at = struct.unpack_from(">H", body, 5 + n), 7 + n
-            for _ in range(count):
+            for i in range(count):
                 peer, when, length = struct.unpack_from(">HIH", body, at)
-                found = attributes(body[at + 8 : at + 8 + length], 4, True)
+                if wanted.takes("A", peers[peer]):
+                    prefix = prefix or prefix_text(body[5 : 5 + n], bits, 1 if sub == RIB_V4 else 2)
+                    found = attributes(body[at + 8 : at + 8 + length], 4, True) if wanted.paths else NO_PATH
+                    yield place + i, float(when), "A", prefix, peers[peer], found["path"], found["origins"]
                 at += 8 + length
-                yield float(when), "A", prefix, peers[peer], found["path"], found["origins"]
+            place += count
         elif kind == BGP4MP and sub in (MESSAGE, MESSAGE_AS4, MESSAGE_LOCAL, MESSAGE_AS4_LOCAL):
-            yield from message(body, ts, 4 if sub in (MESSAGE_AS4, MESSAGE_AS4_LOCAL) else 2)
+            for own in message(body, ts, 4 if sub in (MESSAGE_AS4, MESSAGE_AS4_LOCAL) else 2, wanted.paths):
+                if wanted.takes(own[1], own[3]):
+                    yield place, *own
+                place += 1
         elif not skip_unknown and kind in UNREAD and (not UNREAD[kind] or sub in UNREAD[kind]):
             raise ValueError(f"an MRT record of type {kind}, subtype {sub} holds routes that aren't read")
 
 
+NO_PATH = {"path": [], "origins": []}
+
+
 def peer_index(body: bytes) -> Iterator[int]:
     at = 6 + struct.unpack_from(">H", body, 4)[0]
     (count,), at = struct.unpack_from(">H", body, at), at + 2
@@ -126,7 +160,7 @@ def peer_index(body: bytes) -> Iterator[int]:
         at += 4 if kind & 2 else 2
 
 
-def message(body: bytes, ts: float, size: int) -> Iterator[tuple]:
+def message(body: bytes, ts: float, size: int, paths: bool = True) -> Iterator[tuple]:
     peer = struct.unpack_from(">I" if size == 4 else ">H", body)[0]
     family = struct.unpack_from(">H", body, 2 * size + 2)[0]
     m = body[2 * size + 4 + (8 if family == 1 else 32) :]
@@ -135,7 +169,7 @@ def message(body: bytes, ts: float, size: int) -> Iterator[tuple]:
     (gone,) = struct.unpack_from(">H", m, 19)
     (length,) = struct.unpack_from(">H", m, 21 + gone)
     at = 23 + gone
-    found = attributes(m[at : at + length], size)
+    found = attributes(m[at : at + length], size, paths=paths)
     for p in [*prefixes(m[21 : 21 + gone], 1), *found["unreach"]]:
         yield ts, "W", p, peer, [], []
     for p in [*prefixes(m[at + length : struct.unpack_from(">H", m, 16)[0]], 1), *found["reach"]]:
@@ -151,25 +185,98 @@ def filesystem(path: str):
     return pyarrow.fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pyarrow.fs.LocalFileSystem(), path)
 
 
+def names_of(folder: str) -> list[str]:
+    """The files of a folder in order of name, or a single file, as paths of its file system."""
+    fs, path = filesystem(folder)
+    if fs.get_file_info(path).type != pyarrow.fs.FileType.Directory:
+        return [path]
+    return sorted(f.path for f in fs.get_file_info(pyarrow.fs.FileSelector(path)) if f.is_file)
+
+
+#: Rows of a batch.
+ROWS = 8192
+
+
+@dataclass
+class Options:
+    """What a reader needs on an executor. ``schema``: the columns that are asked for."""
+
+    path: str
+    schema: StructType
+    paths: list[str] | None = None
+    skip_unknown: bool = False
+
+    def batches(self, partition: File, wanted: Wanted) -> Iterator[pa.RecordBatch]:
+        own = self.paths is not None
+        fs, path = filesystem(partition.path if own else self.path)
+        schema = to_arrow_schema(self.schema)
+        names = ["seq", "ts", "elem_type", "prefix", "peer_asn", "as_path", "origin_asns"]
+        columns = [names.index(n) if n in names else None for n in schema.names]
+        wanted.paths = bool({"as_path", "origin_asns"} & set(schema.names))
+
+        def batch(rows: list[tuple]) -> pa.RecordBatch:
+            cells = list(zip(*rows))
+            cells[0] = [(partition.number << 40) + place for place in cells[0]]
+            return pa.RecordBatch.from_arrays([pa.array([partition.path] * len(rows) if c is None else cells[c], f.type) for c, f in zip(columns, schema)], schema=schema)
+
+        with fs.open_input_stream(path if own else partition.path, compression=None) as raw:
+            data = gzip.GzipFile(fileobj=raw) if partition.path.endswith(".gz") else bz2.BZ2File(raw) if partition.path.endswith(".bz2") else raw
+            rows: list[tuple] = []
+            for row in elements(data, self.skip_unknown, wanted):
+                rows.append(row)
+                if len(rows) == ROWS:
+                    yield batch(rows)
+                    rows = []
+            if rows:
+                yield batch(rows)
+
+
 class MrtReader(DataSourceReader):
-    def __init__(self, path: str, kind: str | None, paths: list[str] | None = None, skip_unknown: bool = False):
-        self.path, self.kind, self.paths, self.skip_unknown = path, kind, paths, skip_unknown
+    def __init__(self, options: Options, kind: str | None):
+        self.options, self.wanted = options, Wanted(frozenset([kind]) if kind else None)
 
     def partitions(self):
-        if self.paths is not None:
-            return [File(i, n) for i, n in enumerate(self.paths)]
-        fs, path = filesystem(self.path)
-        info = fs.get_file_info(path)
-        names = sorted(f.path for f in fs.get_file_info(pyarrow.fs.FileSelector(path)) if f.is_file) if info.type == pyarrow.fs.FileType.Directory else [path]
+        names = self.options.paths if self.options.paths is not None else names_of(self.options.path)
         return [File(i, n) for i, n in enumerate(names)]
 
     def read(self, partition: File):
-        fs, path = filesystem(partition.path if self.paths is not None else self.path)
-        with fs.open_input_stream(path if self.paths is not None else partition.path, compression=None) as raw:
-            data = gzip.GzipFile(fileobj=raw) if partition.path.endswith(".gz") else bz2.BZ2File(raw) if partition.path.endswith(".bz2") else raw
-            for i, (ts, kind, *rest) in enumerate(elements(data, self.skip_unknown)):
-                if self.kind in (None, kind):
-                    yield ((partition.number << 40) + i, ts, kind, *rest, partition.path)
+        return self.options.batches(partition, self.wanted)
+
+
+class PushingReader(MrtReader):
+    """Takes filters on elem_type and peer_asn over, so that other records aren't decoded."""
+
+    def pushFilters(self, filters: list[Filter]):
+        for f in filters:
+            values = frozenset([f.value]) if isinstance(f, EqualTo) else frozenset(f.value) if isinstance(f, In) else None
+            if values is not None and f.attribute == ("elem_type",):
+                self.wanted.kinds = values if self.wanted.kinds is None else self.wanted.kinds & values
+            elif values is not None and f.attribute == ("peer_asn",):
+                self.wanted.peers = values if self.wanted.peers is None else self.wanted.peers & values
+            else:
+                yield f
+
+
+class MrtStreamReader(DataSourceStreamReader):
+    """A folder's files, each once, in order of name."""
+
+    def __init__(self, options: Options, kind: str | None):
+        self.options, self.kind = options, kind
+
+    def initialOffset(self) -> dict:
+        return {"after": ""}
+
+    def latestOffset(self) -> dict:
+        return {"after": max(names_of(self.options.path), default="")}
+
+    def partitions(self, start: dict, end: dict):
+        return [File(i, n) for i, n in enumerate(names_of(self.options.path)) if start["after"] < n <= end["after"]]
+
+    def read(self, partition: File):
+        return self.options.batches(partition, Wanted(frozenset([self.kind]) if self.kind else None))
+
+    def commit(self, end: dict) -> None:
+        pass
 
 
 class MrtSource(DataSource):
@@ -180,6 +287,22 @@ class MrtSource(DataSource):
     def schema(self):
         return f"{ELEMENT}, file string"
 
-    def reader(self, schema):
+    def read_options(self, schema: StructType) -> Options:
         paths = self.options.get("paths")
-        return MrtReader(self.options.get("path", ""), self.options.get("elem_type"), json.loads(paths) if paths else None, self.options.get("skip_unknown", "").lower() == "true")
+        return Options(self.options.get("path", ""), schema, json.loads(paths) if paths else None, self.options.get("skip_unknown", "").lower() == "true")
+
+    def reader(self, schema):
+        kind = PushingReader if self.options.get("pushdown", "").lower() == "true" else MrtReader
+        return kind(self.read_options(schema), self.options.get("elem_type"))
+
+    def streamReader(self, schema):
+        return MrtStreamReader(self.read_options(schema), self.options.get("elem_type"))
+
+
+def load(spark: SparkSession, path: str | None = None, columns: str | None = None, **options) -> DataFrame:
+    """Messages of a file or folder, with filters pushed down. ``columns``: a schema of those that are wanted."""
+    spark.dataSource.register(MrtSource)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    read = spark.read.format("mrt").option("pushdown", "true").options(**options)
+    read = read.schema(columns) if columns else read
+    return read.load(path) if path else read.load()

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import csv
+import datetime
 import ipaddress
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import GLUE
+from ..functions.ip import with_network
+from ..operators import store
 from ..schemas import CASE, EVENT, FEATURE, ORG, RELATION, ROA, SIGNAL
 
 #: Headers of ROA files.
@@ -50,7 +53,10 @@ def roa_columns(header: list[str]) -> tuple[int, int, int, bool]:
 
 
 def read_roas(spark: SparkSession, path: str) -> DataFrame:
-    """ROAs of a CSV file with or without header. Short rows and rows without ASN are left out; a bad value fails the load."""
+    """ROAs of a CSV file with or without header. Short rows and rows without ASN are left out.
+
+    A bad value fails the load: text that is no prefix of v4 or v6, or a length or ASN that is no number of its kind.
+    """
     lines = spark.read.text(path)
     first = lines.first()
     if first is None:
@@ -64,33 +70,74 @@ def read_roas(spark: SparkSession, path: str) -> DataFrame:
         cells = cells.where(F.lower(F.col("c")[asn]) != header[asn].strip().lower())
     cells = cells.where((F.col("c")[asn] != "") & ~F.col("c")[asn].startswith("#"))
     number = F.regexp_replace(F.col("c")[asn], "^(?:AS)*(?:as)*", "")
-    net = F.col("c")[prefix]
-    return cells.select(
-        F.when(net.rlike(r"^[0-9a-fA-F:.]+(/\d{1,3})?$"), net).otherwise(F.raise_error(F.concat(F.lit("not a prefix: "), net))).alias("prefix"),
-        strict(F.col("c")[length], r"^\d{1,3}$", "int", "not a length").alias("max_length"), strict(number, r"^\d{1,10}$", "bigint", "not an ASN").alias("origin_asn"),
+    rows = with_network(cells.select(F.col("c")[prefix].alias("prefix"), F.col("c")[length].alias("length"), number.alias("number")))
+    whole = F.col("prefix").rlike(r"^[^\s/]+/\d{1,3}$") & F.col("family").isNotNull() & ~F.col("prefix").rlike(LEADING_ZEROS)
+    return rows.select(
+        checked(F.col("prefix"), whole, "prefix").alias("prefix"), checked(F.col("length"), F.col("length").try_cast("int").between(0, 255), "length").cast("int").alias("max_length"),
+        checked(F.col("number"), F.col("number").try_cast("bigint").between(0, 2**32 - 1), "ASN").cast("bigint").alias("origin_asn"),
     )
 
 
+#: A v4 octet or a length with zeros before it is refused, as by a strict parser.
+LEADING_ZEROS = r"^(?:\d+\.)*0\d+(?:\.|/)|/0\d"
+
+
+def checked(x, ok, what: str):
+    """``x``, or a failure of the job where ``ok`` doesn't hold."""
+    return F.when(F.coalesce(ok & x.rlike(r"^\S+$"), F.lit(False)), x).otherwise(F.raise_error(F.concat(F.lit(f"not a{'n' if what == 'ASN' else ''} {what}: "), F.coalesce(x, F.lit("null")))).cast("string"))
+
+
 def read_relations(spark: SparkSession, path: str) -> DataFrame:
     """a, b, rel of a pipe-separated file; ``#`` lines are comments."""
     return spark.read.schema(RELATION).csv(path, sep="|", comment="#", mode="FAILFAST")
 
 
+ORG_FIELDS = "org_id string, name string, asns array<bigint>, domains array<string>, prefix_count_hint bigint, external_id string"
+
+
 def read_orgs(spark: SparkSession, path: str) -> DataFrame:
-    """Organisations of a JSON file: an array, or an object with an array ``orgs``. Missing fields are null or empty; ``reg_order`` is the place in the file."""
-    one = "struct<org_id:string,name:string,asns:array<bigint>,domains:array<string>,prefix_count_hint:bigint,external_id:string>"
-    text = spark.read.text(path, wholetext=True).select(F.ltrim("value").alias("v"))
-    wrapped = F.from_json("v", f"struct<orgs:array<{one}>>", {"mode": "FAILFAST"})["orgs"]
-    rows = F.when(F.col("v").startswith("["), F.from_json("v", f"array<{one}>", {"mode": "FAILFAST"})).otherwise(wrapped)
-    out = text.select(F.posexplode(rows).alias("reg_order", "o")).select("o.*", F.col("reg_order").cast("long"))
-    return out.withColumns({c: F.coalesce(c, F.array().cast(k)) for c, k in (("asns", "array<bigint>"), ("domains", "array<string>"))}).select(*(f.split()[0] for f in ORG.split(", ")))
+    """Organisations of JSON lines (as ``write_orgs`` leaves them), or of one JSON text: an array, or an object with an array ``orgs``.
+
+    Missing fields are null or empty; ``reg_order`` is the line's own, or the place in the file.
+    """
+    first = spark.read.text(path).select(F.trim("value").alias("v")).where("v <> ''").first()
+    lines = first is not None and spark.range(1).select(F.array_contains(F.json_object_keys(F.lit(first.v)), "org_id").alias("x")).first().x
+    if lines:
+        rows = spark.read.schema(f"{ORG_FIELDS}, reg_order bigint").json(path, mode="FAILFAST")
+    else:
+        one = f"struct<{ORG_FIELDS}>"
+        text = spark.read.text(path, wholetext=True).select(F.ltrim("value").alias("v"))
+        wrapped = F.from_json("v", f"struct<orgs:array<{one}>>", {"mode": "FAILFAST"})["orgs"]
+        found = F.when(F.col("v").startswith("["), F.from_json("v", f"array<{one}>", {"mode": "FAILFAST"})).otherwise(wrapped)
+        rows = text.select(F.posexplode(found).alias("reg_order", "o")).select("o.*", F.col("reg_order").cast("long"))
+    return rows.withColumns({c: F.coalesce(c, F.array().cast(k)) for c, k in (("asns", "array<bigint>"), ("domains", "array<string>"))}).select(*(f.split()[0] for f in ORG.split(", ")))
 
 
 def write_orgs(orgs: DataFrame, path: str, source: str, built_at: str) -> None:
-    """One JSON object: source, built_at, orgs. An organisation map is small by nature; it goes through one task."""
-    record = F.struct("org_id", "name", "asns", "domains", "prefix_count_hint", "external_id")
-    whole = orgs.agg(F.sort_array(F.collect_list(record)).alias("orgs")).select(F.to_json(F.struct(F.lit(source).alias("source"), F.lit(built_at).alias("built_at"), "orgs")).alias("value"))
-    whole.coalesce(1).write.mode("overwrite").text(path)
+    """JSON lines, each with source and built_at; tasks write their own files, and ``reg_order`` keeps the order."""
+    stamped = orgs.select(F.lit(source).alias("source"), F.lit(built_at).alias("built_at"), *(f.split()[0] for f in ORG.split(", ")))
+    stamped.write.mode("overwrite").json(path, ignoreNullFields=False)
+
+
+def write_dated_orgs(orgs: DataFrame, folder: str, source: str, at: datetime.datetime, keep: int = 4) -> str:
+    """A copy of the map under its date, as ``current`` names it from then on; of all copies the newest ``keep`` stay. Returns its folder.
+
+    A copy is known when it is whole: ``current`` changes after the write, and the copy that it names is never deleted.
+    """
+    spark = orgs.sparkSession
+    name = f"org-map-{at:%Y%m%dT%H%M%SZ}"
+    write_orgs(orgs, f"{folder}/{name}", source, at.strftime("%Y-%m-%dT%H:%M:%SZ"))
+    spark.range(1).select(F.lit(name).alias("value")).coalesce(1).write.mode("overwrite").text(f"{folder}/current")
+    have = {n: p for n, p in store.folders(spark, folder).items() if n.startswith("org-map-")}
+    for old in sorted(have)[: -keep or None]:
+        if old != name:
+            have[old].getFileSystem(spark._jsc.hadoopConfiguration()).delete(have[old], True)
+    return f"{folder}/{name}"
+
+
+def current_orgs(spark: SparkSession, folder: str) -> DataFrame:
+    """The copy that ``current`` names."""
+    return read_orgs(spark, f"{folder}/{spark.read.text(f'{folder}/current').first()[0]}")
 
 
 def read_cases(spark: SparkSession, path: str) -> DataFrame:

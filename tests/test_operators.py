@@ -221,24 +221,6 @@ def test_table_rules(spark):
         store.checked_contacts(ok.withColumn("asn_b", F.lit(1))).collect()
 
 
-def test_table_versions(spark, tmp_path):
-    table = store.Table(spark, f"file://{tmp_path}/t", "a bigint")
-    assert table.read().isEmpty()
-    assert table.commit(spark.range(3).toDF("a")) == 1 and table.commit(spark.range(2).toDF("a")) == 2
-    assert table.read().count() == 2 and table.versions() == [1, 2] and table.tag() == ""
-    assert table.commit(spark.range(5).toDF("a"), "batch7") == 3 and table.read().count() == 5
-    assert table.versions() == [2, 3] and table.tag() == "batch7"
-
-
-def test_log_is_appended_to(spark, tmp_path, rows):
-    log = store.Log(spark, f"file://{tmp_path}/l", "seq bigint, x string")
-    assert log.read().isEmpty() and log.last() == 0
-    log.append(spark.createDataFrame([(1, "a"), (2, "b")], "seq bigint, x string"), 0)
-    for _ in range(2):  # an append that is run again replaces itself
-        log.append(spark.createDataFrame([(3, "c")], "seq bigint, x string"), 2)
-    assert log.last() == 3 and rows(log.read()) == [(1, "a"), (2, "b"), (3, "c")]
-
-
 def test_numbers_over_a_table(spark, rows):
     got = numbered(spark.range(1000).selectExpr("(id * 7919) % 1000 AS k").repartition(7), "n", "k")
     assert rows(got) == [(k, k) for k in range(1000)] or sorted(map(tuple, got.collect())) == [(k, k) for k in range(1000)]

@@ -101,6 +101,10 @@ def test_text_tables(spark, tmp_path, rows):
         tables.read_glue(spark, str(tmp_path / "bad")).collect()
     (tmp_path / "roas").write_text("URI,ASN,IP Prefix,Max Length,Not Before,Not After\nrsync://x,AS13335,1.1.1.0/24,24,a,b\nrsync://y,15169,8.8.8.0/24,24,a,b\nshort,1\nz,#c,1.0.0.0/8,8,a,b\n")
     assert rows(tables.read_roas(spark, str(tmp_path / "roas"))) == [("1.1.1.0/24", 24, 13335), ("8.8.8.0/24", 24, 15169)]
+    for bad in ("1,999.1.1.1/24,24", "1,1.0.0.0/40,24", "1,1.2.3.4.5/8,24", "1,1.1.1.0,24", "1,01.1.1.0/24,24", "1,zz::/32,40", "1,2001:db8::/129,40", "1,1.1.1.0/24,256", "1,1.1.1.0/24,x", "4294967296,1.1.1.0/24,24"):
+        (tmp_path / "strict").write_text(f"ASN,IP Prefix,Max Length\n5,2001:db8::/32,48\n{bad}\n")
+        with pytest.raises(Exception, match="not an? (prefix|length|ASN)"):
+            tables.read_roas(spark, str(tmp_path / "strict")).collect()
     (tmp_path / "plain").write_text("13335,1.1.1.0/24,24\n")
     assert rows(tables.read_roas(spark, str(tmp_path / "plain"))) == [("1.1.1.0/24", 24, 13335)]
     with pytest.raises(ValueError):
