@@ -1,6 +1,7 @@
 """Licence scans by canonical digest: whole texts are normalised, digested and joined with digests of known licences.
 
-Normalising, in this order: A-Z to lower case; lines that state a copyright are blanked; runs of anything but letters
+Normalising, in this order: A-Z to lower case; statements of a copyright (holder and years)
+are blanked, whether the licence goes on in their line or not; runs of anything but letters
 and digits become one space; equivalent spellings become one; the ends are trimmed. The SHA-256 of what is left is the canonical digest. Only
 DataFrame functions run here, over every whole text.
 
@@ -22,8 +23,18 @@ from .licence_texts import TEXTS
 #: Known licences that are broadcast at most; a larger table is joined by a shuffle.
 BROADCAST = 10_000
 
-#: The pattern of a copyright line, of what separates words, and of equivalent spellings, with what replaces them.
-COPYRIGHT = (r"(^|\n)[\x20\t*#/;>-]*(copyright|\(c\)|©|all rights reserved)[^\n]*", "\n")
+#: The patterns of a copyright statement, of what separates words, and of equivalent spellings, with what replaces them.
+#: A statement begins a line, has a sign or a year (or the place for one), and ends with its line, its sentence or where
+#: a licence begins; a holder has at most 300 characters.
+YEAR = r"[\[<{(]?(?:[0-9]{4}|yyyy|year)"
+COPYRIGHT = (
+    (
+        r"(?:^|\n)[\x20\t*#/;>-]*(?:copyright[\x20\t:]*(?:\(c\)|©|" + YEAR + r")|\(c\)[\x20\t]*(?:copyright|" + YEAR + r")|©)(?:(?:inc|ltd|co|corp|jr|dr|st|\x20[a-z])\.|[^\n]){0,300}?"
+        r"(\n|$|\.\x20|\x20(?:permission is hereby|permission to use|redistribution and use|all rights reserved|this (?:file|library|program|software|work)))",
+        "\n$1",
+    ),
+    (r"(?:^|\n)[\x20\t*#/;>-]*all rights reserved\.?", "\n"),
+)
 BETWEEN = (r"[\x00-\x2F\x3A-\x60\x7B-\x{BF}\x{2000}-\x{206F}\x{3000}-\x{303F}]+", " ")
 SPELLINGS = (
     (r"\b(author|capital|categor|emphas|initial|maxim|optim|organ|real|recogn|util)is(e|ed|es|ing|ation|ations)\b", "$1iz$2"),
@@ -54,7 +65,7 @@ ANY = "|".join(re.sub(r"\((?!\?)", "(?:", p) for p, _ in SPELLINGS)
 def with_digest(rows: DataFrame, text: str) -> DataFrame:
     """``rows`` with canonical_sha256 instead of a text column."""
     out = ascii_lower(F.coalesce(text, F.lit("")))
-    for pattern, to in (COPYRIGHT, BETWEEN):
+    for pattern, to in (*COPYRIGHT, BETWEEN):
         out = F.regexp_replace(out, pattern, to)
     spelled = F.col("_plain")
     for pattern, to in SPELLINGS:
@@ -89,9 +100,8 @@ def _sql() -> str:
         return "'" + x.replace("'", "''") + "'"
 
     t = f"translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}')"
-    for pattern, to in (COPYRIGHT, BETWEEN, *SPELLINGS):
-        newline = to if to != "\n" else "\n"
-        t = f"regexp_replace({t}, {quoted(pattern)}, {quoted(newline.replace('$', chr(92)))}, 'g')"
+    for pattern, to in (*COPYRIGHT, BETWEEN, *SPELLINGS):
+        t = f"regexp_replace({t}, {quoted(pattern)}, {quoted(to.replace('$', chr(92)))}, 'g')"
     known = ", ".join(f"({quoted(i)}, {quoted(x)})" for i, x in TEXTS)
     return f"""
 WITH k AS (

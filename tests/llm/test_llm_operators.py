@@ -8,6 +8,7 @@ import time
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -520,6 +521,24 @@ def test_licences(spark, empty):
     assert licences.scan(empty).collect() == []
 
 
+def test_copyright_statements(spark):
+    """A statement goes, what follows it in its line stays, and lines that only speak of copyright stay."""
+    mit = dict(licences.TEXTS)["MIT"]
+    body = " ".join(mit[mit.lower().index("permission is") :].split())
+    same = [f"Copyright (c) 2020 Foo. {body}", f"Copyright (c) 1999-2020 Foo, Inc. All rights reserved. {body}", f"# © Foo Bar {body}", f"Copyright 2020 Foo\nAll rights reserved.\n\n{body}", f"(c) 2020 by Foo & Co. Ltd. {body}", f"Copyright <year> <holder>\n{body}"]
+    other = ["copyright law of the land", "Copyright notices are kept", "(c) the third of a list", "", "copyright law of the land of others"]
+    long = "Copyright (c) 2020 " + "x" * 200_000
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate([*same, *other, long])], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in licences.scan(rows).collect()}
+    title = "MIT License\n\n" if mit.lower().startswith("mit license") else ""
+    whole = {r.doc_id: r for r in licences.scan(rows.withColumn("text", F.concat(F.lit(title), "text"))).collect()}
+    assert [whole[i].licence_id for i in range(len(same))] == ["MIT"] * len(same)
+    assert len({got[i].canonical_sha256 for i in range(len(same), len(got))}) == len(other) + 1
+    con = duckdb.connect()
+    con.register("documents", rows.toArrow())
+    assert {(d, h) for d, h, _ in con.execute(licences.SQL).fetchall()} == {(r.doc_id, r.canonical_sha256) for r in got.values()}
+
+
 def test_long_licences(spark):
     """The files are known whole, without what follows their terms, and in other spelling, layout and case."""
     ids = [i for i, _ in licences.TEXTS]
