@@ -86,10 +86,12 @@ def ancestors(rows: DataFrame, lengths: DataFrame) -> DataFrame:
 def longest_match(rib_prefixes: DataFrame, addresses: DataFrame, v6: bool = True) -> DataFrame:
     """``addresses``: a column address, any others. Adds ``matched``: the longest of ``rib_prefixes`` (prefix) that holds it, or null.
 
-    Prefix containment as an equality of masked networks: hashable, so no nested loop.
+    Of several texts of one prefix the last in order is named.
     """
-    table = written(with_network(rib_prefixes.select("prefix").distinct(), v6=v6), "prefixes")  # parsed once
-    wanted = written(with_network(addresses.select("address").distinct(), "address", v6=v6).where("family IS NOT NULL"), "addresses")
-    up = ancestors(wanted, table.select("family", "plen")).drop("plen").withColumnRenamed("up", "plen")
-    hits = up.join(table, ["family", "plen", *WORDS]).groupBy("address").agg(F.max(F.struct("plen", "prefix")).alias("m"))
-    return addresses.join(hits.select("address", F.col("m.prefix").alias("matched")), "address", "left")
+    from .containment import longest, swept
+
+    table = with_network(rib_prefixes.select("prefix").distinct(), v6=v6).where("family IS NOT NULL")
+    table = written(table.groupBy("family", "plen", *WORDS).agg(F.max("prefix").alias("text")), "prefixes")  # parsed once
+    wanted = with_network(addresses.select("address").distinct(), "address", v6=v6).where("family IS NOT NULL")
+    found = swept(table, written(wanted.withColumnRenamed("address", "text"), "addresses"), longest, ["address", "_origin", "matched"])
+    return addresses.join(found.where("matched IS NOT NULL").select("address", "matched"), "address", "left")

@@ -8,23 +8,21 @@ from pyspark.sql import functions as F
 from ..functions.ip import WORDS, with_network
 from ..functions.paths import sql_collapse
 from ..functions.shared import materialize
-from .rib import ancestors
+from .containment import origin_state, swept
 
 
 def validate_origins(routes: DataFrame, roas: DataFrame, v6: bool = True) -> DataFrame:
     """``routes`` (prefix, origin_asn) with rpki_state: valid if a covering ROA has the origin and allows the length, else invalid if one covers, else unknown.
 
-    A route without origin is unknown. Distinct (prefix, origin) are validated once; covering is an equality of masked networks.
+    A route without origin is unknown. Distinct (prefix, origin) are validated once, in one sweep over all prefixes.
     """
-    table = materialize(with_network(roas.select("prefix", "max_length", F.col("origin_asn").alias("roa_origin")), v6=v6), "roas")  # parsed once
+    table = with_network(roas.select("prefix", "max_length", F.col("origin_asn").alias("origin")), v6=v6).where("family IS NOT NULL")
+    table = materialize(table.groupBy("family", "plen", *WORDS).agg(F.collect_set(F.struct("max_length", "origin")).alias("allowed")), "roas")  # parsed once
     asked = routes.select("prefix", "origin_asn").where("prefix IS NOT NULL AND origin_asn IS NOT NULL").distinct()
-    asked = materialize(with_network(asked, v6=v6).where("family IS NOT NULL"), "asked")
-    up = ancestors(asked.withColumn("own", F.col("plen")), table.select("family", "plen"))
-    up = up.drop("plen").withColumnRenamed("up", "plen")
-    hits = up.join(table.select("family", "plen", *WORDS, "max_length", "roa_origin"), ["family", "plen", *WORDS])
-    state = hits.groupBy("prefix", "origin_asn").agg(F.bool_or((F.col("roa_origin") == F.col("origin_asn")) & (F.col("own") <= F.col("max_length"))).alias("ok"))
+    asked = materialize(with_network(asked, v6=v6).where("family IS NOT NULL").withColumnsRenamed({"prefix": "text", "origin_asn": "origin"}), "asked")
+    state = swept(table, asked, origin_state, ["prefix", "origin_asn", "state"])
     out = routes.join(state, ["prefix", "origin_asn"], "left")
-    return out.select(*routes.columns, F.expr("CASE WHEN ok THEN 'valid' WHEN ok IS NOT NULL THEN 'invalid' ELSE 'unknown' END").alias("rpki_state"))
+    return out.select(*routes.columns, F.coalesce("state", F.lit("unknown")).alias("rpki_state"))
 
 
 def directed(relations: DataFrame) -> DataFrame:

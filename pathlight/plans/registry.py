@@ -9,9 +9,9 @@ from ..config import SparseConfig, SubjectRule
 from ..functions import domains as dom
 from ..functions.paths import collapse as collapse_path
 from ..functions.paths import edges, pair_key
-from ..functions.shared import materialize
+from ..functions.shared import fresh_path, materialize
 from ..functions.values import horizon_bucket, join_list
-from ..operators import attribution, diff, evals, features, rib, routes, signals, store
+from ..operators import attribution, commits, diff, evals, features, interning, rib, routes, signals, store
 from . import projection as p
 from .projection import AFTER, BEFORE, DAYS, duck
 
@@ -92,6 +92,22 @@ def path_interning(spark, sf_dir):
     return rib.intern(rows, "as_path", "l_orderkey")
 
 
+@query("""
+WITH a AS (SELECT array_to_string(as_path, ',') AS value, l_orderkey, l_orderkey % 2 AS half FROM (""" + p.DUCK["ann"] + """)),
+f AS (SELECT value, min(half) AS half, min(l_orderkey) FILTER (WHERE half = 0) AS even, min(l_orderkey) FILTER (WHERE half = 1) AS odd FROM a GROUP BY value)
+SELECT value, row_number() OVER (ORDER BY half, coalesce(even, odd), value) - 1 AS id FROM f
+""")
+def path_dictionary(spark, sf_dir):
+    """Paths of even orders, then those of odd ones: known paths keep their numbers, new ones go on from the last."""
+    dictionary = commits.Store(spark, fresh_path(spark, "dictionary"), {"paths": "value string, id bigint"})
+    rows = p.announcements(spark, sf_dir).select(join_list(F.col("as_path")).alias("as_path"), "l_orderkey")
+    for half in (0, 1):
+        step = dictionary.begin()
+        interning.intern(step, "paths", rows.where(F.col("l_orderkey") % 2 == half), "as_path", "l_orderkey")
+        step.commit()
+    return dictionary.read("paths")
+
+
 @query(duck(f"SELECT DISTINCT least(d[i], d[i + 1]) AS x, greatest(d[i], d[i + 1]) AS y FROM (SELECT d, unnest(range(1, len(d))) AS i FROM snap WHERE day = DATE '{AFTER}')"))
 def path_edges(spark, sf_dir):
     rows = rib.collapse(p.routes(spark, sf_dir, AFTER)).select(F.explode(edges("as_path")).alias("e"))
@@ -474,14 +490,22 @@ def horizon_histogram(spark, sf_dir):
     return p.table(spark, sf_dir, "orders").select(horizon_bucket(lead, F.col("o_custkey") % 5 > 0).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
 
 
-@query(duck("SELECT strftime(prev_day, '%Y-%m-%d') AS prev_day, strftime(day, '%Y-%m-%d') AS day FROM pairs"))
+@query("""
+SELECT strftime(prev_day, '%Y-%m-%d') AS prev_day, strftime(day, '%Y-%m-%d') AS day FROM (SELECT lag(day) OVER (ORDER BY day) AS prev_day, day FROM (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events)) WHERE prev_day IS NOT NULL
+""")
 def day_pairs(spark, sf_dir):
-    return text_days(pairs_of(spark), "prev_day", "day")
+    """The days that have events, in pairs of neighbours."""
+    return text_days(evals.day_pairs(p.table(spark, sf_dir, "events").select(F.to_date("ts").alias("day")).distinct()), "prev_day", "day")
 
 
-@query("SELECT strftime(d, '%Y-%m-%d') AS day FROM (SELECT range AS d FROM range(DATE '1998-01-01', DATE '1998-03-02', INTERVAL 7 DAY) UNION SELECT DATE '1998-03-01')")
+@query("""
+WITH b AS (SELECT min(CAST(o_orderdate AS DATE)) AS lo, max(CAST(o_orderdate AS DATE)) AS hi FROM orders)
+SELECT strftime(d, '%Y-%m-%d') AS day FROM (SELECT CAST(unnest(range(lo, hi, INTERVAL 7 DAY)) AS DATE) AS d FROM b UNION SELECT hi FROM b)
+""")
 def day_samples(spark, sf_dir):
-    return text_days(evals.sample_days(spark, "1998-01-01", "1998-03-01", 7), "day")
+    """Every seventh day of the span that orders have, and its end."""
+    span = p.table(spark, sf_dir, "orders").agg(F.min(F.to_date("o_orderdate")).alias("lo"), F.max(F.to_date("o_orderdate")).alias("hi")).first()
+    return text_days(evals.sample_days(spark, str(span.lo), str(span.hi), 7), "day")
 
 
 @query("""
