@@ -36,7 +36,7 @@ VOCABULARY = "word_bpe_49k.json"
 PLAIN = re.compile("[^\t\n\r\x20-\x7eÀ-ÖØ-öø-ɏ‘’“”„–—…«»¡¿€]")
 #: The tokeniser's own split of text into words, for plain text.
 SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-#: Bytes of words and their ids that a worker remembers before it starts anew, what a word costs besides, and words that
+#: Bytes of words and their ids that a worker remembers before it lets old ones go, what a word costs besides, and words that
 #: are encoded at a time. Texts with a word of over 256 characters go to the tokeniser whole, so that none is remembered.
 CACHE, EACH = 96 << 20, 150
 BATCH = 1000
@@ -61,6 +61,7 @@ class Encoder:
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.words: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.held = 0
 
     def split(self, text: str) -> list[str] | None:
@@ -77,11 +78,16 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.words]
-        if self.held > CACHE:
-            self.words.clear()
-            self.held, new = 0, list(words)
-        split = [SPLIT.findall(unicodedata.normalize("NFC", w)) for w in new]
+        """Have the ids of all ``words`` in ``self.words``. Of two generations the older goes when the younger is full; what is met again moves up."""
+        if 2 * self.held > CACHE:
+            self.words, self.old, self.held = {}, self.words, 0
+        new = []
+        for w in words - self.words.keys():
+            if w in self.old:
+                self.keep(w, self.old[w])
+            else:
+                new.append(w)
+        split = [[w] if w.isalpha() else SPLIT.findall(unicodedata.normalize("NFC", w)) for w in new]
         parts = list({p for s in split for p in s})
         known: dict[str, bytes] = {}
         for i in range(0, len(parts), BATCH):
@@ -90,8 +96,11 @@ class Encoder:
             raw = ids.tobytes()
             known.update(zip(parts[i : i + BATCH], (raw[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist()))))
         for w, s in zip(new, split):
-            self.words[w] = own = b"".join([known[p] for p in s])
-            self.held += EACH + len(w) + len(own)
+            self.keep(w, b"".join([known[p] for p in s]))
+
+    def keep(self, word: str, ids: bytes) -> None:
+        self.words[word] = ids
+        self.held += EACH + len(word) + len(ids)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """One text after another, so that no more than one text's ids are held."""

@@ -36,7 +36,7 @@ from .common import lean, slices
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-#: Bytes of words and their ids that a worker remembers before it starts anew, and what a word costs besides.
+#: Bytes of words and their ids that a worker remembers before it lets old ones go, and what a word costs besides.
 CACHE, EACH = 96 << 20, 150
 #: Characters of a word beyond which it isn't remembered, and of words that are encoded together.
 LONG, TOGETHER = 128, 1 << 20
@@ -256,7 +256,7 @@ class Encoder:
     """Ids of whole texts, as little-endian unsigned 32-bit bytes; a worker's memory of words is in it."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary, self.words, self.held = vocabulary, {}, 0
+        self.vocabulary, self.words, self.old, self.held = vocabulary, {}, {}, 0
 
     def learned(self, words: list[str]) -> dict[str, bytes]:
         """Ids of distinct words, a bounded number of characters at a time."""
@@ -272,14 +272,16 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [WORDS.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        if self.held > CACHE:
-            self.words, self.held = {}, 0
+        if 2 * self.held > CACHE:  # of two generations the older goes; what is met again moves up
+            self.words, self.old, self.held = {}, self.words, 0
         known = self.words
-        new = list({w for words in split for w in words if w not in known})
-        ids = self.learned(new)
-        for w in [w for w in new if len(w) <= LONG]:
-            known[w] = ids[w]
-            self.held += EACH + len(w) + len(ids[w])
+        new = {w for words in split for w in words} - known.keys()
+        met = {w: self.old[w] for w in new if w in self.old}
+        ids = self.learned(list(new - met.keys()))
+        for w, x in [*met.items(), *ids.items()]:
+            if len(w) <= LONG:
+                known[w] = x
+                self.held += EACH + len(w) + len(x)
         return [b"".join([known[w] if w in known else ids[w] for w in words]) for words in split]
 
     def decode(self, flat: np.ndarray, counts: np.ndarray) -> list[str]:
