@@ -13,57 +13,57 @@ from pyspark.sql import functions as F
 
 from ..config import DiffConfig
 from ..functions.paths import edges
+from ..functions.shared import materialize
 from .attribution import org_asn, primary, subjects, with_primary
-from .rib import prefix_counts
 
 EVENT = ("kind", "timestamp", "org_a", "org_b", "asn_a", "asn_b", "domains_a", "domains_b", "prefix", "detail")
 
 
 class Context:
-    """What all kinds of events need: the watched ASNs of each day, glue, primary organisations, and the days' instants."""
+    """What all kinds of events need: numbers of prefixes, the watched ASNs of each day, glue, primary organisations, and the days' instants.
+
+    Numbers, watched ASNs and primaries are read several times and written once.
+    """
 
     def __init__(self, before: DataFrame, after: DataFrame, orgs: DataFrame, glue: DataFrame, config: DiffConfig | None = None):
         self.before, self.after, self.glue, self.config = before, after, glue.select("asn").distinct(), config or DiffConfig()
         bridge = org_asn(orgs)
-        self.counts_before, self.counts_after = prefix_counts(before, ["day"]), prefix_counts(after, ["day"])
-        both = self.counts_before.union(self.counts_after).groupBy("day", "asn").agg(F.max("n").alias("n"))
-        self.subjects = subjects(bridge, self.glue, both, self.config.subjects, ["day"])
-        self.primaries = primary(bridge, orgs)
+        sides = [s.select("day", F.col("origin_asn").alias("asn"), F.lit(b).alias("b"), F.lit(a).alias("a")) for s, b, a in ((before, 1, 0), (after, 0, 1))]
+        self.counts = materialize(sides[0].unionByName(sides[1]).groupBy("day", "asn").agg(F.sum("b").alias("b"), F.sum("a").alias("a")), "counts")
+        self.subjects = materialize(subjects(bridge, self.glue, self.counts.select("day", "asn", F.greatest("b", "a").alias("n")), self.config.subjects, ["day"]), "subjects")
+        self.primaries = materialize(primary(bridge, orgs), "primaries")
         self.instants = after.groupBy("day").agg(F.max("as_of").alias("timestamp"))
 
-    def event(self, rows: DataFrame, kind: str, prefix=None) -> DataFrame:
-        """Rows with day, asn_a, asn_b, org_a, org_b, domains_a, domains_b, detail as events."""
-        rows = rows.join(self.instants, "day").withColumn("kind", F.lit(kind))
-        return rows.withColumn("prefix", F.lit(None).cast("string") if prefix is None else F.col(prefix)).select(*EVENT)
+    def rows(self, found: DataFrame, kind: str, prefix: bool = False) -> DataFrame:
+        """kind, day, asn_a, asn_b, prefix and detail of what was found."""
+        return found.select(F.lit(kind).alias("kind"), "day", "asn_a", "asn_b", F.col("prefix") if prefix else F.lit(None).cast("string").alias("prefix"), "detail")
 
-    def attributed(self, rows: DataFrame) -> DataFrame:
-        return with_primary(with_primary(rows, self.primaries, "asn_a", "org_a", "domains_a"), self.primaries, "asn_b", "org_b", "domains_b")
+    def events(self, rows: DataFrame) -> DataFrame:
+        """Rows of any kinds with organisations, domains and instants, all attributed at once. New upstreams of one organisation's own go."""
+        rows = with_primary(with_primary(rows, self.primaries, "asn_a", "org_a", "domains_a"), self.primaries, "asn_b", "org_b", "domains_b")
+        rows = rows.where("kind <> 'upstream_converge' OR NOT coalesce(org_a = org_b, false)")
+        return rows.join(self.instants, "day").select(*EVENT)
 
-    def without_glue(self, rows: DataFrame, *columns: str) -> DataFrame:
-        for c in columns:
+    def without_glue(self, rows: DataFrame) -> DataFrame:
+        for c in ("asn_a", "asn_b"):
             rows = rows.join(self.glue.select(F.col("asn").alias(c)), c, "left_anti")
         return rows
 
 
-def prefix_moves(c: Context) -> DataFrame:
-    """Prefixes whose origin changed, with a watched ASN on either side and glue on neither."""
-    moved = c.before.select("day", "prefix", F.col("origin_asn").alias("asn_a")).join(c.after.select("day", "prefix", F.col("origin_asn").alias("asn_b")), ["day", "prefix"])
-    moved = c.without_glue(moved.where("asn_a <> asn_b"), "asn_a", "asn_b")
+def moved_prefixes(c: Context) -> DataFrame:
+    moved = c.before.select("day", "prefix", F.col("origin_asn").alias("asn_a")).join(c.after.select("day", "prefix", F.col("origin_asn").alias("asn_b")), ["day", "prefix"]).where("asn_a <> asn_b")
     for side in ("asn_a", "asn_b"):
         moved = moved.join(c.subjects.select("day", F.col("asn").alias(side), F.lit(True).alias(f"_{side}")), ["day", side], "left")
-    moved = c.attributed(moved.where("coalesce(_asn_a, _asn_b, false)"))
-    return c.event(moved.withColumn("detail", F.format_string("origin %d -> %d", "asn_a", "asn_b")), "prefix_move", "prefix")
+    moved = moved.where("coalesce(_asn_a, _asn_b, false)")
+    return c.rows(moved.withColumn("detail", F.format_string("origin %d -> %d", "asn_a", "asn_b")), "prefix_move", True)
 
 
-def upstream_converge(c: Context) -> DataFrame:
-    """New (origin, upstream) of watched origins: neither glue, not of one known organisation."""
-
+def new_upstreams(c: Context) -> DataFrame:
     def pairs(snapshot: DataFrame) -> DataFrame:
         return snapshot.where("upstream_asn IS NOT NULL").select("day", F.col("origin_asn").alias("asn_a"), F.col("upstream_asn").alias("asn_b")).distinct()
 
     new = pairs(c.after).join(pairs(c.before), ["day", "asn_a", "asn_b"], "left_anti").join(c.subjects.select("day", F.col("asn").alias("asn_a")), ["day", "asn_a"], "left_semi")
-    new = c.attributed(c.without_glue(new, "asn_a", "asn_b")).where("NOT coalesce(org_a = org_b, false)")
-    return c.event(new.withColumn("detail", F.format_string("origin %d gained upstream %d", "asn_a", "asn_b")), "upstream_converge")
+    return c.rows(new.withColumn("detail", F.format_string("origin %d gained upstream %d", "asn_a", "asn_b")), "upstream_converge")
 
 
 def adjacencies(snapshot: DataFrame) -> DataFrame:
@@ -71,32 +71,45 @@ def adjacencies(snapshot: DataFrame) -> DataFrame:
     return snapshot.select("day", F.explode(edges("as_path")).alias("e")).select("day", F.col("e.a").alias("asn_a"), F.col("e.b").alias("asn_b")).where("asn_a <> asn_b").distinct()
 
 
-def new_adjacency(c: Context) -> DataFrame:
-    """Neighbours on some path that were not before; both watched, neither glue."""
+def new_neighbours(c: Context) -> DataFrame:
     new = adjacencies(c.after).join(adjacencies(c.before), ["day", "asn_a", "asn_b"], "left_anti")
     for side in ("asn_a", "asn_b"):
         new = new.join(c.subjects.select("day", F.col("asn").alias(side)), ["day", side], "left_semi")
-    new = c.attributed(c.without_glue(new, "asn_a", "asn_b"))
-    return c.event(new.withColumn("detail", F.format_string("new subject adjacency %d-%d", "asn_a", "asn_b")), "new_adj")
+    return c.rows(new.withColumn("detail", F.format_string("new subject adjacency %d-%d", "asn_a", "asn_b")), "new_adj")
+
+
+def steps(c: Context) -> DataFrame:
+    delta, least = F.abs(F.col("a") - F.col("b")), c.config.footprint_absolute
+    rows = c.counts.where((delta >= least) & ((delta / F.greatest(F.col("b"), F.lit(1)) >= c.config.footprint_relative) | (delta >= 4 * least)))
+    rows = rows.join(c.subjects, ["day", "asn"], "left_semi").withColumnRenamed("asn", "asn_a").withColumn("asn_b", F.lit(None).cast("long"))
+    return c.rows(rows.withColumn("detail", F.format_string("prefix_count %d -> %d (delta %d)", "b", "a", F.col("a") - F.col("b"))), "footprint_step")
+
+
+def prefix_moves(c: Context) -> DataFrame:
+    """Prefixes whose origin changed, with a watched ASN on either side and glue on neither."""
+    return c.events(c.without_glue(moved_prefixes(c)))
+
+
+def upstream_converge(c: Context) -> DataFrame:
+    """New (origin, upstream) of watched origins: neither glue, not of one known organisation."""
+    return c.events(c.without_glue(new_upstreams(c)))
+
+
+def new_adjacency(c: Context) -> DataFrame:
+    """Neighbours on some path that were not before; both watched, neither glue."""
+    return c.events(c.without_glue(new_neighbours(c)))
 
 
 def footprint_steps(c: Context) -> DataFrame:
     """Watched origins whose number of prefixes changed by much, absolutely and relatively."""
-    rows = c.counts_before.withColumnRenamed("n", "b").join(c.counts_after.withColumnRenamed("n", "a"), ["day", "asn"], "full_outer").fillna(0, ["a", "b"])
-    delta, least = F.abs(F.col("a") - F.col("b")), c.config.footprint_absolute
-    rows = rows.where((delta >= least) & ((delta / F.greatest(F.col("b"), F.lit(1)) >= c.config.footprint_relative) | (delta >= 4 * least)))
-    rows = rows.join(c.subjects, ["day", "asn"], "left_semi").withColumnRenamed("asn", "asn_a")
-    rows = with_primary(rows, c.primaries, "asn_a", "org_a", "domains_a").withColumns({
-        "asn_b": F.lit(None).cast("long"), "org_b": F.lit(None).cast("string"), "domains_b": F.array().cast("array<string>"),
-        "detail": F.format_string("prefix_count %d -> %d (delta %d)", "b", "a", F.col("a") - F.col("b")),
-    })
-    return c.event(rows, "footprint_step")
+    return c.events(steps(c))
 
 
 def diff(before: DataFrame, after: DataFrame, orgs: DataFrame, glue: DataFrame, config: DiffConfig | None = None) -> DataFrame:
     """All four kinds of events."""
     c = Context(before, after, orgs, glue, config)
-    return reduce(DataFrame.unionByName, [prefix_moves(c), upstream_converge(c), new_adjacency(c), footprint_steps(c)])
+    between = reduce(DataFrame.unionByName, [moved_prefixes(c), new_upstreams(c), new_neighbours(c)])
+    return c.events(c.without_glue(between).unionByName(steps(c)))
 
 
 def diff_days(snapshots: DataFrame, orgs: DataFrame, glue: DataFrame, pairs: DataFrame, config: DiffConfig | None = None) -> DataFrame:
