@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import heapq
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -109,11 +111,11 @@ def roll_up(nets: DataFrame, orgs: DataFrame, glue: DataFrame) -> tuple[DataFram
 
     An organisation has its networks' ASNs but for glue; one without any is left out.
     """
-    from ..functions.domains import of_website
+    from ..functions.domains import of_website, with_ascii_names
 
     flagged = nets.where("asn > 0").join(glue.withColumn("g", F.lit(True)), "asn", "left")
     sites = nets.select("org_id", of_website(F.col("website")).alias("d")).union(orgs.select(F.col("id").alias("org_id"), of_website(F.col("website")).alias("d")))
-    sites = sites.where("d IS NOT NULL").groupBy("org_id").agg(F.sort_array(F.collect_set("d")).alias("domains"))
+    sites = with_ascii_names(sites.where("d IS NOT NULL"), "d").where("d IS NOT NULL").groupBy("org_id").agg(F.sort_array(F.collect_set("d")).alias("domains"))
     nets_of = nets.select("org_id").distinct().join(flagged.groupBy("org_id").agg(
         F.sort_array(F.collect_set(F.when(F.col("g").isNull(), F.col("asn")))).alias("asns"), F.coalesce(F.bool_or("g"), F.lit(False)).alias("any_glue")), "org_id", "left")
     empty = F.coalesce(F.size("asns"), F.lit(0)) <= 0
@@ -128,31 +130,89 @@ def roll_up(nets: DataFrame, orgs: DataFrame, glue: DataFrame) -> tuple[DataFram
     return out, skipped
 
 
-def enrich(orgs: DataFrame, lines: list[str]) -> DataFrame:
-    """Domains of a watchlist added to the organisations they belong to, line after line, as an added domain can match a later line.
-
-    A line belongs to the organisation whose id it is, else to all whose id, name or domains hold its first label. Lines
-    that are ids are found in one look-up; the rest is one fold over the watchlist (a short text) within each
-    organisation's own row: no line needs another organisation.
-    """
-    watched = []
+def watched_lines(lines: list[str]) -> list[tuple[str, str]]:
+    """Domain and first label of each line of a watchlist that has one."""
+    out = []
     for line in lines:
         domain = line.strip().lower().lstrip(".")
         while domain.startswith("*."):
             domain = domain[2:].lstrip(".")
         if domain.split(".")[0] and not domain.startswith("#"):
-            watched.append((domain, domain.split(".")[0]))
+            out.append((domain, domain.split(".")[0]))
+    return out
+
+
+class Watchlist:
+    """Lines in order, and an automaton that finds the labels of all of them in a text at once.
+
+    ``exact``: the lines that are organisations' ids; they belong to that organisation alone.
+    """
+
+    def __init__(self, lines: list[tuple[str, str]], exact: set[str]):
+        self.lines, self.exact = lines, exact
+        self.automaton = None
+
+    def ready(self) -> Watchlist:
+        if self.automaton is None:
+            import ahocorasick
+
+            by_label: dict[str, list[int]] = {}
+            self.by_id = {}
+            for i, (domain, label) in enumerate(self.lines):
+                if domain in self.exact:
+                    self.by_id.setdefault(domain, []).append(i)
+                else:
+                    by_label.setdefault(label, []).append(i)
+            self.automaton = ahocorasick.Automaton()
+            for label, places in by_label.items():
+                self.automaton.add_word(label, places)
+            if by_label:
+                self.automaton.make_automaton()
+        return self
+
+    def __getstate__(self):
+        return {"lines": self.lines, "exact": self.exact, "automaton": None}
+
+    def found(self, text: str) -> set[int]:
+        """The lines whose label a text holds."""
+        return {i for _, places in self.automaton.iter(text) for i in places} if len(self.automaton) else set()
+
+    def added(self, org_id: str, name: str, domains: list[str]) -> list[str]:
+        """The domains after all lines, one after another: a domain that a line adds can hold the label of a later one."""
+        out, have = list(domains), set(domains)
+        todo = {i for text in (org_id, name, *domains) for i in self.found(text or "")} | set(self.by_id.get(org_id, ()))
+        heap = sorted(todo)
+        while heap:
+            i = heapq.heappop(heap)
+            domain = self.lines[i][0]
+            if domain in have:
+                continue
+            out.append(domain)
+            have.add(domain)
+            for j in self.found(domain):
+                if j > i and j not in todo:
+                    todo.add(j)
+                    heapq.heappush(heap, j)
+        return out
+
+
+def enrich(orgs: DataFrame, lines: list[str]) -> DataFrame:
+    """Domains of a watchlist added to the organisations they belong to, line after line, as an added domain can match a later line.
+
+    A line belongs to the organisation whose id it is, else to all whose id, name or domains hold its first label. No line
+    needs another organisation: the watchlist (a short text) goes to each task, which looks for all labels in one pass.
+    """
+    watched = watched_lines(lines)
     if not watched:
         return orgs
     ids = {r.org_id for r in orgs.where(F.col("org_id").isin(sorted({d for d, _ in watched}))).select("org_id").distinct().collect()}  # at most a row a line
-    steps = F.array(*(F.struct(F.lit(d).alias("domain"), F.lit(label).alias("label"), F.lit(d in ids).alias("exact")) for d, label in watched))
+    watchlist = Watchlist(watched, ids)
 
-    def add(have, w):
-        holds = F.col("org_id").contains(w["label"]) | F.lower("name").contains(w["label"]) | F.exists(have, lambda d: d.contains(w["label"]))
-        own = F.when(w["exact"], F.col("org_id") == w["domain"]).otherwise(holds)
-        return F.when(own & ~F.array_contains(have, w["domain"]), F.array_append(have, w["domain"])).otherwise(have)
+    def run(org_id: pd.Series, name: pd.Series, domains: pd.Series) -> pd.Series:
+        own = watchlist.ready()
+        return pd.Series([None if d is None else own.added(i, n, list(d)) for i, n, d in zip(org_id, name, domains)])
 
-    return orgs.withColumn("domains", F.aggregate(steps, F.col("domains"), add))
+    return orgs.withColumn("domains", F.pandas_udf(run, "array<string>")("org_id", F.lower("name"), "domains"))
 
 
 def unattributed(org: str):

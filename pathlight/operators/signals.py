@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.shared import materialize
 from ..functions.values import elapsed_days, saturating_sum
 from .attribution import with_primary
+from .commits import Transaction
+
+#: Buckets of the table of pairs.
+BUCKETS = 64
 
 COUNTERS = ("prefix_move_days", "prefixes_moved", "new_adj_days", "upstream_converge_days")
 
@@ -24,6 +31,28 @@ def merge_state(state: DataFrame, features: DataFrame, as_of: Column, retain_day
     return merged.where(F.col("last_seen") >= as_of - F.expr(f"INTERVAL {int(retain_days)} DAYS"))
 
 
+def merge_touched(step: Transaction, features: DataFrame, as_of: Column, retain_days: int = 30, buckets: int = BUCKETS, name: str = "pair_state") -> DataFrame:
+    """``merge_state`` into a store's table of pairs, bucket by bucket: only those are read and written that the day's pairs
+    fall into or that have a pair to let go. Returns the new state of these buckets.
+
+    The table's tag keeps the oldest ``last_seen`` of each bucket, so that buckets with old pairs are known without a look.
+    """
+    spark = features.sparkSession
+    bucket = F.pmod(F.xxhash64("asn_lo", "asn_hi"), F.lit(buckets)).cast("int")
+    known = json.loads(step.tags.get(name, "{}"))
+    if known.get("buckets") != buckets:  # the first time, or dealt anew
+        touched, oldest = list(range(buckets)), {}
+    else:
+        oldest = known["oldest"]
+        end = spark.range(1).select(F.unix_seconds(as_of - F.expr(f"INTERVAL {int(retain_days)} DAYS")).alias("x")).first().x
+        touched = sorted({r.b for r in features.select(bucket.alias("b")).distinct().collect()} | {int(k) for k, at in oldest.items() if at < end})
+    merged = materialize(merge_state(step.read_buckets(name, touched), features, as_of, retain_days).withColumn("bucket", bucket), "merged-state")
+    step.replace(name, merged, "bucket", touched)
+    new = {str(r.bucket): r.at for r in merged.groupBy("bucket").agg(F.unix_seconds(F.min("last_seen")).alias("at")).collect()}  # a row a bucket
+    step.tag(name, json.dumps({"buckets": buckets, "oldest": {k: v for k, v in oldest.items() if int(k) not in touched} | new}))
+    return merged.drop("bucket")
+
+
 def build_signals(features: DataFrame, primaries: DataFrame, as_of: Column, prior_as_of: Column, state: DataFrame | None = None, source: str = "pathlight") -> DataFrame:
     """A signal for each pair of today's features; counters and score are the state's where that is larger, the persistence is the state's."""
     out = features

@@ -225,14 +225,13 @@ def _daily(work, lease, day, as_of, today, glue, now, options, overlays) -> str:
         rows, _ = features.clean(rows, orgs, glue, attribution.leasing(spark, options.leasing))
     rows = materialize(rows, "pair-features")
     at = F.lit(stamps[1])
-    state = materialize(signals.merge_state(step.read("pair_state"), rows, at, options.retain_pairs), "pair-state")
+    state = signals.merge_touched(step, rows, at, options.retain_pairs)
     primaries = attribution.primary(attribution.org_asn(orgs), orgs)
     out = materialize(signals.build_signals(rows, primaries, at, F.lit(stamps[0]), state), "signals")
     incoming = store.checked_contacts(store.contact_rows(out))
     scope = store.in_scope(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
     changes = materialize(store.upsert(step.read("network_contact"), incoming, store.CONTACT_KEY, F.lit(int(now.timestamp())), scope), "changes")
     step.put("network_contact", changes.drop("op"))
-    step.put("pair_state", state)
     step.log(changes, "network_contact", store.CONTACT_KEY, F.lit(iso(now)))
     work.put_run(step, "signal_runs", (day.isoformat(), iso(as_of), prior.isoformat(), "ok", out.count(), None), now)
     step.commit()

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_sources_and_jobs import DAYS, day_snapshot, dump, work  # noqa: F401  a fixture
 
-from pathlight.operators import commits, rib, store
+from pathlight.operators import commits, rib, signals, store
 from pathlight.plans import jobs
 from pathlight.schemas import FEATURE, STATE
 from pathlight.sources import mrt, tables
@@ -123,7 +123,7 @@ def test_lease(spark, tmp_path, opened):
     assert one.take().token == two.last()[0]
 
 
-STEPS = ["put:network_contact", "put:pair_state", "log", "put:signal_runs", "commit"]
+STEPS = ["replace:pair_state", "put:network_contact", "log", "put:signal_runs", "commit"]
 
 
 @pytest.mark.parametrize("broken", STEPS)
@@ -132,7 +132,7 @@ def test_a_daily_run_is_whole_or_not_there(spark, work, monkeypatch, broken):  #
     glue, now = spark.createDataFrame([(15169,)], "asn bigint"), datetime.datetime(2026, 9, 13, 2, tzinfo=UTC)
     assert jobs.run_daily(work, DAYS[0], day_snapshot(spark, DAYS[0], 65000), glue, now) == "snapshot_only"
     before = work.store.head()
-    real = {n: getattr(commits.Transaction, n) for n in ("put", "log", "commit")}
+    real = {n: getattr(commits.Transaction, n) for n in ("put", "replace", "log", "commit")}
 
     def breaking(name):
         def run(self, *args):
@@ -183,6 +183,24 @@ def test_pair_state_of_a_stream(spark, tmp_path):
         assert [(r.asn_lo, r.prefixes_moved) for r in store_.read("pair_state").collect()] == [(1, 3)]
 
 
+def test_a_day_rewrites_the_buckets_it_touches(spark, tmp_path, rows):
+    store_ = commits.Store(spark, f"file://{tmp_path}/store", {"pair_state": STATE})
+    day = lambda n: datetime.datetime(2026, 1, 1) + datetime.timedelta(days=n)
+    whole, folders = spark.createDataFrame([], STATE), []
+    for n, pairs in ((0, range(200)), (1, [3, 4]), (2, [4, 500]), (40, [7]), (41, [])):
+        df = spark.createDataFrame([(p, p + 1, None, None, 1, 2, 0, 0, day(n), day(n), 0, p) for p in pairs], FEATURE)
+        step = store_.begin()
+        got = signals.merge_touched(step, df, F.lit(day(n)), 30, 16)
+        step.commit()
+        whole = jobs.materialize(signals.merge_state(whole, df, F.lit(day(n)), 30), "whole")
+        now = store_.read("pair_state")
+        assert rows(now) == rows(whole.select(now.columns)) and {r.asn_lo for r in got.collect()} >= set(pairs)
+        folders.append(dict(store_.head().tables["pair_state"]["buckets"]))
+    changed = [sum(b.get(k) != a.get(k) for k in {*a, *b}) for a, b in zip(folders, folders[1:])]
+    assert len(folders[0]) == 16 and 1 <= changed[0] <= 2 and 1 <= changed[1] <= 2 and changed[2] >= 15 and changed[3] == 0
+    assert [r.asn_lo for r in whole.collect()] == [7]
+
+
 # Streams of routes
 
 

@@ -1,9 +1,11 @@
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from pathlight.config import SparseConfig, SubjectRule
+from pathlight.functions import domains as dom
 from pathlight.functions.shared import numbered
 from pathlight.operators import attribution, diff, evals, features, rib, routes, signals, store
 from pathlight.schemas import CASE, EVENT, FEATURE, ORG, STATE
@@ -150,6 +152,33 @@ def test_overlay_takes_nothing_over(spark, rows):
     assert {r.org_id: r.asns for r in both.collect()} == {"a": [2], "b": [1, 3], "x": [9]}
 
 
+def test_a_long_watchlist_is_a_fold(spark):
+    """Lines found by one automaton give what looking at one line after another gives."""
+    rng = random.Random(3)
+    stock = ["acme", "cloud", "net", "zeta", "beta", "alpha", "io", "x"]
+    name = lambda: "-".join(rng.choice(stock) for _ in range(rng.randint(1, 2)))
+    orgs = [(f"{name()}{i % 7}" if i % 5 else None, name().upper() if i % 3 else None, [], [f"{name()}.{rng.choice(['com', 'net'])}" for _ in range(i % 3)] if i % 11 else None, None, None, i) for i in range(300)]
+    lines = [f"{name()}.{rng.choice(['org', 'com'])}" for _ in range(150)] + ["# no", "", "acme3", "*.zeta5", "cloud1"]
+    watched, ids = attribution.watched_lines(lines), {o[0] for o in orgs}
+
+    def fold(org_id, name, domains):
+        for domain, label in watched:
+            own = org_id == domain if domain in ids else any(label in (t or "") for t in (org_id, (name or "").lower(), *domains))
+            if own and domain not in domains:
+                domains = [*domains, domain]
+        return domains
+
+    got = {r.reg_order: r.domains for r in attribution.enrich(spark.createDataFrame(orgs, ORG), lines).collect()}
+    assert got == {o[6]: None if o[3] is None else fold(o[0], o[1], o[3]) for o in orgs}
+    assert sum(len(d or []) for d in got.values()) > 1000
+
+
+def test_international_names(spark, rows):
+    pairs = {"bücher.example": "xn--bcher-kva.example", "münchen.de": "xn--mnchen-3ya.de", "例え.テスト": "xn--r8jz45g.xn--zckzah", "faß.de": "xn--fa-hia.de", "BÜCHER.example": "xn--bcher-kva.example", "a。b": "a.b", "plain.example": "plain.example", "ｗｉｄｅ.example": "wide.example", "ü" * 70 + ".example": None}
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(pairs)], "d string, i int")
+    assert dict(rows(dom.with_ascii_names(df, "d").select("i", "d"))) == dict(enumerate(pairs.values()))
+
+
 def test_enrichment_depends_on_order(spark):
     table = orgs(spark, ("acme", [1], []), ("zeta", [2], []))
     got = {r.org_id: r.domains for r in attribution.enrich(table, ["# no", "acme-cloud.com", "acme.net", "*.Zeta.org"]).collect()}
