@@ -37,6 +37,8 @@ SCALE = 1000
 PERCENT = 25
 LEAST = 20
 SEED = 7
+#: Parts of the dictionary that a shuffle partition gets on average, so that all get about as much.
+PARTS = 8
 #: Between a feature and its count; no word has it.
 MARK = b"\x01"
 #: Bytes of text that a block's dictionary is made of, texts of it at most, and rows that a task hands on at a time.
@@ -137,9 +139,10 @@ def dictionary(docs: DataFrame) -> DataFrame:
 
     A feature's part is a hash of it, so that rows of a part meet and strings are summed where they are.
     """
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = PARTS * partitions
     texts = docs.select(docs["text"].cast("string").alias("text")).where("text is not null")
-    rows = texts.mapInArrow(lean(counted(parts)), "part int, features string").repartition(parts, "part")
+    rows = texts.mapInArrow(lean(counted(parts)), "part int, features string").repartition(partitions, "part")
     lines = rows.select("part", F.explode(F.split("features", "\n")).alias("line"))
     mark = F.instr("line", MARK.decode())
     feature = F.when(mark == 0, F.col("line")).otherwise(F.substring("line", F.lit(1), mark - 1))
