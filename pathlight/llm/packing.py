@@ -39,7 +39,7 @@ SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 #: Bytes of words and their ids that a worker remembers before it lets old ones go, what a word costs besides, and words that
 #: are encoded at a time. Texts with a word of over 256 characters go to the tokeniser whole, so that none is remembered.
 CACHE, EACH = 96 << 20, 150
-BATCH = 1000
+BATCH = 4000
 LONG = 256
 
 
@@ -91,7 +91,7 @@ class Encoder:
         parts = list({p for s in split for p in s})
         known: dict[str, bytes] = {}
         for i in range(0, len(parts), BATCH):
-            ids = np.array(self.tokenizer.encode(" ".join(parts[i : i + BATCH]), add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(parts[i : i + BATCH])], add_special_tokens=False)[0].ids, "<u4")
             ends = (np.flatnonzero(self.closes[ids]) + 1) * 4
             raw = ids.tobytes()
             known.update(zip(parts[i : i + BATCH], (raw[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist()))))
@@ -111,10 +111,10 @@ class Encoder:
                 yield self.whole(text)
                 continue
             try:
-                yield b"".join([self.words[w] for w in words])
+                yield b"".join(map(self.words.__getitem__, words))
             except KeyError:
                 self.learn(set(words))
-                yield b"".join([self.words[w] for w in words])
+                yield b"".join(map(self.words.__getitem__, words))
 
 
 _encoders: dict[str, Encoder] = {}
