@@ -35,3 +35,18 @@ def test_entry_has_rows(spark):
 
 def test_every_query_has_sql():
     assert set(registry.QUERIES) == set(registry.SQL)
+
+
+@pytest.mark.parametrize("name", ["alerts"])
+def test_parts_beyond_two_octets(spark, tmp_path, name):
+    """With more than 65,536 parts the prefixes' second number passes 255; what covers them still does."""
+    c = duckdb.connect()
+    key = {"part": "p_partkey", "lineitem": "l_partkey"}
+    for t in ("part", "lineitem", "supplier"):
+        moved = f" REPLACE ({key[t]} + 65436 AS {key[t]})" if t in key else ""
+        c.sql(f"COPY (SELECT *{moved} FROM '{SF}/{t}.parquet') TO '{tmp_path}/{t}.parquet'")
+        c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet'")
+    df = registry.QUERIES[name](spark, str(tmp_path))
+    want = c.sql(f"SELECT {', '.join(df.columns)} FROM ({registry.SQL[name]})").fetchall()
+    assert {r[0].split(".")[1] for r in want} == {"255", "256"}
+    assert sorted(map(tuple, df.collect())) == sorted(want)
