@@ -37,7 +37,7 @@ def test_every_query_has_sql():
     assert set(registry.QUERIES) == set(registry.SQL)
 
 
-@pytest.mark.parametrize("name", ["alerts"])
+@pytest.mark.parametrize("name", ["alerts", "origin_validation"])
 def test_parts_beyond_two_octets(spark, tmp_path, name):
     """With more than 65,536 parts the prefixes' second number passes 255; what covers them still does."""
     c = duckdb.connect()
