@@ -15,11 +15,13 @@ from __future__ import annotations
 import re
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from string import punctuation
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,24 +39,43 @@ PLAIN = re.compile("[^\t\n\r\x20-\x7eÀ-ÖØ-öø-ɏ‘’“”„–—…«»
 #: The tokeniser's own split of text into words, for plain text.
 SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 #: Bytes of words and their ids that a worker remembers before it lets old ones go, what a word costs besides, and words that
-#: are encoded at a time. Texts with a word of over 256 characters go to the tokeniser whole, so that none is remembered.
+#: are encoded at a time. Texts with a word of over 256 bytes go to the tokeniser whole, so that none is remembered.
 CACHE, EACH = 96 << 20, 150
-BATCH = 4000
+BATCH = 500
 LONG = 256
 
 
+def split_word(word: str) -> Sequence[str]:
+    """The parts of a word of a plain text; letters with punctuation behind them, the usual ones, without the pattern."""
+    head = word.rstrip(punctuation)
+    if head.isalpha():
+        return (head, word[len(head) :]) if len(head) < len(word) else (word,)
+    return SPLIT.findall(unicodedata.normalize("NFC", word))
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that the byte-level vocabulary has for each byte; a space stays, to part words."""
+    own = {b: chr(b) for b in (*range(33, 127), *range(161, 173), *range(174, 256))}
+    return own | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in own)} | {32: " "}
+
+
 class Encoder:
     """Token ids of texts as little-endian unsigned 32-bit bytes.
 
     The tokeniser never merges across white space, so in plain texts each distinct word between white space is encoded
-    once and remembered. New words are encoded many at a time: the tokens that close a word show where each ends. Any
-    other text goes to the tokeniser whole.
+    once and remembered. New words are normalised and split here and go to the tokeniser's model many at a time: the
+    tokens that close a word show where each ends. Any other text goes to the tokeniser whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
+        #: The same model, for words that are normalised, split and spelt in the letters of bytes.
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = WhitespaceSplit()
+        self.letters = byte_letters()
         #: Strings that the tokeniser takes for one token anywhere in a text, inside a word too.
         self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
@@ -64,57 +85,77 @@ class Encoder:
         self.old: dict[str, bytes] = {}
         self.held = 0
 
-    def split(self, text: str) -> list[str] | None:
-        """The words of a plain text without long words or added tokens."""
+    def plain(self, text: str) -> str | None:
+        """A plain text without added tokens in lower case."""
         if PLAIN.search(text):
             return None
         lower = text.lower()
-        if any(t in lower for t in self.added):
-            return None
-        words = lower.split()
-        return words if max(map(len, words), default=0) <= LONG else None
+        return None if any(t in lower for t in self.added) else lower
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, words: set[str]) -> None:
-        """Have the ids of all ``words`` in ``self.words``. Of two generations the older goes when the younger is full; what is met again moves up."""
-        if 2 * self.held > CACHE:
-            self.words, self.old, self.held = {}, self.words, 0
-        new = []
-        for w in words - self.words.keys():
-            if w in self.old:
-                self.keep(w, self.old[w])
-            else:
-                new.append(w)
-        split = [[w] if w.isalpha() else SPLIT.findall(unicodedata.normalize("NFC", w)) for w in new]
-        parts = list({p for s in split for p in s})
-        known: dict[str, bytes] = {}
+    def of_parts(self, parts: list[str]) -> Iterator[bytes]:
         for i in range(0, len(parts), BATCH):
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(parts[i : i + BATCH])], add_special_tokens=False)[0].ids, "<u4")
-            ends = (np.flatnonzero(self.closes[ids]) + 1) * 4
+            spelt = " ".join(parts[i : i + BATCH]).encode().decode("latin-1").translate(self.letters)
+            ids = np.array(self.model.encode_batch_fast([spelt], add_special_tokens=False)[0].ids, "<u4")
+            ends = ((np.flatnonzero(self.closes[ids]) + 1) * 4).tolist()
             raw = ids.tobytes()
-            known.update(zip(parts[i : i + BATCH], (raw[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist()))))
-        for w, s in zip(new, split):
-            self.keep(w, b"".join([known[p] for p in s]))
+            yield from (raw[a:b] for a, b in zip([0, *ends], ends))
 
-    def keep(self, word: str, ids: bytes) -> None:
-        self.words[word] = ids
-        self.held += EACH + len(word) + len(ids)
+    def of_words(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct words. Of two generations the older goes when the younger is full; what is met again moves up."""
+        if 2 * self.held > CACHE:
+            self.words, self.old, self.held = {}, self.words, 0
+        out = list(map(self.words.get, words))
+        missed = [w for w, ids in zip(words, out) if ids is None]
+        if not missed:
+            return out
+        again = list(map(self.old.get, missed))
+        new = [w for w, ids in zip(missed, again) if ids is None]
+        split = list(map(split_word, new))
+        known = {p: self.words.get(p) or self.old.get(p) for s in split if len(s) > 1 for p in s}
+        for s in split:
+            if len(s) == 1:
+                known.setdefault(s[0])
+        parts = [p for p, ids in known.items() if ids is None]
+        known.update(zip(parts, self.of_parts(parts)))
+        learned = iter([known[s[0]] if len(s) == 1 else b"".join(map(known.__getitem__, s)) for s in split])
+        again = [next(learned) if ids is None else ids for ids in again]
+        self.words.update(zip(missed, again))
+        self.held += EACH * len(missed) + sum(map(len, missed)) + sum(map(len, again))
+        found = iter(again)
+        return [next(found) if ids is None else ids for ids in out]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """One text after another, so that no more than one text's ids are held."""
-        split = [self.split(t) for t in texts]
-        self.learn({w for words in split if words for w in words})
-        for text, words in zip(texts, split):
-            if words is None:
+        plain = [self.plain(t) for t in texts]
+        words, ends = split_words(plain)
+        long = np.flatnonzero(pc.binary_length(words).to_numpy() > LONG)
+        if len(long):
+            for i in set((np.searchsorted(ends, long, side="right") - 1).tolist()):
+                plain[i] = None
+            words, ends = split_words(plain)
+        coded = words.dictionary_encode()
+        codes = coded.indices.to_numpy()
+        found = self.of_words(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        firsts = np.cumsum(counts) - counts
+        ids = np.frombuffer(b"".join(found), "<u4")
+        for text, own, a, b in zip(texts, plain, ends[:-1].tolist(), ends[1:].tolist()):
+            if own is None:
                 yield self.whole(text)
                 continue
-            try:
-                yield b"".join(map(self.words.__getitem__, words))
-            except KeyError:
-                self.learn(set(words))
-                yield b"".join(map(self.words.__getitem__, words))
+            c = codes[a:b]
+            n = counts[c]
+            before = np.cumsum(n) - n
+            yield ids[np.repeat(firsts[c] - before, n) + np.arange(n.sum())].tobytes()
+
+
+def split_words(texts: list[str | None]) -> tuple[pa.Array, np.ndarray]:
+    """The words between white space of plain texts, one list after another, and where each list begins and the last ends. Null has none."""
+    lists = pc.ascii_split_whitespace(pa.array([t or "" for t in texts], pa.large_string()))
+    return lists.values, lists.offsets.to_numpy()
 
 
 _encoders: dict[str, Encoder] = {}

@@ -270,6 +270,18 @@ def test_encoder_forgets_and_long_words(monkeypatch):
     assert max(map(len, encoder.words), default=0) <= 256 and len(encoder.words) <= 40
 
 
+def test_known_letters_are_not_encoded_again():
+    """Of words, only parts that aren't remembered go to the model, and each once; ids stay the tokeniser's."""
+    encoder, parts = packing.Encoder(packing.vocabulary()), []
+    of_parts = encoder.of_parts
+    encoder.of_parts = lambda p: of_parts(parts.append(list(p)) or p)
+    texts = [" Straße été\t", "été, straße... (été) été,", "", "ß" * 200 + " été", "\n"]
+    for t in texts:
+        assert list(encoder.encode([t])) == [encoder.whole(t)]
+    assert [sorted(p) for p in parts if p] == [["straße", "été"], ["(", ")", ",", "..."]]
+    assert "ß" * 200 not in encoder.words  # 400 bytes
+
+
 def test_first_fit_decreasing_is_that():
     rng = random.Random(2)
     lengths = np.array([rng.randint(1, 100) for _ in range(400)])
