@@ -282,6 +282,19 @@ def test_known_letters_are_not_encoded_again():
     assert "ß" * 200 not in encoder.words  # 400 bytes
 
 
+def test_workers_give_memory_back(monkeypatch):
+    """Once, behind the last batch, also of what isn't Arrow's."""
+    from pathlight.llm import common
+
+    seen = []
+    monkeypatch.setattr(common, "give_back", lambda: seen.append("back"))
+    for b in common.lean(lambda batches: (b for b in batches))(iter([1, 2])):
+        seen.append(b)
+    assert seen == [1, 2, "back"]
+    monkeypatch.undo()
+    common.give_back()
+
+
 def test_first_fit_decreasing_is_that():
     rng = random.Random(2)
     lengths = np.array([rng.randint(1, 100) for _ in range(400)])
